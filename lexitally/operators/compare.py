@@ -18,7 +18,9 @@ from ..functions.fields import to_integer, tsv_fields
 MALFORMED, DUPLICATE, AMBIGUOUS, EXTRA, MISSING, WRONG = (
     "malformed", "duplicate", "ambiguous", "extra", "missing", "wrong")
 
-_DIGEST_WORDS = 16  # fixed value: a SHA-256 is 16 words of 16 bits
+# A digest adds up 240 bits of each row's hash, read as four numbers of 15 hex
+# digits and summed in pieces of 20 bits.
+_NUMBERS, _DIGITS, _PIECES, _BITS = 4, 15, 3, 20
 
 
 def _by_key(actual: DataFrame, expected: DataFrame, key: Sequence[str], values: Sequence[str],
@@ -70,11 +72,14 @@ def verify_summary(actual: DataFrame, expected: DataFrame, key: Sequence[str] =
     keys = _by_key(actual, expected, key, values, malformed)
     present = F.col("n_actual") > 0
     row = _row_hash([F.col(k) for k in key] + [F.col(f"actual_{v}") for v in values])
-    totals = keys.agg(
-        F.count_if(present).alias("n_actual"),
-        F.count_if(F.col("n_expected") > 0).alias("n_expected"),
-        F.count_if(F.col("kind").isNotNull()).alias("n_violations"),
-        *_word_sums(F.when(present, row)),
+    marked = keys.select(
+        present.alias("present"), (F.col("n_expected") > 0).alias("due"),
+        F.col("kind").isNotNull().alias("bad"), F.when(present, row).alias("h"))
+    totals = _numbers(marked).agg(
+        F.count_if("present").alias("n_actual"),
+        F.count_if("due").alias("n_expected"),
+        F.count_if("bad").alias("n_violations"),
+        *_sums(),
     )
     ok = F.col("n_violations") == 0
     return totals.select(
@@ -101,12 +106,13 @@ def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
 def canonical_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row, n_rows and digest: equal for equal multisets of rows, whatever order or split.
 
-    Every row is hashed with SHA-256, and the hashes are added up in sixteen 16-bit words. Sums
-    merge in any order, so each task sends one row and nothing is sorted or collected; a word's
-    sum stays within BIGINT for 2^47 rows. This guards against errors, not against an attacker
-    who can choose rows; `violations` is the exact comparison.
+    Every row is hashed with SHA-256, and the hashes are added up piece by piece. Sums merge in
+    any order, so each task sends one row and nothing is sorted or collected; a piece's sum stays
+    within BIGINT for 2^43 rows and fails beyond. This guards against errors, not against an
+    attacker who can choose rows; `violations` is the exact comparison.
     """
-    sums = df.agg(F.count(F.lit(1)).alias("n_rows"), *_word_sums(_row_hash([F.col(c) for c in columns])))
+    hashed = df.select(_row_hash([F.col(c) for c in columns]).alias("h"))
+    sums = _numbers(hashed).agg(F.count(F.lit(1)).alias("n_rows"), *_sums())
     return sums.select("n_rows", _digest("n_rows").alias("digest"))
 
 
@@ -118,15 +124,22 @@ def _row_hash(fields: Sequence[Column]) -> Column:
     return F.sha2(F.concat_ws(",", *parts), 256)
 
 
-def _word_sums(row_hash: Column) -> list[Column]:
-    def word(i):
-        return F.conv(F.substring(row_hash, 4 * i + 1, 4), 16, 10).cast("bigint")
+def _numbers(hashed: DataFrame) -> DataFrame:
+    """The hash `h` as numbers. Each is a column of its own, so that hash and conversion run
+    once per row and not once per sum."""
+    parts = [F.conv(F.substring("h", _DIGITS * i + 1, _DIGITS), 16, 10).cast("bigint").alias(f"x{i}")
+             for i in range(_NUMBERS)]
+    return hashed.select(*[c for c in hashed.columns if c != "h"], *parts)
 
-    return [F.coalesce(F.sum(word(i)), F.lit(0)).alias(f"w{i}") for i in range(_DIGEST_WORDS)]
+
+def _sums() -> list[Column]:
+    pieces = [F.shiftright(f"x{i}", _BITS * j).bitwiseAND((1 << _BITS) - 1)
+              for i in range(_NUMBERS) for j in range(_PIECES)]
+    return [F.coalesce(F.sum(p), F.lit(0)).alias(f"s{k}") for k, p in enumerate(pieces)]
 
 
 def _digest(count: str) -> Column:
-    return F.sha2(F.concat_ws(",", count, *[f"w{i}" for i in range(_DIGEST_WORDS)]), 256)
+    return F.sha2(F.concat_ws(",", count, *[f"s{k}" for k in range(_NUMBERS * _PIECES)]), 256)
 
 
 def parse_counts(df: DataFrame, line: str = "value", key: str = "key") -> DataFrame:

@@ -16,9 +16,6 @@ from .ranks import row_index
 
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
-# Copy numbers that one row of `replicate` turns into after its redistribution.
-_COPIES_PER_ROW = 16
-
 
 def is_expected(text: Column | str, content: Column | str, marker: str, min_bytes: int) -> Column:
     """Whether a document holds `marker` in any letter case and has at least `min_bytes`."""
@@ -91,22 +88,26 @@ def replicate(df: DataFrame, copies: DataFrame | int, ident: str,
               template: str = "doc%d-copy%03d.txt") -> DataFrame:
     """Every row `copies` times, with `copy` from 0 and `name` made of `ident` and the copy.
 
-    `copies` is a number or the one-row result of `copies_for`. A few rows may grow into a
-    very large table, so the copies are dealt out in blocks first: what moves is a sixteenth
-    of the result, and the rest is made where it is written.
+    `copies` is a number or the one-row result of `copies_for`. A few rows may grow into a very
+    large table, so k copies are made in two steps of about sqrt(k): the first step's rows are
+    dealt out to all tasks, and each task makes the second step's rows where it writes them.
     """
     if isinstance(copies, int):
         if copies < 1:
             raise ValueError("copies must be at least 1")
-        k = F.lit(copies)
+        k = F.lit(copies).cast("bigint")
     else:
-        k = copies.scalar()
-    k = k.cast("bigint")
-    step = F.lit(_COPIES_PER_ROW).cast("bigint")
-    started = df.withColumn("first", F.explode(F.sequence(F.lit(0).cast("bigint"), k - 1, step)))
-    dealt = started.repartition(ident, "first").withColumn("k", k)
-    last = F.least(F.col("first") + step, F.col("k")) - 1
-    copied = dealt.withColumn("copy", F.explode(F.sequence(F.col("first"), last)))
+        k = copies.scalar().cast("bigint")
+    step = F.ceil(F.sqrt(k))
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    started = df.withColumn("_first", F.explode(F.sequence(F.lit(0).cast("bigint"), k - 1, step)))
+    # An explicit number of tasks: adaptive execution would size them by the rows that come in,
+    # not by the copies that go out.
+    dealt = started.repartition(tasks, ident, "_first")
+    last = F.least(F.col("_first") + step, k) - 1
+    copied = dealt.withColumn("copy", F.explode(F.sequence(F.col("_first"), last)))
     named = copied.withColumn("name", F.format_string(template, ident, "copy"))
     return named.select(*df.columns, "copy", "name")
 

@@ -6,9 +6,10 @@ folded by partial aggregates and never gathered into an array.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.fields import JOB_ID, after_marker, all_ids, host_of
 
@@ -32,30 +33,27 @@ def attempt_hosts(attempts: DataFrame, log: str = "log", field: str = "taskAttem
             .agg(F.count(F.lit(1)).alias("tasks")))
 
 
-def job_ids(logs: DataFrame, log: str = "log", text: str = "value",
+def job_ids(logs: DataFrame, log: str = "log", line: str = "value",
             pattern: str = JOB_ID) -> DataFrame:
     """log, id: the distinct ids in each log"""
-    return logs.select(log, F.explode(all_ids(text, pattern)).alias("id")).distinct()
-
+    return logs.select(log, F.explode(all_ids(line, pattern)).alias("id")).distinct()
 
-def logs_without_ids(logs: DataFrame, log: str = "log", text: str = "value",
-                     pattern: str = JOB_ID) -> DataFrame:
-    """Logs in which no id occurs, which is an error in a finished run."""
-    found = logs.select(log, F.coalesce(F.size(all_ids(text, pattern)), F.lit(0)).alias("n"))
-    return found.groupBy(log).agg(F.max("n").alias("n")).where(F.col("n") <= 0).select(log)
 
+def logs_without(logs: DataFrame, found: DataFrame, log: str = "log") -> DataFrame:
+    """Logs for which a result (hosts, ids, context) has no row."""
+    return logs.select(log).distinct().join(found.select(log).distinct(), log, "left_anti")
 
-def logs_without_hosts(logs: DataFrame, hosts: DataFrame, log: str = "log") -> DataFrame:
-    """Logs without a successful task, given a (log, host, tasks) table."""
-    return logs.select(log).distinct().join(hosts.select(log).distinct(), log, "left_anti")
 
+def log_context(logs: DataFrame, marker: str, schema: str, log: str = "log",
+                line: str = "value", order: Sequence[str] = ("block", "at")) -> DataFrame:
+    """log and the fields of the JSON after the first `marker` of each log.
 
-def log_context(logs: DataFrame, marker: str, schema: T.StructType | str, log: str = "log",
-                text: str = "value") -> DataFrame:
-    """log and the fields of the JSON after the first `marker` of each log (one row per log)."""
-    payload = after_marker(text, marker)
-    found = logs.select(log, F.from_json(payload, schema).alias("c"), payload.alias("p"))
-    return found.where(F.col("p").isNotNull()).select(log, "c.*")
+    `logs` holds lines; `order` gives their order within a log. Only marked lines are grouped.
+    """
+    payload = after_marker(line, marker)
+    marked = logs.select(log, *order, payload.alias("payload")).where(F.col("payload").isNotNull())
+    first = marked.groupBy(log).agg(F.min_by("payload", F.struct(*order)).alias("payload"))
+    return first.select(log, F.from_json("payload", schema).alias("c")).select(log, "c.*")
 
 
 def live_hosts(workers: DataFrame, expected: int, state: str = "state", host: str = "host",

@@ -53,7 +53,8 @@ def _digest(counts: str) -> str:
     row = ("sha256(strlen(word)::VARCHAR || ':' || word || ',' || "
            "strlen(n::VARCHAR)::VARCHAR || ':' || n::VARCHAR)")
     sums = ", ".join(
-        f"coalesce(sum(('0x' || substr(h, {4 * i + 1}, 4))::BIGINT), 0)" for i in range(16))
+        f"coalesce(sum((('0x' || substr(h, {15 * i + 1}, 15))::BIGINT >> {20 * j}) & 1048575), 0)"
+        for i in range(4) for j in range(3))
     return (f"SELECT n_rows, sha256(n_rows || ',' || array_to_string(w, ',')) AS digest FROM ("
             f"SELECT count(*) AS n_rows, [{sums}] AS w FROM (SELECT {row} AS h FROM ({counts})))")
 

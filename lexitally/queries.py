@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str, name: str = "documents") -> DataFrame:
-    """A table whose rows are about to be exploded."""
+    """A table whose rows are about to be exploded or parsed."""
     return session.spread(table(spark, sf, name))
 
 
@@ -285,7 +285,7 @@ def _event_lines(spark, sf):
         kind.alias("Event"), F.lit(0).alias("Stage ID"), F.struct(host.alias("Host")).alias("Task Info"),
         F.struct(reason.alias("Reason")).alias("Task End Reason")))
     log = F.concat(F.lit("app-"), F.col("user_id").cast("string"))
-    return table(spark, sf, "events").select(log.alias("log"), event.alias("value"))
+    return texts(spark, sf, "events").select(log.alias("log"), event.alias("value"))
 
 
 def task_participation(spark, sf):
@@ -323,9 +323,10 @@ def log_context(spark, sf):
     marker = "RUN_CONTEXT "
     log = F.concat(F.lit("starting\nat "), F.lit(marker), "props",
                    F.lit("\n" + marker + '{"k": -1}\ndone\n'))
-    logs = table(spark, sf, "events").select(
+    logs = texts(spark, sf, "events").select(
         F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("log"), log.alias("value"))
-    return participation.log_context(logs, marker, "k INT")
+    return participation.log_context(
+        counts.lines(logs, "value", keep=["log"]), marker, "k INT", line="line", order=["line_no"])
 
 
 def live_hosts(spark, sf):

@@ -119,9 +119,15 @@ def parse_events(df: DataFrame, json: Column | str, log: Column | str) -> DataFr
 
 
 def read_run_logs(spark: SparkSession, path: Paths) -> DataFrame:
-    """log (file name without suffix), value (the whole log)"""
-    return spark.read.text(path, wholetext=True).select(
-        _stem(F.col("_metadata.file_path")).alias("log"), "value")
+    """log (file name without suffix), value (one line), block and at.
+
+    `block` is where the line's split starts in the file and `at` grows along a split, so
+    (block, at) is the order of lines in a log however the file was split.
+    """
+    return spark.read.text(path).select(
+        _stem(F.col("_metadata.file_path")).alias("log"), "value",
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))
 
 
 def read_attempts(spark: SparkSession, path: Paths) -> DataFrame:
