@@ -1,0 +1,154 @@
+"""Words, code points, record ends, normalisation: exact semantics."""
+
+import random
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from lexitally.functions import fields, text
+from lexitally.operators import counts, extremes
+
+SPACES = [chr(c) for c in (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
+    0x2029, 0x202F, 0x205F, 0x3000)]
+NOT_SPACES = ["​", "﻿", "᠎"]
+
+
+def frame(spark, texts, partitions=1):
+    return spark.createDataFrame([(t,) for t in texts], "text STRING").repartition(partitions)
+
+
+def as_dict(df, key="word"):
+    rows = df.collect()
+    found = {r[key]: r["n"] for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def chars_of(texts):
+    return {f"U+{ord(c):04X}": n for c, n in
+            Counter(c for t in texts for c in t if c not in "\r\n").items()}
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 7])
+def test_words(spark, partitions):
+    source = "Hello hello Hello!\n世界 世界\t🙂\r\n\nHello 世界\n"
+    split = frame(spark, source.split("\n"), partitions)
+    want = {"Hello": 2, "hello": 1, "Hello!": 1, "世界": 3, "🙂": 1}
+    assert as_dict(counts.word_count(split)) == want
+    assert as_dict(counts.word_count(frame(spark, [source]))) == want
+
+
+@pytest.mark.parametrize("combine", ["native", "arrow"])
+def test_chars(spark, combine):
+    source = "a a\t🙂\r\n世界\n\nA\n"
+    want = {"U+0061": 2, "U+0020": 1, "U+0009": 1, "U+1F642": 1, "U+4E16": 1, "U+754C": 1, "U+0041": 1}
+    assert as_dict(counts.char_count(frame(spark, [source]), combine=combine), "ch") == want
+    parts = frame(spark, source.split("\n"), 3)
+    assert as_dict(counts.char_count(parts, combine=combine), "ch") == want
+
+
+def test_whitespace_is_that_of_python(spark):
+    assert [c for c in map(chr, range(0x110000)) if not c.split() and c] == SPACES
+    texts = [f"x{s}y" for s in SPACES] + [f"{s}x{s}{s}y{s}" for s in SPACES] + SPACES
+    assert as_dict(counts.word_count(frame(spark, texts))) == {"x": 58, "y": 58}
+    odd = [f"x{s}y" for s in NOT_SPACES]
+    assert as_dict(counts.word_count(frame(spark, odd))) == {t: 1 for t in odd}
+
+
+@pytest.mark.parametrize("texts", [[], [""], [None], ["", None], [" \n\t"]])
+def test_nothing_to_count(spark, texts):
+    df = frame(spark, texts)
+    assert counts.word_count(df).collect() == []
+    assert extremes.extremes(counts.word_count(df)).collect() == []
+    for combine in ("native", "arrow"):
+        found = as_dict(counts.char_count(df, combine=combine), "ch")
+        assert found == chars_of([t for t in texts if t])
+
+
+def test_edges_and_special_code_points(spark):
+    texts = ["  a  ", "   ", "é", "\x00b", "\U0010ffff", "￾"]
+    assert as_dict(counts.word_count(frame(spark, texts))) == Counter(w for t in texts for w in t.split())
+    for combine in ("native", "arrow"):
+        assert as_dict(counts.char_count(frame(spark, texts), combine=combine), "ch") == chars_of(texts)
+
+
+def test_arrow_counts_every_slice(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("abcé世🙂 \n", k=rng.randrange(50))) for _ in range(1500)]
+    texts.append("xyz🙂" * 700_000)  # longer than one slice
+    got = as_dict(counts.char_count(frame(spark, texts, 2), combine="arrow"), "ch")
+    assert got == chars_of(texts)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(
+    alphabet=st.one_of(st.sampled_from(SPACES + NOT_SPACES + list("ab\n\r")),
+                       st.characters(exclude_categories=["Cs"])), max_size=40), max_size=60))
+def test_any_text(spark, texts):
+    df = frame(spark, texts, 2)
+    assert as_dict(counts.word_count(df)) == Counter(w for t in texts for w in t.split())
+    assert as_dict(counts.char_count(df), "ch") == chars_of(texts)
+    by_lines = counts.word_count(counts.lines(df), "line")
+    assert as_dict(by_lines) == Counter(w for t in texts for w in t.split())
+
+
+def test_record_ends(spark):
+    source = "A b\r\nc\rd\n\ne\x0bf\x85g h\n"
+    rows = counts.lines(frame(spark, [source, "", "\n", "x", None])).collect()
+    assert [(r.line_no, r.line) for r in rows] == [
+        (0, "A b"), (1, "c"), (2, "d"), (3, ""), (4, "e\x0bf\x85g h"), (0, ""), (0, "x")]
+
+
+def test_char_pairs_count_within_the_record(spark):
+    df = spark.createDataFrame([(1, "aab"), (2, "a\n")], "id INT, text STRING")
+    found = {(r.id, r.ch): r.n for r in counts.char_pairs(df, keep=["id"]).collect()}
+    assert found == {(1, "U+0061"): 2, (1, "U+0062"): 1, (2, "U+0061"): 1}
+
+
+def test_normalize(spark):
+    cases = {"﻿A b\r\nc\rd": "A b\nc\nd\n", "": "\n", "x\n": "x\n", "﻿﻿x": "﻿x\n",
+             "a\r\r\nb": "a\n\nb\n", "a\r": "a\n", "a﻿\n": "a﻿\n"}
+    df = spark.createDataFrame(list(cases.items()), "raw STRING, want STRING")
+    assert df.where(text.normalize_text("raw") != F.col("want")).collect() == []
+    for raw, want in cases.items():
+        model = raw.encode().decode("utf-8-sig").replace("\r\n", "\n").replace("\r", "\n")
+        assert (model if model.endswith("\n") else model + "\n") == want
+
+
+def test_strip_record_end(spark):
+    df = spark.createDataFrame([("a \r\n",), ("a\n\r\n",), ("a\rb",), ("\n",)], "t STRING")
+    got = [r[0] for r in df.select(text.strip_record_end("t")).collect()]
+    assert got == [s.rstrip("\r\n") for s in ("a \r\n", "a\n\r\n", "a\rb", "\n")]
+
+
+def test_invalid_utf8(spark):
+    df = spark.createDataFrame([(bytearray(b"a\xffb"),), (bytearray("ü".encode()),)], "b BINARY")
+    assert [r[0] for r in df.select(text.decode_utf8("b", "replace")).collect()] == ["a�b", "ü"]
+    assert [r[0] for r in df.select(text.decode_utf8("b", "null")).collect()] == [None, "ü"]
+    with pytest.raises(PySparkException):
+        df.select(text.decode_utf8("b")).collect()
+    with pytest.raises(ValueError):
+        text.decode_utf8("b", "ignore")
+
+
+def test_fields(spark):
+    df = spark.createDataFrame(
+        [("host:8042", "host"), ("a:b:80", "a:b"), ("nohost", "nohost")], "a STRING, want STRING")
+    assert df.where(fields.host_of("a") != F.col("want")).collect() == []
+    numbers = {"5": 5, " 5 ": 5, "+5": 5, "-5": -5, "5.0": None, "z": None, "": None, "1_0": None,
+               "9223372036854775808": None, "5L": None}
+    df = spark.createDataFrame([(k,) for k in numbers], "t STRING")
+    assert [r[0] for r in df.select(fields.to_integer("t")).collect()] == list(numbers.values())
+    big = 2**62 + 1
+    got = spark.range(1).select(
+        *[fields.ceil_div(F.lit(a).cast("bigint"), F.lit(b).cast("bigint")) for a, b in
+          ((0, 3), (1, 3), (3, 3), (4, 3), (big, 2))]).first()
+    assert list(got) == [0, 1, 1, 2, -(-big // 2)]
+    got = spark.sql("select timestamp'2026-09-24 23:54:29' as ts").select(
+        fields.utc_text("ts"), fields.run_id("ts", F.lit("spark"), F.lit(2))).first()
+    assert list(got) == ["2026-09-24T23:54:29Z", "20260924T235429Z-spark-2n"]
