@@ -1,0 +1,82 @@
+"""Physical plans: what moves, what is read, and what must never appear."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from lexitally import session
+from lexitally.operators import compare, corpus, counts, extremes
+
+PYTHON = {"char_count_arrow"}
+
+
+def plan(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+def exchanges(df, kind="hashpartitioning"):
+    return len(re.findall(rf"Exchange {kind}", plan(df)))
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+@pytest.mark.parametrize("name", entry.queries())
+def test_no_python_and_no_cross_join(spark, sf, name):
+    text = plan(entry.queries()[name](spark, sf))
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", text)
+    assert bool(re.search("Python|MapInArrow", text)) == (name in PYTHON)
+
+
+@pytest.mark.parametrize("count", [counts.word_count, counts.char_count])
+def test_counting_shuffles_partial_counts_once(docs, count):
+    text = plan(count(docs))
+    assert exchanges(count(docs)) == 1 and text.count("Exchange") == 1
+    assert text.index("partial_count") > text.index("Exchange")  # below it, in the scan stage
+    assert "ReadSchema: struct<text:string>" in text
+
+
+def test_extremes_add_one_row_per_task(docs):
+    df = extremes.extremes(counts.word_count(docs))
+    assert exchanges(df) == 1 and exchanges(df, "SinglePartition") == 1
+    assert "partial_min" in plan(df)
+
+
+def test_verification_of_counts_reuses_their_partitioning(docs):
+    a, b = counts.word_count(docs), counts.word_count(docs.where(F.col("lang") == "en"))
+    df = compare.verify_counts(a, b)
+    # One exchange per count and none for the comparison, in hash aggregates only.
+    assert exchanges(df) == 2
+    assert "SortAggregate" not in plan(df) and "Join" not in plan(df)
+
+
+def test_merging_counts_adds_no_exchange(docs):
+    parts = [counts.word_count(docs.where(F.col("lang") == x)) for x in ("de", "en")]
+    assert exchanges(counts.merge_counts(*parts)) == 2
+
+
+def test_digest_hashes_each_row_once(docs):
+    text = plan(compare.canonical_digest(counts.word_count(docs), ["word", "n"]))
+    assert len(re.findall(r"Project \[.*sha2\(", text)) == 2  # rows, and the sums at the end
+    assert "SinglePartition" in text and "Sort" not in text and "collect" not in text
+
+
+def test_manifest_is_a_projection(docs):
+    text = plan(corpus.manifest(docs, F.col("doc_id")))
+    assert "Exchange" not in text and "Aggregate" not in text
+
+
+def test_only_small_inputs_are_spread(spark, sf, docs):
+    assert "RoundRobin" not in plan(session.spread(spark.read.parquet(f"{sf}/benchmark.parquet")))
+    assert "RoundRobinPartitioning(2)" in plan(session.spread(docs, 8))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+        assert "RoundRobin" not in plan(session.spread(docs, 8))  # a split for every core
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
