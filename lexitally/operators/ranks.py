@@ -1,21 +1,27 @@
 """Positions in a total order without a one-task sort.
 
 Rows are range-partitioned and sorted within their partitions ("blocks"); the counts per block
-then give every block's starting position. The blocks are settled by a reliable checkpoint,
-because range bounds are sampled and a second evaluation of the same plan could cut differently.
+then give every block's starting position. The blocks are settled (see `session.settle`), because
+range bounds are sampled and a second evaluation of the same plan could cut differently.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
 
 _OFFSET_BITS = 33  # fixed value: monotonically_increasing_id keeps the row offset in 33 bits
 
+# The sketch's rank error is a fraction 1 / _ACCURACY of a group; the bracket reaches ten times
+# as far to either side of the middle.
+_ACCURACY = 10_000
+_MARGIN = 10 / _ACCURACY
+
 
 def sorted_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
     """`df` with `block` and `at`, the row's place within its block. Runs a job."""
@@ -40,50 +46,60 @@ def row_index(df: DataFrame, order: Sequence[str], name: str = "idx",
         *df.columns, (F.col("start") + F.col("at")).alias(name))
 
 
+def _same(left: str, right: str, columns: Sequence[str]) -> Column:
+    """Equality in which NULL equals NULL, as in GROUP BY."""
+    tests = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+    return reduce(Column.__and__, tests, F.lit(True))
+
+
 def group_spread(df: DataFrame, group: Sequence[str], value: str,
                  blocks: int | None = None) -> DataFrame:
     """Per group: runs, exact median, least and greatest `value`; NULL values are ignored.
 
-    The built-in exact median holds all distinct values of a group in one task. Here equal
-    values are merged first, a group may span many blocks, and only the block or two that hold
-    the middle ranks are searched, so no task sees more than one range partition.
+    The built-in exact median holds all distinct values of a group in one task. Here a first
+    pass takes counts, ends and a quantile sketch per group, which merge in any order. A second
+    pass counts what lies below the sketch's bracket around the middle and keeps only the values
+    inside, about one in 500. These are ranked in blocks, and only the blocks that hold a middle
+    rank are searched, so that even a group of a third of all rows stays out of any one task.
     """
-    weighted = (df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("v"))
-                .agg(F.count(F.lit(1)).alias("w")))
+    values = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("v"))
+    bracket = F.percentile_approx("v", [0.5 - _MARGIN, 0.5 + _MARGIN], _ACCURACY)
+    totals = settle(values.groupBy(*group).agg(
+        F.count("v").alias("runs"), F.min("v").alias("min"), F.max("v").alias("max"),
+        bracket.alias("bracket")), "totals")
+
+    # One pass for both: NULL stands for everything below the bracket and sorts before it.
+    lo, hi = F.col("t.bracket")[0], F.col("t.bracket")[1]
+    inside = values.alias("x").join(totals.alias("t"), _same("x", "t", group)).where(
+        F.col("x.v") <= hi).select("t.*", F.when(F.col("x.v") >= lo, F.col("x.v")).alias("v"))
+    weighted = inside.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("w"))
     placed = sorted_blocks(weighted, [*group, "v"], blocks)
 
-    in_group = Window.partitionBy(*group)
-    earlier = in_group.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    per_block = placed.groupBy(*group, "block").agg(
-        F.sum("w").alias("held"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    ranked = per_block.select(
-        *group, "block", "held",
-        F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("start"),
-        F.sum("held").over(in_group).alias("runs"),
-        F.min("lo").over(in_group).alias("min_v"),
-        F.max("hi").over(in_group).alias("max_v"),
-    ).withColumn("rank_lo", F.expr("(runs - 1) div 2")).withColumn("rank_hi", F.expr("runs div 2"))
-
-    def covers(rank, start, held):
-        return (F.col(rank) >= start) & (F.col(rank) < start + held)
+    earlier = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    held = placed.groupBy(*group, "block").agg(F.sum("w").alias("held")).withColumn(
+        "start", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
+    ranked = held.alias("h").join(totals.alias("t"), _same("h", "t", group)).select(
+        "t.*", "h.block", "h.start", "h.held",
+        F.expr("(t.runs - 1) div 2").alias("rank_lo"), F.expr("t.runs div 2").alias("rank_hi"))
 
-    start, held = F.col("start"), F.col("held")
-    middle = ranked.where(covers("rank_lo", start, held) | covers("rank_hi", start, held))
+    def covers(rank, start, n):
+        return (F.col(rank) >= F.col(start)) & (F.col(rank) < F.col(start) + F.col(n))
 
+    middle = settle(ranked.where(
+        covers("rank_lo", "start", "held") | covers("rank_hi", "start", "held")), "middle")
     so_far = Window.partitionBy(*group, "block").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    # An equi-join on the group and the block; groups may be NULL, as in any GROUP BY.
-    m, p = middle.drop("held").alias("m"), placed.alias("p")
-    same = F.col("p.block") == F.col("m.block")
-    for g in group:
-        same = same & F.col(f"p.{g}").eqNullSafe(F.col(f"m.{g}"))
-    found = p.join(m, same).select("m.*", "p.v", "p.w")
+    found = placed.alias("p").join(middle.alias("m"), _same("p", "m", [*group, "block"])).select(
+        "m.*", "p.v", "p.w")
     found = found.withColumn("before", F.col("start") + F.sum("w").over(so_far) - F.col("w"))
-    low = F.max(F.when(covers("rank_lo", F.col("before"), F.col("w")), F.col("v")))
-    high = F.max(F.when(covers("rank_hi", F.col("before"), F.col("w")), F.col("v")))
-    return found.groupBy(*group).agg(
-        F.max("runs").alias("runs"),
-        ((low + high) / 2).alias("median"),
-        F.max("min_v").alias("min"),
-        F.max("max_v").alias("max"),
-    )
+    low = F.max(F.when(covers("rank_lo", "before", "w"), F.col("v")))
+    high = F.max(F.when(covers("rank_hi", "before", "w"), F.col("v")))
+    ends = found.groupBy(*group).agg(
+        F.max("runs").alias("runs"), low.alias("low"), high.alias("high"),
+        F.max("min").alias("min"), F.max("max").alias("max"))
+    # A middle rank outside the bracket would leave NULL: never a wrong median, and the sketch's
+    # error bound keeps it from happening.
+    missed = F.raise_error(F.lit("median outside its bracket")).cast("double")
+    median = F.when(F.col("low").isNull() | F.col("high").isNull(), missed).otherwise(
+        (F.col("low") + F.col("high")) / 2)
+    return ends.select(*group, "runs", median.alias("median"), "min", "max")

@@ -1,6 +1,6 @@
 """The three counting jobs, from a folder of texts to a folder of results.
 
-    spark-submit --py-files lexitally.zip -m lexitally.plans.jobs wordcount --input IN --output OUT
+    python -m lexitally.plans.jobs wordcount --input IN --output OUT
 """
 
 from __future__ import annotations

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Least input worth a task of its own, in bytes as stored.
 _WORTH_A_TASK = 256 << 10
 
+# Estimates from here on stand for "unknown".
+_UNKNOWN = 1 << 60
+
 
 def start(app: str = "lexitally", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators count on; `conf` keys use __ for dots."""
@@ -28,11 +31,13 @@ def start(app: str = "lexitally", master: str | None = None, **conf: str) -> Spa
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Size the optimizer expects, or None where the session does not tell (Spark Connect)."""
+    """Size the optimizer expects, or None where it has no idea (rows that do not come from
+    files count as exabytes) or does not tell (Spark Connect)."""
     plan = getattr(df, "_jdf", None)
     if plan is None:
         return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < _UNKNOWN else None
 
 
 def spread(df: DataFrame, parallelism: int | None = None) -> DataFrame:
@@ -73,7 +78,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="lexitally-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
@@ -83,7 +87,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: rows and their placement are fixed and outlive any executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """`df` written once below the shared folder and read back. Runs a job.
+
+    Rows and their placement are fixed, survive the loss of any executor, and have a known size,
+    so that later joins choose their strategy by what is there and not by an estimate.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

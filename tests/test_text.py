@@ -136,6 +136,28 @@ def test_invalid_utf8(spark):
         text.decode_utf8("b", "ignore")
 
 
+def test_invalid_utf8_is_never_counted(spark):
+    df = spark.createDataFrame([(bytearray(b"a\xffb"),)], "b BINARY").selectExpr("cast(b as string) text")
+    for count in (counts.word_count, counts.lines, counts.char_count,
+                  lambda d: counts.char_count(d, combine="arrow")):
+        with pytest.raises(PySparkException, match="UTF8|utf8|UTF-8"):
+            count(df).collect()
+    repaired = df.select(F.make_valid_utf8("text").alias("text"))
+    assert as_dict(counts.word_count(repaired)) == {"a�b": 1}
+
+
+def test_large_inputs_are_counted_with_arrow(spark, monkeypatch, tmp_path):
+    unknown = frame(spark, ["a a"])
+    assert "MapInArrow" not in counts.char_count(unknown)._jdf.queryExecution().toString()
+    (tmp_path / "a.txt").write_text("a a\n")
+    df = spark.read.text(str(tmp_path)).withColumnRenamed("value", "text")
+    assert "MapInArrow" not in counts.char_count(df)._jdf.queryExecution().toString()
+    monkeypatch.setattr(counts, "ARROW_FROM", 1)
+    found = counts.char_count(df)
+    assert "MapInArrow" in found._jdf.queryExecution().toString()
+    assert as_dict(found, "ch") == {"U+0061": 2, "U+0020": 1}
+
+
 def test_fields(spark):
     df = spark.createDataFrame(
         [("host:8042", "host"), ("a:b:80", "a:b"), ("nohost", "nohost")], "a STRING, want STRING")
