@@ -7,11 +7,9 @@ and a duration will do.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .ranks import group_spread
 
@@ -59,11 +57,12 @@ def completeness(runs: DataFrame, expected: Mapping[str, Sequence], repetitions:
     and stacked on the runs, so one aggregate finds both kinds.
     """
     dims = list(expected)
-    fields = {f.name: f.dataType for f in runs.schema.fields}
-    schema = T.StructType([T.StructField(d, fields[d]) for d in dims])
-    grid = runs.sparkSession.createDataFrame(list(product(*expected.values())), schema)
-    marked = runs.select(*dims, F.lit(1).alias("run"), F.lit(0).alias("due")).unionByName(
-        grid.select(*dims, F.lit(0).alias("run"), F.lit(1).alias("due")))
+    types = {f.name: f.dataType for f in runs.schema.fields}
+    grid = runs.sparkSession.range(1).select(F.lit(0).alias("run"), F.lit(1).alias("due"))
+    for d in dims:
+        values = F.array(*[F.lit(v).cast(types[d]) for v in expected[d]])
+        grid = grid.withColumn(d, F.explode(values))
+    marked = runs.select(*dims, F.lit(1).alias("run"), F.lit(0).alias("due")).unionByName(grid)
     counted = marked.groupBy(*dims).agg(
         F.sum("run").alias("n"), (F.max("due") == 1).alias("expected"))
     return counted.where((F.col("n") != repetitions) | ~F.col("expected"))

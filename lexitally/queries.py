@@ -72,6 +72,10 @@ def chars(spark, sf):
     return counts.char_pairs(texts(spark, sf), keep=["doc_id"])
 
 
+def chars_arrow(spark, sf):
+    return counts.char_pairs(table(spark, sf, "documents"), keep=["doc_id"], combine="arrow")
+
+
 def word_count(spark, sf):
     return words_of(spark, sf)
 
@@ -81,7 +85,7 @@ def char_count(spark, sf):
 
 
 def char_count_arrow(spark, sf):
-    return counts.char_count(texts(spark, sf), combine="arrow")
+    return counts.char_count(table(spark, sf, "documents"), combine="arrow")
 
 
 def minmax(spark, sf):
@@ -336,7 +340,7 @@ def live_hosts(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    lines, tokens, chars, word_count, char_count, char_count_arrow, minmax, merge_counts,
+    lines, tokens, chars, chars_arrow, word_count, char_count, char_count_arrow, minmax, merge_counts,
     merge_extremes, scaled_counts, strip_eol, normalize_text, valid_documents, format_counts,
     parse_counts, write_counts, read_counts, manifest, corpus_totals, fingerprint,
     fingerprint_diff, replicate, shards, listing_diff, missing_files, content_diff,

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from lexitally import session
 from lexitally.operators import compare, corpus, counts, extremes
 
-PYTHON = {"char_count_arrow"}
+PYTHON = {"char_count_arrow", "chars_arrow"}
 
 
 def plan(df):

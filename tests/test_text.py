@@ -104,10 +104,21 @@ def test_record_ends(spark):
         (0, "A b"), (1, "c"), (2, "d"), (3, ""), (4, "e\x0bf\x85g h"), (0, ""), (0, "x")]
 
 
-def test_char_pairs_count_within_the_record(spark):
-    df = spark.createDataFrame([(1, "aab"), (2, "a\n")], "id INT, text STRING")
-    found = {(r.id, r.ch): r.n for r in counts.char_pairs(df, keep=["id"]).collect()}
-    assert found == {(1, "U+0061"): 2, (1, "U+0062"): 1, (2, "U+0061"): 1}
+@pytest.mark.parametrize("combine", ["native", "arrow"])
+def test_char_pairs_count_within_the_record(spark, combine):
+    df = spark.createDataFrame(
+        [(1, "x", "aab"), (2, None, "a\n"), (3, "y", None), (4, "z", "")], "id INT, k STRING, text STRING")
+    found = counts.char_pairs(df, keep=["id", "k"], combine=combine).collect()
+    assert {(r.id, r.k, r.ch): r.n for r in found} == {
+        (1, "x", "U+0061"): 2, (1, "x", "U+0062"): 1, (2, None, "U+0061"): 1}
+
+
+def test_char_pairs_of_more_rows_than_a_slice(spark):
+    df = spark.range(1000).selectExpr("id", "repeat('🙂', int(id % 7)) || 'b' as text").repartition(1)
+    found = counts.char_pairs(df, keep=["id"], combine="arrow").collect()
+    assert {(r.id, r.ch): r.n for r in found} == {
+        **{(i, "U+0062"): 1 for i in range(1000)},
+        **{(i, "U+1F642"): i % 7 for i in range(1000) if i % 7}}
 
 
 def test_normalize(spark):
