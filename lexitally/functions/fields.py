@@ -40,6 +40,11 @@ def base_name(path: Column | str) -> Column:
     return F.substring_index(column(path), "/", -1)
 
 
+def decoded(uri: Column | str) -> Column:
+    """File name out of its URI form, in which a plus sign is just a plus sign."""
+    return F.url_decode(F.replace(column(uri), F.lit("+"), F.lit("%2B")))
+
+
 def host_of(address: Column | str) -> Column:
     """Address without its last `:port`."""
     return F.regexp_replace(column(address), r":[^:]*\z", "")

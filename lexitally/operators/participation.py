@@ -56,6 +56,12 @@ def log_context(logs: DataFrame, marker: str, schema: str, log: str = "log",
     return first.select(log, F.from_json("payload", schema).alias("c")).select(log, "c.*")
 
 
+def by_run(ids: DataFrame, hosts: DataFrame) -> DataFrame:
+    """log, host, tasks of each run, from its (log, id) and the hosts found for those ids."""
+    named = hosts.select(F.col("log").alias("id"), "host", "tasks")
+    return ids.join(named, "id").groupBy("log", "host").agg(F.sum("tasks").alias("tasks"))
+
+
 def live_hosts(workers: DataFrame, expected: int, state: str = "state", host: str = "host",
                live: str = ALIVE) -> DataFrame:
     """hosts, expected, complete: distinct hosts of the live workers of one snapshot"""

@@ -47,9 +47,10 @@ def run(spark: SparkSession, job: str, source: str, target: str,
         raise ValueError(f"form must be text or parquet, not {form!r}")
     if partitions is not None and partitions < 1:
         raise ValueError("partitions must be at least 1")
+    # Text splits at any record; parquet only between row groups.
     texts = (readers.read_lines(spark, source) if form == "text"
-             else spark.read.parquet(source).select("text"))
-    found = result(job, session.spread(texts))
+             else session.spread(spark.read.parquet(source).select("text")))
+    found = result(job, texts)
     if job == "minmax":
         writers.write_extremes(found, target)
     else:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fields import base_name
+from ..functions.fields import base_name, decoded
 from ..functions.text import column, sha256
 from ..operators.compare import parse_counts, parse_extremes
 from ..operators.corpus import EMPTY_SHA256
@@ -46,8 +46,8 @@ def read_listing(spark: SparkSession, path: Paths) -> DataFrame:
     is one name per file and no content, so this is as large as that index, no larger.
     """
     found = spark.read.format("binaryFile").load(path).inputFiles()
-    return spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in found], "name STRING").select(
-        F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B"))).alias("name"))
+    names = spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in found], "name STRING")
+    return names.select(decoded("name").alias("name"))
 
 
 def read_files(spark: SparkSession, path: Paths) -> DataFrame:
@@ -98,18 +98,24 @@ def read_answers(spark: SparkSession, path: Paths, schema: str = schemas.COUNTS)
 
 
 def read_timings(spark: SparkSession, paths: Paths) -> DataFrame:
-    """All runs of several timing files."""
-    return spark.read.schema(schemas.TIMINGS).option("header", True).csv(paths)
+    """All runs of several timing files. A file whose header differs from the schema fails."""
+    return (spark.read.schema(schemas.TIMINGS).option("header", True)
+            .option("enforceSchema", False).csv(paths))
 
 
-def _stem(path: Column) -> Column:
-    return F.regexp_replace(base_name(path), r"\.[^.]*\z", "")
+def _file_name() -> Column:
+    return decoded("_metadata.file_name")
+
+
+def _stem() -> Column:
+    """File name without its last suffix."""
+    return F.regexp_replace(_file_name(), r"(?<=.)\.[^.]*\z", "")
 
 
 def read_event_log(spark: SparkSession, path: Paths) -> DataFrame:
     """log (the file name, which is the application id) and the event fields."""
     return spark.read.schema(schemas.EVENT).json(path).select(
-        base_name(F.col("_metadata.file_path")).alias("log"), "*")
+        _file_name().alias("log"), "*")
 
 
 def parse_events(df: DataFrame, json: Column | str, log: Column | str) -> DataFrame:
@@ -125,7 +131,7 @@ def read_run_logs(spark: SparkSession, path: Paths) -> DataFrame:
     (block, at) is the order of lines in a log however the file was split.
     """
     return spark.read.text(path).select(
-        _stem(F.col("_metadata.file_path")).alias("log"), "value",
+        _stem().alias("log"), "value",
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"))
 
@@ -133,7 +139,7 @@ def read_run_logs(spark: SparkSession, path: Paths) -> DataFrame:
 def read_attempts(spark: SparkSession, path: Paths) -> DataFrame:
     """log and the attempts of saved job-history answers."""
     return spark.read.schema(schemas.ATTEMPTS).option("multiLine", True).json(path).select(
-        _stem(F.col("_metadata.file_path")).alias("log"), "*")
+        _stem().alias("log"), "*")
 
 
 def read_workers(spark: SparkSession, path: Paths, framework: str) -> DataFrame:

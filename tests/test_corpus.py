@@ -8,8 +8,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lexitally.operators import corpus, ranks
-from lexitally.plans import prepare
-from lexitally.sources import readers
+from lexitally.plans import jobs, prepare
+from lexitally.sources import readers, schemas
 
 
 def docs(spark, texts):
@@ -99,7 +99,16 @@ def test_prepare(spark, tmp_path):
     path = str(tmp_path / "corpus")
     prepare.write(done, path)
     assert readers.read_answers(spark, f"{path}/expected/wordcount").count() == 7
+    ends = readers.read_answers(spark, f"{path}/expected/minmax", schemas.EXTREMES)
+    assert {tuple(r) for r in ends.collect()} == {tuple(r) for r in done.minmax.collect()}
     assert spark.read.parquet(f"{path}/corpus").count() == 2 * k
+    # The jobs over the copies give the answers counted on the single documents.
+    for job in jobs.JOBS:
+        out = str(tmp_path / job)
+        jobs.run(spark, job, f"{path}/corpus", out, form="parquet")
+        schema = schemas.EXTREMES if job == "minmax" else schemas.COUNTS
+        expected = readers.read_answers(spark, f"{path}/expected/{job}", schema)
+        assert jobs.verify(spark, job, out, expected).first().verified
     with pytest.raises(PySparkException):
         prepare.write(done, path)
 

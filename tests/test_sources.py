@@ -107,15 +107,15 @@ def test_event_log(spark, tmp_path):
 def test_run_logs(spark, tmp_path):
     (tmp_path / "wordcount-1.log").write_text(
         "x job_12_0001 job_12_0001\nmyjob_9_9 job_3_4x job_12_0002\n")
-    (tmp_path / "minmax-1.log").write_text(
+    (tmp_path / "min max+%41-1.log").write_text(
         'noise\nat CTX {"application_id": "app-1", "master": "m", "default_parallelism": 4}\n'
         'CTX {"application_id": "app-2", "master": "m", "default_parallelism": 4}\n')
     logs = readers.read_run_logs(spark, str(tmp_path / "*.log"))
     ids = participation.job_ids(logs)
     assert {tuple(r) for r in ids.collect()} == {("wordcount-1", "job_12_0001"), ("wordcount-1", "job_12_0002")}
-    assert [r.log for r in participation.logs_without(logs, ids).collect()] == ["minmax-1"]
+    assert [r.log for r in participation.logs_without(logs, ids).collect()] == ["min max+%41-1"]
     context = participation.log_context(logs, "CTX ", schemas.CONTEXT)
-    assert [tuple(r) for r in context.collect()] == [("minmax-1", "app-1", "m", 4)]
+    assert [tuple(r) for r in context.collect()] == [("min max+%41-1", "app-1", "m", 4)]
 
 
 def test_first_context_of_a_log_in_many_splits(spark, tmp_path):
