@@ -22,6 +22,9 @@ from pyspark.sql import types as T
 from ..functions.text import RECORD_ENDS, code_point_key, split_code_points, split_lines, split_words
 from ..session import estimated_bytes
 
+# Texts of more bytes than this are split into lines before words and characters.
+LONG_TEXT = 1 << 20
+
 # Input size from which starting Python workers is worth it for counting characters.
 ARROW_FROM = 1 << 30
 
@@ -31,14 +34,24 @@ def lines(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFr
     return df.select(*keep, F.posexplode(split_lines(F.validate_utf8(text))).alias("line_no", "line"))
 
 
+def _pieces(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
+    """Texts to be split in memory, in `_piece`: whole if short, line by line if long. A record
+    end belongs to no word and is no counted character, so nothing changes but the size of the
+    arrays that a text of hundreds of megabytes would turn into."""
+    valid = F.validate_utf8(text)
+    parts = F.when(F.octet_length(valid) > LONG_TEXT, split_lines(valid)).otherwise(F.array(valid))
+    return df.select(*keep, F.explode(parts).alias("_piece"))
+
+
 def tokens(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """One row per word occurrence."""
-    return df.select(*keep, F.explode(split_words(F.validate_utf8(text))).alias("word")).where(F.col("word") != "")
+    exploded = _pieces(df, text, keep).select(*keep, F.explode(split_words("_piece")).alias("word"))
+    return exploded.where(F.col("word") != "")
 
 
 def chars(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """One row per code point occurrence, record ends left out."""
-    exploded = df.select(*keep, F.explode(split_code_points(F.validate_utf8(text))).alias("c"))
+    exploded = _pieces(df, text, keep).select(*keep, F.explode(split_code_points("_piece")).alias("c"))
     return exploded.where(~F.col("c").isin("", *RECORD_ENDS))
 
 

@@ -97,6 +97,16 @@ def test_any_text(spark, texts):
     assert as_dict(by_lines) == Counter(w for t in texts for w in t.split())
 
 
+def test_long_texts_are_split_by_lines(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("ab \t\r\n世🙂", k=rng.randrange(60))) for _ in range(200)]
+    df = frame(spark, [*texts, None, ""], 3)
+    whole = [as_dict(counts.word_count(df)), as_dict(counts.char_count(df), "ch")]
+    monkeypatch.setattr(counts, "LONG_TEXT", 20)
+    assert [as_dict(counts.word_count(df)), as_dict(counts.char_count(df), "ch")] == whole
+    assert whole == [Counter(w for t in texts for w in t.split()), chars_of(texts)]
+
+
 def test_record_ends(spark):
     source = "A b\r\nc\rd\n\ne\x0bf\x85g h\n"
     rows = counts.lines(frame(spark, [source, "", "\n", "x", None])).collect()
