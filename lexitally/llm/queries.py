@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
-from .shared import table
+from . import ann, bpe, impact, langid, minhash, packing, rans, warc
+from .shared import new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,43 @@ def op1_bpe(spark, sf):
     return bpe.digests(bpe.round_trip(table(spark, sf, "documents"), path))
 
 
+def op2_ann(spark, sf):
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op3_warc(spark, sf):
+    path = new_path(spark, "archives")
+    warc.write(table(spark, sf, "pages"), path)
+    return warc.read(spark, path).drop("url")
+
+
+def op5_packing(spark, sf):
+    docs = table(spark, sf, "documents")
+    text = F.col("text")
+    return packing.pack(docs, "doc_id", packing.n_words(text), F.col("source"), packing.copies(text))
+
+
+def op6_langid(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~langid.held_out("doc_id")))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op7_impact(spark, sf):
+    return impact.top(table(spark, sf, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op9_rans(spark, sf):
+    path = new_path(spark, "coded")
+    rans.write(table(spark, sf, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return rans.checksums(spark, path)
+
+
+def op10_minhash(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_bpe,
+    op1_bpe, op2_ann, op3_warc, op5_packing, op6_langid, op7_impact, op9_rans, op10_minhash,
 )}
