@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, impact, langid, minhash, packing, rans, warc
+from . import ann, bpe, impact, langid, linededup, minhash, packing, rans, warc
 from .shared import new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op7_impact(spark, sf):
     return impact.top(table(spark, sf, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op8_linededup(spark, sf):
+    return linededup.line_report(table(spark, sf, "documents"))
+
+
 def op9_rans(spark, sf):
     path = new_path(spark, "coded")
     rans.write(table(spark, sf, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=1)
@@ -57,5 +61,6 @@ def op10_minhash(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_bpe, op2_ann, op3_warc, op5_packing, op6_langid, op7_impact, op9_rans, op10_minhash,
+    op1_bpe, op2_ann, op3_warc, op5_packing, op6_langid, op7_impact, op8_linededup,
+    op9_rans, op10_minhash,
 )}
