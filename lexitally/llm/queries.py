@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, impact, langid, linededup, minhash, packing, rans, warc
+from . import ann, bpe, htmltext, impact, langid, linededup, minhash, packing, rans, warc
 from .shared import new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op3_warc(spark, sf):
     return warc.read(spark, path).drop("url")
 
 
+def op4_htmltext(spark, sf):
+    return htmltext.main_text(table(spark, sf, "pages"))
+
+
 def op5_packing(spark, sf):
     docs = table(spark, sf, "documents")
     text = F.col("text")
@@ -61,6 +65,6 @@ def op10_minhash(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_bpe, op2_ann, op3_warc, op5_packing, op6_langid, op7_impact, op8_linededup,
+    op1_bpe, op2_ann, op3_warc, op4_htmltext, op5_packing, op6_langid, op7_impact, op8_linededup,
     op9_rans, op10_minhash,
 )}
