@@ -33,9 +33,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id. Rows that
-    repeat an id, of the same or another text, are one document: the smallest row stays."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(settle(kept, "kept"), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    repeat id and text are one document; those that repeat the id alone are told apart."""
+    keyed = docs.withColumn("__key", F.struct("doc_id", F.xxhash64("text").alias("h")))
+    kept = settle(minhash.near_duplicates(keyed, "__key").where("kept").select("__key").distinct(), "kept")
+    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
