@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # separators U+001C..U+001F; the possessive `++` spares the matcher its backtracking.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]++"
 
+# Characters of a piece of text, to which the rest of its last word is added.
+PIECE = 1 << 16
+
 # Characters that end a record and are therefore never counted.
 RECORD_ENDS = ("\n", "\r")
 
@@ -28,6 +31,12 @@ def split_words(text: Column | str) -> Column:
     return F.split(column(text), WHITESPACE)
 
 
+def pieces(text: Column | str, size: int | None = None) -> Column:
+    """Array of consecutive parts of about `size` characters that make up the text and do not cut
+    a word. Possessive, so the matcher keeps no positions to return to."""
+    return F.regexp_extract_all(column(text), F.lit(rf"(?sU).{{1,{size or PIECE}}}+[^\s\x1c-\x1f]*+"), F.lit(0))
+
+
 def split_code_points(text: Column | str) -> Column:
     """Array of one-code-point strings; [''] for the empty text."""
     return F.split(column(text), "")

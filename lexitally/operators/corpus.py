@@ -77,10 +77,12 @@ def fingerprint_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def copies_for(files: DataFrame, minimum_bytes: int) -> DataFrame:
-    """One row, `copies`: how often the files must be repeated to reach `minimum_bytes`."""
+    """One row, `copies`: how often the files must be repeated to reach `minimum_bytes`. The query
+    fails if there is nothing to repeat."""
     if minimum_bytes < 1:
         raise ValueError("minimum_bytes must be positive")
-    total = F.when(F.sum("bytes") > 0, F.sum("bytes"))
+    total = F.when(F.sum("bytes") > 0, F.sum("bytes")).otherwise(
+        F.raise_error(F.lit("no bytes to repeat")).cast("bigint"))
     return files.agg(ceil_div(F.lit(minimum_bytes).cast("bigint"), total).alias("copies"))
 
 
@@ -125,5 +127,5 @@ def shard(files: DataFrame, shards: int, index: int, order: Sequence[str] = ("na
           blocks: int | None = None) -> DataFrame:
     """The files of one shard; all shards together hold each file once."""
     if not 0 <= index < shards:
-        raise ValueError("shard must be less than shards")
+        raise ValueError(f"index {index} names none of the {shards} shards")
     return with_shard(files, shards, order, blocks).where(F.col("shard") == index)

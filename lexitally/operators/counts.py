@@ -10,23 +10,13 @@ else. `functions.text.decode_utf8` repairs or sorts out such texts beforehand.
 
 from __future__ import annotations
 
-import sys
-from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.text import RECORD_ENDS, code_point_key, split_code_points, split_lines, split_words
-from ..session import estimated_bytes
-
-# Texts of more bytes than this are split into lines before words and characters.
-LONG_TEXT = 1 << 20
-
-# Input size from which starting Python workers is worth it for counting characters.
-ARROW_FROM = 1 << 30
+from ..functions.text import RECORD_ENDS, code_point_key, pieces, split_code_points, split_lines, split_words
 
 
 def lines(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
@@ -35,12 +25,9 @@ def lines(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFr
 
 
 def _pieces(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """Texts to be split in memory, in `_piece`: whole if short, line by line if long. A record
-    end belongs to no word and is no counted character, so nothing changes but the size of the
-    arrays that a text of hundreds of megabytes would turn into."""
-    valid = F.validate_utf8(text)
-    parts = F.when(F.octet_length(valid) > LONG_TEXT, split_lines(valid)).otherwise(F.array(valid))
-    return df.select(*keep, F.explode(parts).alias("_piece"))
+    """Every text in bounded pieces, in `_piece`, none of which cuts a word; so no array holds all
+    words or all characters of a text, with record ends or without."""
+    return df.select(*keep, F.explode(pieces(F.validate_utf8(text))).alias("_piece"))
 
 
 def tokens(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
@@ -55,21 +42,11 @@ def chars(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFr
     return exploded.where(~F.col("c").isin("", *RECORD_ENDS))
 
 
-def char_pairs(df: DataFrame, text: str = "text", keep: Sequence[str] = (),
-               combine: str = "auto") -> DataFrame:
-    """keep, ch, n: characters counted within each record; `keep` must identify the record.
-
-    `native` explodes and regroups, so the pairs of a record cross an exchange; `arrow` counts
-    each record where it is and moves nothing. See `char_count` for `auto`.
-    """
-    if _combine(df, text, combine) == "native":
-        counted = chars(df, text, keep).groupBy(*keep, "c").agg(F.count(F.lit(1)).alias("n"))
-        return counted.select(*keep, code_point_key("c").alias("ch"), "n")
-    kept = df.select(*keep, F.validate_utf8(text).alias("_text"))
-    schema = T.StructType([f for f in kept.schema if f.name != "_text"])
-    schema = schema.add("code", T.IntegerType()).add("n", T.LongType())
-    pairs = kept.mapInArrow(_count_each_record, schema)
-    return pairs.select(*keep, F.format_string("U+%04X", "code").alias("ch"), "n")
+def char_pairs(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """keep, ch, n: characters counted for each value of `keep`, for each record if that
+    identifies one."""
+    counted = chars(df, text, keep).groupBy(*keep, "c").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(*keep, code_point_key("c").alias("ch"), "n")
 
 
 def word_count(df: DataFrame, text: str = "text") -> DataFrame:
@@ -77,73 +54,13 @@ def word_count(df: DataFrame, text: str = "text") -> DataFrame:
     return tokens(df, text).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def char_count(df: DataFrame, text: str = "text", combine: str = "auto") -> DataFrame:
+def char_count(df: DataFrame, text: str = "text") -> DataFrame:
     """ch (`U+XXXX`), n
 
-    `native` explodes code points inside the JVM and groups by the raw character, so the key is
-    only formatted for the few distinct ones. `arrow` counts each partition's batches with numpy
-    before the exchange, which costs about a sixth of the CPU time but needs Python workers.
-    `auto` takes `arrow` from `ARROW_FROM` bytes of input on. The result is the same.
+    Code points are grouped as they are, so the key is only formatted for the few distinct ones.
     """
-    if _combine(df, text, combine) == "native":
-        counted = chars(df, text).groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-        return counted.select(code_point_key("c").alias("ch"), "n")
-    partial = df.select(F.validate_utf8(text)).mapInArrow(_count_code_points, "code int, n bigint")
-    merged = partial.groupBy("code").agg(F.sum("n").alias("n"))
-    return merged.select(F.format_string("U+%04X", "code").alias("ch"), "n")
-
-
-def _combine(df: DataFrame, text: str, combine: str) -> str:
-    if combine not in ("auto", "native", "arrow"):
-        raise ValueError(f"combine must be auto, native or arrow, not {combine!r}")
-    if combine == "auto":
-        return "arrow" if (estimated_bytes(df.select(text)) or 0) >= ARROW_FROM else "native"
-    return combine
-
-
-_ROWS = 256  # rows of a batch taken at a time, so that memory does not grow with the batch
-
-
-def _count_each_record(batches: Iterable) -> Iterator:
-    """Pairs of each record; the text is the last column."""
-    import pyarrow as pa
-
-    for batch in batches:
-        for start in range(0, batch.num_rows, _ROWS):
-            part = batch.slice(start, _ROWS)
-            rows, codes, counts = [], [], []
-            for row, text in enumerate(part.column(part.num_columns - 1).to_pylist()):
-                for char, n in Counter(text or "").items():
-                    if char not in RECORD_ENDS:
-                        rows.append(row)
-                        codes.append(ord(char))
-                        counts.append(n)
-            at = pa.array(rows, pa.int32())
-            kept = [part.column(i).take(at) for i in range(part.num_columns - 1)]
-            names = [*part.schema.names[:-1], "code", "n"]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(codes, pa.int32()), pa.array(counts, pa.int64())], names=names)
-
-
-def _count_code_points(batches: Iterable) -> Iterator:
-    """Partial counts of one partition, long texts piece by piece; nothing is left out."""
-    import numpy as np
-    import pyarrow as pa
-
-    length = 1 << 20
-    totals = np.zeros(sys.maxunicode + 1, dtype=np.int64)
-    for batch in batches:
-        column = batch.column(0)
-        for start in range(0, len(column), _ROWS):
-            text = "".join(t for t in column.slice(start, _ROWS).to_pylist() if t)
-            for at in range(0, len(text), length):
-                codes = np.frombuffer(text[at:at + length].encode("utf-32-le"), dtype=np.uint32)
-                seen = np.bincount(codes)
-                totals[:len(seen)] += seen
-    totals[[ord(c) for c in RECORD_ENDS]] = 0
-    found = np.flatnonzero(totals)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(found.astype(np.int32)), pa.array(totals[found])], names=["code", "n"])
+    counted = chars(df, text).groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(code_point_key("c").alias("ch"), "n")
 
 
 def merge_counts(first: DataFrame, *others: DataFrame, key: str = "word") -> DataFrame:

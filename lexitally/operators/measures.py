@@ -34,7 +34,7 @@ def require_verified(runs: DataFrame, ok: Column | None = None) -> DataFrame:
 
 def timing_summary(runs: DataFrame, group: Sequence[str] = GROUP, seconds: str = "seconds",
                    digits: int = 6) -> DataFrame:
-    """group, runs, median, min, max, in the order of the group. Runs a job (see `ranks`)."""
+    """group, runs, median, min, max, in the order of the group."""
     found = group_spread(runs, group, seconds)
     return found.select(
         *group, "runs", *[F.round(c, digits).alias(c) for c in ("median", "min", "max")],
@@ -43,11 +43,13 @@ def timing_summary(runs: DataFrame, group: Sequence[str] = GROUP, seconds: str =
 
 def error_bars(summary: DataFrame, group: Sequence[str] = GROUP, digits: int = 6) -> DataFrame:
     """group, median, below (median - min), above (max - median)"""
+    return with_error_bars(summary, digits).select(*group, "median", "below", "above")
+
+
+def with_error_bars(summary: DataFrame, digits: int = 6) -> DataFrame:
     return summary.select(
-        *group, "median",
-        F.round(F.col("median") - F.col("min"), digits).alias("below"),
-        F.round(F.col("max") - F.col("median"), digits).alias("above"),
-    )
+        "*", F.round(F.col("median") - F.col("min"), digits).alias("below"),
+        F.round(F.col("max") - F.col("median"), digits).alias("above"))
 
 
 def completeness(runs: DataFrame, expected: Mapping[str, Sequence], repetitions: int) -> DataFrame:

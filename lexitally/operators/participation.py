@@ -44,6 +44,16 @@ def logs_without(logs: DataFrame, found: DataFrame, log: str = "log") -> DataFra
     return logs.select(log).distinct().join(found.select(log).distinct(), log, "left_anti")
 
 
+def required(logs: DataFrame, found: DataFrame, what: str, log: str = "log") -> DataFrame:
+    """`found`; the query that reads it fails if any of `logs` has no row there."""
+    reason = F.concat(F.lit(f"no {what} in "), F.col(log).cast("string"))
+    # The failure depends on the joined side, so it cannot be moved before the join.
+    marked = logs.select(log).distinct().join(
+        found.select(log).distinct().withColumn("_found", F.lit(True)), log, "left")
+    missing = marked.where(F.when(F.col("_found").isNull(), F.raise_error(reason).cast("boolean")).otherwise(False))
+    return found.unionByName(missing.select(log), allowMissingColumns=True)
+
+
 def log_context(logs: DataFrame, marker: str, schema: str, log: str = "log",
                 line: str = "value", order: Sequence[str] = ("block", "at")) -> DataFrame:
     """log and the fields of the JSON after the first `marker` of each log.

@@ -1,9 +1,5 @@
-"""Positions in a total order without a one-task sort.
-
-Rows are range-partitioned and sorted within their partitions ("blocks"); the counts per block
-then give every block's starting position. The blocks are settled (see `session.settle`), because
-range bounds are sampled and a second evaluation of the same plan could cut differently.
-"""
+"""Positions in a total order and exact medians, without a one-task sort and without a job of
+their own: the plans run when their result is read."""
 
 from __future__ import annotations
 
@@ -13,8 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import settle
-
 _OFFSET_BITS = 33  # fixed value: monotonically_increasing_id keeps the row offset in 33 bits
 
 # The sketch's rank error is a fraction 1 / _ACCURACY of a group; the bracket reaches ten times
@@ -23,27 +17,33 @@ _ACCURACY = 10_000
 _MARGIN = 10 / _ACCURACY
 
 
-def sorted_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
-    """`df` with `block` and `at`, the row's place within its block. Runs a job."""
-    ranged = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
-    placed = ranged.sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
-    return settle(placed.select(
-        *df.columns,
-        F.shiftright("at", _OFFSET_BITS).alias("block"),
-        F.col("at").bitwiseAND((1 << _OFFSET_BITS) - 1).alias("at"),
-    ))
-
-
 def row_index(df: DataFrame, order: Sequence[str], name: str = "idx",
               blocks: int | None = None) -> DataFrame:
-    """Zero-based position of each row in the order of `order`, which must be unique."""
-    placed = sorted_blocks(df, order, blocks)
-    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("block").agg(F.count(F.lit(1)).alias("n")).select(
-        "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    """Zero-based position of each row in the order of `order`, which must be unique.
+
+    Rows are range-partitioned and sorted within their partitions ("blocks"), and the counts per
+    block give every block's starting position. Rows and counts read the same exchange. Its number
+    of partitions is given, which keeps adaptive execution from merging them differently for the
+    two; were they cut differently all the same, a row outside its block fails the query.
+    """
+    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*order)
+    place = F.monotonically_increasing_id()
+    cut = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", place).select(
+        *df.columns, F.shiftright("_at", _OFFSET_BITS).alias("_block"),
+        F.col("_at").bitwiseAND((1 << _OFFSET_BITS) - 1).alias("_at"))
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    counted = cut.groupBy("_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(key).alias("_least"), F.max(key).alias("_most"),
+        # Without a use for every column here, each side would get an exchange of its own.
+        F.max(F.xxhash64(*df.columns)).alias("_any"))
+    starts = counted.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     # One row per range partition: the window above and this broadcast stay that small.
-    return placed.join(F.broadcast(starts), "block").select(
-        *df.columns, (F.col("start") + F.col("at")).alias(name))
+    found = cut.join(F.broadcast(starts), "_block")
+    inside = (F.col("_at") < F.col("_n")) & (key >= F.col("_least")) & (key <= F.col("_most")) & F.col("_any").isNotNull()
+    index = F.when(inside, F.col("_start") + F.col("_at")).otherwise(
+        F.raise_error(F.lit("blocks were cut twice")).cast("bigint"))
+    return found.select(*df.columns, index.alias(name))
 
 
 def _same(left: str, right: str, columns: Sequence[str]) -> Column:
@@ -52,54 +52,42 @@ def _same(left: str, right: str, columns: Sequence[str]) -> Column:
     return reduce(Column.__and__, tests, F.lit(True))
 
 
-def group_spread(df: DataFrame, group: Sequence[str], value: str,
-                 blocks: int | None = None) -> DataFrame:
-    """Per group: runs, exact median, least and greatest `value`; NULL values are ignored.
+def group_spread(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Per group: runs (values that are not NULL), exact median, least and greatest `value`. A
+    group without values has 0 runs and no more.
 
     The built-in exact median holds all distinct values of a group in one task. Here a first
     pass takes counts, ends and a quantile sketch per group, which merge in any order. A second
-    pass counts what lies below the sketch's bracket around the middle and keeps only the values
-    inside, about one in 500. These are ranked in blocks, and only the blocks that hold a middle
-    rank are searched, so that even a group of a third of all rows stays out of any one task.
+    pass folds what lies below the sketch's bracket around the middle into one weight, and ranks
+    only the values inside, about one in 500.
     """
-    values = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("v"))
+    values = df.select(*group, F.col(value).alias("v"))
     bracket = F.percentile_approx("v", [0.5 - _MARGIN, 0.5 + _MARGIN], _ACCURACY)
-    totals = settle(values.groupBy(*group).agg(
+    totals = values.groupBy(*group).agg(
         F.count("v").alias("runs"), F.min("v").alias("min"), F.max("v").alias("max"),
-        bracket.alias("bracket")), "totals")
+        bracket.alias("bracket"))
 
-    # One pass for both: NULL stands for everything below the bracket and sorts before it.
+    # NULL stands for everything below the bracket and sorts before it. A group without values
+    # brings one row of no weight, since the bracket is NULL there.
+    own = [F.col(f"t.{c}") for c in (*group, "runs", "min", "max")]
     lo, hi = F.col("t.bracket")[0], F.col("t.bracket")[1]
-    inside = values.alias("x").join(totals.alias("t"), _same("x", "t", group)).where(
-        F.col("x.v") <= hi).select("t.*", F.when(F.col("x.v") >= lo, F.col("x.v")).alias("v"))
-    weighted = inside.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("w"))
-    placed = sorted_blocks(weighted, [*group, "v"], blocks)
-
-    earlier = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    held = placed.groupBy(*group, "block").agg(F.sum("w").alias("held")).withColumn(
-        "start", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
-    ranked = held.alias("h").join(totals.alias("t"), _same("h", "t", group)).select(
-        "t.*", "h.block", "h.start", "h.held",
-        F.expr("(t.runs - 1) div 2").alias("rank_lo"), F.expr("t.runs div 2").alias("rank_hi"))
-
-    def covers(rank, start, n):
-        return (F.col(rank) >= F.col(start)) & (F.col(rank) < F.col(start) + F.col(n))
-
-    middle = settle(ranked.where(
-        covers("rank_lo", "start", "held") | covers("rank_hi", "start", "held")), "middle")
-    so_far = Window.partitionBy(*group, "block").orderBy("v").rowsBetween(
+    up_to = F.col("t.bracket").isNull() | (F.col("x.v") <= hi)
+    inside = values.alias("x").join(totals.alias("t"), _same("x", "t", group)).where(up_to).select(
+        *own, F.when(F.col("x.v") >= lo, F.col("x.v")).alias("v"))
+    kept = [*group, "runs", "min", "max"]
+    weighted = inside.groupBy(*kept, "v").agg(F.count(F.lit(1)).alias("w"))
+    so_far = Window.partitionBy(*group).orderBy(F.asc_nulls_first("v")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    found = placed.alias("p").join(middle.alias("m"), _same("p", "m", [*group, "block"])).select(
-        "m.*", "p.v", "p.w")
-    found = found.withColumn("before", F.col("start") + F.sum("w").over(so_far) - F.col("w"))
-    low = F.max(F.when(covers("rank_lo", "before", "w"), F.col("v")))
-    high = F.max(F.when(covers("rank_hi", "before", "w"), F.col("v")))
-    ends = found.groupBy(*group).agg(
-        F.max("runs").alias("runs"), low.alias("low"), high.alias("high"),
-        F.max("min").alias("min"), F.max("max").alias("max"))
+    ranked = weighted.withColumn("upto", F.sum("w").over(so_far))
+
+    def at(rank: str) -> Column:
+        covers = (F.expr(rank) >= F.col("upto") - F.col("w")) & (F.expr(rank) < F.col("upto"))
+        return F.max(F.when(covers, F.col("v")))
+
+    ends = ranked.groupBy(*kept).agg(at("(runs - 1) div 2").alias("low"), at("runs div 2").alias("high"))
     # A middle rank outside the bracket would leave NULL: never a wrong median, and the sketch's
     # error bound keeps it from happening.
     missed = F.raise_error(F.lit("median outside its bracket")).cast("double")
-    median = F.when(F.col("low").isNull() | F.col("high").isNull(), missed).otherwise(
-        (F.col("low") + F.col("high")) / 2)
+    median = F.when(F.col("runs") == 0, F.lit(None).cast("double")).when(
+        F.col("low").isNull() | F.col("high").isNull(), missed).otherwise((F.col("low") + F.col("high")) / 2)
     return ends.select(*group, "runs", median.alias("median"), "min", "max")

@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import session
 from ..operators.compare import verify_summary
 from ..operators.counts import char_count, word_count
+from ..functions.text import decode_utf8
 from ..operators.extremes import extremes
-from ..sources import readers, writers
+from ..sources import readers, schemas, writers
 
 JOBS = ("wordcount", "charcount", "minmax")
 FORMS = ("text", "parquet")
+INVALID = ("strict", "replace")
 CONTEXT_MARKER = "RUN_CONTEXT "
 
 
@@ -38,23 +40,29 @@ def result(job: str, texts: DataFrame, text: str = "text") -> DataFrame:
 
 
 def run(spark: SparkSession, job: str, source: str, target: str,
-        partitions: int | None = None, form: str = "text") -> None:
-    """Read, count and write one job. `partitions` is the greatest number of output files; it
-    narrows the final aggregate only, never the scan. Without it adaptive execution decides.
-    `form` is text, or parquet with a `text` column as `prepare.write` leaves it."""
+        partitions: int | None = None, form: str = "text", invalid: str = "strict",
+        spread: int | None = None) -> None:
+    """Read, count and write one job. `partitions` is the number of output files; rows are dealt
+    to them after the final aggregate, which stays as wide as adaptive execution makes it. `form`
+    is text, or parquet with a `text` column as `prepare.write` leaves it. Bytes that are no UTF-8
+    fail the job, or become U+FFFD with `invalid` = replace. `spread` deals the input to so many
+    tasks before counting, for a few files that cannot be split."""
     check_job(job)
     if form not in FORMS:
         raise ValueError(f"form must be text or parquet, not {form!r}")
+    if invalid not in INVALID:
+        raise ValueError(f"invalid must be strict or replace, not {invalid!r}")
     if partitions is not None and partitions < 1:
         raise ValueError("partitions must be at least 1")
     # Text splits at any record; parquet only between row groups.
     texts = (readers.read_lines(spark, source) if form == "text"
-             else session.spread(spark.read.parquet(source).select("text")))
-    found = result(job, texts)
+             else spark.read.parquet(source).select("text"))
+    texts = session.spread(texts, spread)
+    found = result(job, texts.select(decode_utf8("text", invalid).alias("text")))
     if job == "minmax":
         writers.write_extremes(found, target)
     else:
-        writers.write_counts(found.coalesce(partitions) if partitions else found, target, "key")
+        writers.write_counts(found.repartition(partitions) if partitions else found, target, "key")
 
 
 def verify(spark: SparkSession, job: str, output: str, expected: DataFrame) -> DataFrame:
@@ -70,9 +78,8 @@ def verify(spark: SparkSession, job: str, output: str, expected: DataFrame) -> D
 
 def context_line(spark: SparkSession) -> str:
     sc = spark.sparkContext
-    found = {"application_id": sc.applicationId, "master": sc.master,
-             "default_parallelism": sc.defaultParallelism}
-    return CONTEXT_MARKER + json.dumps(found)
+    found = (sc.applicationId, sc.master, sc.defaultParallelism)
+    return CONTEXT_MARKER + json.dumps(dict(zip(schemas.names(schemas.CONTEXT), found, strict=True)))
 
 
 def main(argv: Sequence[str]) -> None:
@@ -82,10 +89,12 @@ def main(argv: Sequence[str]) -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--partitions", type=int)
     parser.add_argument("--form", choices=FORMS, default="text")
+    parser.add_argument("--invalid", choices=INVALID, default="strict")
+    parser.add_argument("--spread", type=int)
     a = parser.parse_args(argv)
     spark = session.start(f"lexitally-{a.job}")
     print(context_line(spark), flush=True)
-    run(spark, a.job, a.input, a.output, a.partitions, a.form)
+    run(spark, a.job, a.input, a.output, a.partitions, a.form, a.invalid, a.spread)
     spark.stop()
 
 

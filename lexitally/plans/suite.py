@@ -42,6 +42,14 @@ def preflight(files: DataFrame, declared: DataFrame, workers: DataFrame, nodes:
     return inputs.unionByName(hosts)
 
 
+def took_part(logs: DataFrame, attempts: DataFrame, hosts: DataFrame, target: str) -> None:
+    """Write who took part. A log that names no id, or whose jobs have no host, is an error and
+    leaves no result; `attempts`, as they were read, are written beside it."""
+    ids = participation.required(logs, participation.job_ids(logs), "job id")
+    found = participation.required(ids, participation.by_run(ids, hosts), "host")
+    writers.write_participation(found, ids, attempts, target)
+
+
 def report(spark: SparkSession, paths: Sequence[str], expected: Mapping[str, Sequence] | None = None,
            repetitions: int = 3) -> DataFrame:
     """`timing_summary` with error bars over timing files. An unverified run fails the report, and
@@ -51,6 +59,4 @@ def report(spark: SparkSession, paths: Sequence[str], expected: Mapping[str, Seq
         gaps = measures.completeness(runs, expected, repetitions).count()
         if gaps:
             raise ValueError(f"{gaps} groups do not have exactly {repetitions} verified runs")
-    summary = measures.timing_summary(runs)
-    bars = measures.error_bars(summary)
-    return summary.join(bars.drop("median"), list(measures.GROUP)).orderBy(*measures.GROUP)
+    return measures.with_error_bars(measures.timing_summary(runs))

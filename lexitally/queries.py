@@ -24,8 +24,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str, name: str = "documents") -> DataFrame:
-    """A table whose rows are about to be exploded or parsed."""
-    return session.spread(table(spark, sf, name))
+    """A table whose rows are about to be exploded or parsed. `spark.lexitally.spread`, unset by
+    default, deals them to so many tasks first."""
+    tasks = spark.conf.get("spark.lexitally.spread", None)
+    return session.spread(table(spark, sf, name), tasks and int(tasks))
 
 
 def file_name(ident: str = "doc_id"):
@@ -72,10 +74,6 @@ def chars(spark, sf):
     return counts.char_pairs(texts(spark, sf), keep=["doc_id"])
 
 
-def chars_arrow(spark, sf):
-    return counts.char_pairs(table(spark, sf, "documents"), keep=["doc_id"], combine="arrow")
-
-
 def word_count(spark, sf):
     return words_of(spark, sf)
 
@@ -84,10 +82,6 @@ def char_count(spark, sf):
     return counts.char_count(texts(spark, sf))
 
 
-def char_count_arrow(spark, sf):
-    return counts.char_count(table(spark, sf, "documents"), combine="arrow")
-
-
 def minmax(spark, sf):
     return extremes.extremes(words_of(spark, sf))
 
@@ -98,9 +92,10 @@ def merge_counts(spark, sf):
 
 
 def merge_extremes(spark, sf):
-    a = extremes.extremes(words_of(spark, sf, "documents"))
-    b = extremes.extremes(words_of(spark, sf, "benchmark"))
-    return extremes.merge_extremes(a, b)
+    # Halves of one table by a hash of the word have no key in common.
+    found = words_of(spark, sf)
+    even = F.pmod(F.xxhash64("word"), F.lit(2)) == 0
+    return extremes.merge_extremes(extremes.extremes(found.where(even)), extremes.extremes(found.where(~even)))
 
 
 def scaled_counts(spark, sf):
@@ -226,10 +221,10 @@ def verify_counts(spark, sf):
 
 def verify_summary(spark, sf):
     docs = texts(spark, sf)
-    english = F.col("lang") == "en"
-    parts = counts.merge_counts(
-        counts.word_count(docs.where(english)), counts.word_count(docs.where(~english)))
-    return compare.verify_summary(parts, counts.word_count(docs))
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    halves = counts.tokens(docs.withColumn("english", english), keep=["english"]).groupBy("english", "word").agg(
+        F.count(F.lit(1)).alias("n"))
+    return compare.verify_summary(counts.merge_counts(halves), counts.word_count(docs))
 
 
 def canonical_digest(spark, sf):
@@ -340,8 +335,8 @@ def live_hosts(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    lines, tokens, chars, chars_arrow, word_count, char_count, char_count_arrow, minmax, merge_counts,
-    merge_extremes, scaled_counts, strip_eol, normalize_text, valid_documents, format_counts,
+    lines, tokens, chars, word_count, char_count, minmax, merge_counts, merge_extremes,
+    scaled_counts, strip_eol, normalize_text, valid_documents, format_counts,
     parse_counts, write_counts, read_counts, manifest, corpus_totals, fingerprint,
     fingerprint_diff, replicate, shards, listing_diff, missing_files, content_diff,
     duplicate_keys, verify_counts, verify_summary, canonical_digest, timing_summary, error_bars,

@@ -1,20 +1,11 @@
-"""Session settings, input spreading and the shared folder."""
+"""Session settings and the shared folder."""
 
 from __future__ import annotations
 
-import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Least input worth a task of its own, in bytes as stored.
-_WORTH_A_TASK = 256 << 10
-
-# Estimates from here on stand for "unknown".
-_UNKNOWN = 1 << 60
-
-
 def start(app: str = "lexitally", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators count on; `conf` keys use __ for dots."""
     builder = (
@@ -30,69 +21,30 @@ def start(app: str = "lexitally", master: str | None = None, **conf: str) -> Spa
     return builder.getOrCreate()
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Size the optimizer expects, or None where it has no idea (rows that do not come from
-    files count as exabytes) or does not tell (Spark Connect)."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return None
-    size = int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < _UNKNOWN else None
-
-
-def spread(df: DataFrame, parallelism: int | None = None) -> DataFrame:
-    """Redistribute an input that is too small for the scan alone to keep every core busy.
-
-    A file of one row group feeds one task, whatever its splits. An input of at least one full
-    split per core has enough row groups and is returned as it is, so what this shuffles never
-    exceeds cores x `spark.sql.files.maxPartitionBytes`, and a large table is never moved.
-    """
-    spark = df.sparkSession
-    size = estimated_bytes(df)
-    if size is None:
-        return df
-    cores = parallelism or spark.sparkContext.defaultParallelism
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    tasks = min(cores, math.ceil(size / _WORTH_A_TASK))
-    if tasks <= 1 or size >= cores * split:
+def spread(df: DataFrame, tasks: int | None) -> DataFrame:
+    """`df` dealt to so many tasks, or as it is without a number. Only for an input that is known
+    to be stored in fewer pieces than there are cores: it moves every row."""
+    if tasks is None:
         return df
+    if tasks < 1:
+        raise ValueError("tasks must be at least 1")
     return df.repartition(tasks)
 
 
-def _bytes(text: str) -> int:
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    t = text.strip().lower().removesuffix("b")
-    if t and t[-1] in units:
-        return int(t[:-1]) << units[t[-1]]
-    return int(t)
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor sees: `spark.checkpoint.dir`.
-
-    Only a local master may fall back to a temporary folder of its own.
-    """
+    """Folder that every executor sees: `spark.checkpoint.dir`. Only where that is unset and the
+    master is this one machine, as in tests, one below /tmp/checkpoints is taken for the context."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="lexitally-")
-        context.setCheckpointDir(folder)
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = f"/tmp/checkpoints/{uuid.uuid4().hex}"
+    context.setCheckpointDir(folder)
     return folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """Unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def settle(df: DataFrame, name: str = "settled") -> DataFrame:
-    """`df` written once below the shared folder and read back. Runs a job.
-
-    Rows and their placement are fixed, survive the loss of any executor, and have a known size,
-    so that later joins choose their strategy by what is there and not by an estimate.
-    """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -39,29 +39,35 @@ def read_documents(spark: SparkSession, path: Paths) -> DataFrame:
             .select(base_name("path").alias("name"), "content"))
 
 
-def read_listing(spark: SparkSession, path: Paths) -> DataFrame:
-    """name of every file, empty ones included.
+def read_listing(spark: SparkSession, path: Paths, declared: DataFrame) -> DataFrame:
+    """name of every file; see `read_files`."""
+    names = spark.read.format("binaryFile").load(path).select(base_name("path").alias("name"))
+    return _with_empty(names, declared)
 
-    The names come from the file index that the driver holds for any scan of this path. There
-    is one name per file and no content, so this is as large as that index, no larger.
-    """
-    found = spark.read.format("binaryFile").load(path).inputFiles()
-    names = spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in found], "name STRING")
-    return names.select(decoded("name").alias("name"))
 
+def read_files(spark: SparkSession, path: Paths, declared: DataFrame) -> DataFrame:
+    """name, bytes, sha256 of every file.
 
-def read_files(spark: SparkSession, path: Paths) -> DataFrame:
-    """name, bytes, sha256 of every file, empty ones included."""
+    The scan leaves files of zero bytes out. Those that `declared` (name, bytes) says are empty
+    are taken to be there; an empty file that should not be there is not seen. Names stay in the
+    executors throughout.
+    """
     scanned = spark.read.format("binaryFile").load(path).select(
         base_name("path").alias("name"), F.col("length").alias("bytes"),
         sha256("content").alias("sha256"))
-    empty = read_listing(spark, path).select(
+    return _with_empty(scanned, declared)
+
+
+def _with_empty(scanned: DataFrame, declared: DataFrame) -> DataFrame:
+    empty = declared.where("bytes = 0").select("name").distinct().join(
+        scanned.select("name"), "name", "left_anti").select(
         "name", F.lit(0).cast("bigint").alias("bytes"), F.lit(EMPTY_SHA256).alias("sha256"))
-    return empty.join(scanned.select("name"), "name", "left_anti").unionByName(scanned)
+    return scanned.unionByName(empty.select(*scanned.columns))
 
 
 def read_manifest(spark: SparkSession, path: Paths) -> DataFrame:
-    """The manifest object, one row."""
+    """The manifest object, one row: for importing a small foreign file, which one task reads as a
+    whole. Manifests of this library are tables (`writers.write_manifest`)."""
     return spark.read.schema(schemas.MANIFEST).option("multiLine", True).json(path)
 
 
@@ -76,7 +82,8 @@ def manifest_sources(manifest: DataFrame) -> DataFrame:
 
 
 def read_expected(spark: SparkSession, path: Paths, job: str) -> DataFrame:
-    """Expected answers of one job out of a single-object file, as a table."""
+    """Expected answers of one job out of a single-object file, as a table: for importing a small
+    foreign file, which one task reads as a whole. Those of this library are tables."""
     found = spark.read.schema(schemas.EXPECTED).option("multiLine", True).json(path)
     if job in ("wordcount", "charcount"):
         return found.select(F.explode(job).alias("key", "n"))

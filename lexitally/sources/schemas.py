@@ -30,6 +30,7 @@ STANDALONE_WORKERS = "workers ARRAY<STRUCT<state: STRING, host: STRING>>"
 
 YARN_NODES = "nodes STRUCT<node: ARRAY<STRUCT<state: STRING, nodeHostName: STRING>>>"
 
+# Fixed value: the fields of a run's context line, in the order in which it is written.
 CONTEXT = "application_id STRING, master STRING, default_parallelism INT"
 
 

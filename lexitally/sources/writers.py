@@ -48,10 +48,12 @@ def append_timings(runs: DataFrame, path: str) -> None:
     runs.select(*schemas.names(schemas.TIMINGS)).write.mode("append").option("header", True).csv(path)
 
 
-def write_participation(hosts: DataFrame, ids: DataFrame, path: str) -> None:
-    """`hosts/` (log, host, tasks) and `ids/` (log, id) as JSON rows below `path`."""
+def write_participation(hosts: DataFrame, ids: DataFrame, attempts: DataFrame, path: str) -> None:
+    """`hosts/` (log, host, tasks), `ids/` (log, id) and the evidence, `attempts/` (the events or
+    answers as they were read), as JSON rows below `path`."""
     hosts.write.mode(KEEP).json(f"{path}/hosts")
     ids.write.mode(KEEP).json(f"{path}/ids")
+    attempts.write.mode(KEEP).json(f"{path}/attempts")
 
 
 def write_shards(files: DataFrame, path: str) -> None:

@@ -64,7 +64,7 @@ def main(sf: str, names: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     failed = 0
-    for name in names or entry.queries():
+    for name in names or entry.oracle_sql():
         started = time.time()
         found = differences(spark, con, sf, name)
         failed += bool(found)

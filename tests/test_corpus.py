@@ -43,7 +43,9 @@ def test_copies_reach_the_minimum(spark):
     for least, want in ((1, 1), (7, 1), (8, 2), (14, 2), (15, 3), (700, 100)):
         assert corpus.copies_for(files, least).first().copies == want
     assert corpus.replicate(files, corpus.copies_for(files, 15), "name").count() == 6
-    assert corpus.replicate(files.where("false"), corpus.copies_for(files.where("false"), 5), "name").count() == 0
+    for nothing in (files.where("false"), files.where("false").unionByName(files.limit(1).withColumn("bytes", F.lit(0)))):
+        with pytest.raises(PySparkException, match="no bytes to repeat"):
+            corpus.copies_for(nothing, 5).collect()
     for bad in (0, -1):
         with pytest.raises(ValueError):
             corpus.copies_for(files, bad)
@@ -85,7 +87,8 @@ def originals(spark):
 
 
 def test_prepare(spark, tmp_path):
-    done = prepare.prepare(originals(spark), "THE BOOK", 10, 100)
+    path = str(tmp_path / "corpus")
+    done = prepare.prepare(originals(spark), "THE BOOK", 10, 100, path)
     normal = ["The Book\na b\nb\n", "the book 世界 b\n"]
     size = sum(len(t.encode()) for t in normal)
     k = -(-100 // size)
@@ -96,7 +99,6 @@ def test_prepare(spark, tmp_path):
     header = done.header.first()
     assert (header.unique_books, header.copies_per_book, header.total_bytes) == (2, k, k * size)
     assert {r.key: r.n for r in done.word_counts.collect()}["b"] == 3 * k
-    path = str(tmp_path / "corpus")
     prepare.write(done, path)
     assert readers.read_answers(spark, f"{path}/expected/wordcount").count() == 7
     ends = readers.read_answers(spark, f"{path}/expected/minmax", schemas.EXTREMES)
@@ -113,7 +115,9 @@ def test_prepare(spark, tmp_path):
         prepare.write(done, path)
 
 
-def test_prepare_refuses_unexpected_documents(spark):
+def test_prepare_refuses_unexpected_documents(spark, tmp_path):
     for marker, least in (("ANOTHER BOOK", 10), ("THE BOOK", 10_000)):
         with pytest.raises(PySparkException, match="unexpected document"):
-            prepare.prepare(originals(spark), marker, least, 100).word_counts.collect()
+            prepare.prepare(originals(spark), marker, least, 100, str(tmp_path / f"{marker}{least}"))
+    with pytest.raises(PySparkException, match="no bytes to repeat"):
+        prepare.prepare(originals(spark).where("false"), "THE BOOK", 10, 100, str(tmp_path / "none"))

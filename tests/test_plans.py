@@ -1,15 +1,14 @@
 """Physical plans: what moves, what is read, and what must never appear."""
 
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from lexitally import session
+from lexitally import queries, session
 from lexitally.operators import compare, corpus, counts, extremes
-
-PYTHON = {"char_count_arrow", "chars_arrow"}
+from lexitally.plans import prepare
 
 
 def plan(df):
@@ -26,11 +25,11 @@ def docs(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", queries.QUERIES)
 def test_no_python_and_no_cross_join(spark, sf, name):
-    text = plan(entry.queries()[name](spark, sf))
+    text = plan(queries.QUERIES[name](spark, sf))
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", text)
-    assert bool(re.search("Python|MapInArrow", text)) == (name in PYTHON)
+    assert not re.search("Python|Arrow|Pandas", text)
 
 
 @pytest.mark.parametrize("count", [counts.word_count, counts.char_count])
@@ -71,12 +70,47 @@ def test_manifest_is_a_projection(docs):
     assert "Exchange" not in text and "Aggregate" not in text
 
 
-def test_only_small_inputs_are_spread(spark, sf, docs):
-    assert "RoundRobin" not in plan(session.spread(spark.read.parquet(f"{sf}/benchmark.parquet")))
-    assert "RoundRobinPartitioning(2)" in plan(session.spread(docs, 8))
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+def test_inputs_are_spread_on_request_only(docs):
+    assert "RoundRobin" not in plan(session.spread(docs, None))
+    assert "RoundRobinPartitioning(3)" in plan(session.spread(docs, 3))
+    with pytest.raises(ValueError):
+        session.spread(docs, 0)
+
+
+def jobs_started(spark, build):
+    tracker, group = spark.sparkContext.statusTracker(), uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
-        assert "RoundRobin" not in plan(session.spread(docs, 8))  # a split for every core
+        build()
+        return len(tracker.getJobIdsForGroup(group))
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.sparkContext.setJobGroup("", "")
+
+
+@pytest.mark.parametrize("name", ["timing_summary", "error_bars", "speedup", "step_cost", "shards", "verify_counts"])
+def test_building_a_query_starts_no_job(spark, sf, name):
+    # One to read the table's schema.
+    assert jobs_started(spark, lambda: queries.QUERIES[name](spark, sf)) <= 1
+
+
+def test_index_and_counts_read_one_exchange(spark, sf):
+    df = queries.shards(spark, sf)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Scan parquet") == 1 and final.count("ReusedExchange") == 1
+
+
+def test_verification_counts_once(spark, sf):
+    df = queries.verify_counts(spark, sf)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
+
+
+def test_originals_are_read_once(spark, tmp_path):
+    rows = [(i, "t", "u", bytearray(f"the book {i}\n".encode())) for i in range(5)]
+    spark.createDataFrame(rows, "id INT, title STRING, url STRING, content BINARY").write.parquet(f"{tmp_path}/in")
+    done = prepare.prepare(spark.read.parquet(f"{tmp_path}/in"), "BOOK", 3, 200, f"{tmp_path}/out")
+    for df in (done.files, done.header, done.sources, done.word_counts, done.char_counts, done.minmax):
+        text = plan(df)
+        assert f"{tmp_path}/in" not in text and "originals" in text

@@ -46,14 +46,13 @@ def test_files_include_empty_ones(spark, tmp_path):
     contents = {"a.txt": b"abc", "empty.txt": b"", "with space+%41.txt": "ü".encode()}
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
-    found = {r.name: (r.bytes, r.sha256) for r in readers.read_files(spark, str(tmp_path)).collect()}
+    declared = spark.createDataFrame([("a.txt", 3), ("gone.txt", 2), ("empty.txt", 0)], "name STRING, bytes BIGINT")
+    found = {r.name: (r.bytes, r.sha256) for r in readers.read_files(spark, str(tmp_path), declared).collect()}
     assert found == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items()}
-    listed = readers.read_listing(spark, str(tmp_path))
+    listed = readers.read_listing(spark, str(tmp_path), declared)
     assert {r.name for r in listed.collect()} == set(contents)
-    declared = spark.createDataFrame([("a.txt",), ("gone.txt",)], "name STRING")
     kinds = {(r.kind, r.name) for r in compare.listing_diff(listed, declared).collect()}
-    assert kinds == {("unlisted", "gone.txt"), ("undeclared", "empty.txt"),
-                     ("undeclared", "with space+%41.txt")}
+    assert kinds == {("unlisted", "gone.txt"), ("undeclared", "with space+%41.txt")}
 
 
 def test_manifest_and_answers_as_one_object(spark, tmp_path):
@@ -142,8 +141,11 @@ def test_attempts(spark, tmp_path):
     (tmp_path / "job_1.json").write_text(json.dumps(told, indent=1))
     found = participation.attempt_hosts(readers.read_attempts(spark, str(tmp_path)))
     assert {tuple(r) for r in found.collect()} == {("job_1", "h1", 1), ("job_1", "fe80::1", 1)}
-    writers.write_participation(found, found.selectExpr("log", "'i' id"), str(tmp_path / "out"))
+    raw = readers.read_attempts(spark, str(tmp_path / "job_1.json"))
+    writers.write_participation(found, found.selectExpr("log", "'i' id"), raw, str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out/hosts")).count() == 2
+    kept = spark.read.schema(raw.schema).json(str(tmp_path / "out/attempts"))
+    assert kept.collect() == raw.collect()
 
 
 def test_workers(spark, tmp_path):
@@ -198,10 +200,20 @@ def test_job_on_an_empty_corpus(spark, tmp_path, job):
     assert jobs.verify(spark, job, out, jobs.result(job, spark.createDataFrame([], "text STRING"))).first().verified
 
 
+def test_job_on_invalid_bytes(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.txt").write_bytes(b"a\xffb c\n")
+    with pytest.raises(PySparkException):
+        jobs.run(spark, "wordcount", str(tmp_path / "in"), str(tmp_path / "strict"))
+    jobs.run(spark, "wordcount", str(tmp_path / "in"), str(tmp_path / "out"), invalid="replace", spread=2)
+    assert {r.value for r in spark.read.text(str(tmp_path / "out")).collect()} == {"a\ufffdb\t1", "c\t1"}
+
+
 def test_arguments_are_checked_before_any_job(spark):
     for call in (lambda: jobs.run(spark, "sum", "in", "out"),
                  lambda: jobs.run(spark, "wordcount", "in", "out", partitions=0),
                  lambda: jobs.run(spark, "wordcount", "in", "out", form="orc"),
+                 lambda: jobs.run(spark, "wordcount", "in", "out", invalid="ignore"),
                  lambda: readers.read_expected(spark, "/root/testdata", "sum")):
         with pytest.raises(ValueError):
             call()

@@ -55,7 +55,7 @@ def test_report(spark, tmp_path):
     with pytest.raises(ValueError, match="groups"):
         suite.report(spark, paths[:1], GRID)
     bad = write(spark, [(*RUNS[0][:6], False, "d", "u")], tmp_path / "bad")
-    with pytest.raises(PySparkException, match="unverified run"):
+    with pytest.raises(Exception, match="unverified run"):
         suite.report(spark, [*paths, bad]).collect()
 
 
@@ -73,3 +73,19 @@ def test_hosts_by_run(spark):
     found = participation.by_run(ids, hosts)
     assert {tuple(r) for r in found.collect()} == {("run-1", "a", 5), ("run-1", "b", 1)}
     assert [r.log for r in participation.logs_without(ids, found).collect()] == ["run-2"]
+
+
+def test_who_took_part(spark, tmp_path):
+    logs = spark.createDataFrame([("run-1", "job_1_1 and job_1_2"), ("run-2", "job_2_1")], "log STRING, value STRING")
+    hosts = spark.createDataFrame([("job_1_1", "a", 2), ("job_1_2", "b", 3), ("job_2_1", "a", 1)],
+                                  "log STRING, host STRING, tasks BIGINT")
+    raw = spark.createDataFrame([("job_1_1", "SUCCEEDED")], "log STRING, state STRING")
+    suite.took_part(logs, raw, hosts, str(tmp_path / "out"))
+    found = spark.read.json(str(tmp_path / "out/hosts"))
+    assert {(r.log, r.host, r.tasks) for r in found.collect()} == {("run-1", "a", 2), ("run-1", "b", 3), ("run-2", "a", 1)}
+    assert spark.read.json(str(tmp_path / "out/attempts")).count() == 1
+    silent = logs.unionByName(spark.createDataFrame([("run-3", "none")], "log STRING, value STRING"))
+    with pytest.raises(PySparkException, match="no job id in run-3"):
+        suite.took_part(silent, raw, hosts, str(tmp_path / "ids"))
+    with pytest.raises(PySparkException, match="no host in run-2"):
+        suite.took_part(logs, raw, hosts.where("log <> 'job_2_1'"), str(tmp_path / "hosts"))

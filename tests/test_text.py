@@ -1,7 +1,11 @@
 """Words, code points, record ends, normalisation: exact semantics."""
 
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -36,6 +40,7 @@ def chars_of(texts):
 
 @pytest.mark.parametrize("partitions", [1, 2, 7])
 def test_words(spark, partitions):
+    # The text and counts every implementation must agree on.
     source = "Hello hello Hello!\n世界 世界\t🙂\r\n\nHello 世界\n"
     split = frame(spark, source.split("\n"), partitions)
     want = {"Hello": 2, "hello": 1, "Hello!": 1, "世界": 3, "🙂": 1}
@@ -43,13 +48,13 @@ def test_words(spark, partitions):
     assert as_dict(counts.word_count(frame(spark, [source]))) == want
 
 
-@pytest.mark.parametrize("combine", ["native", "arrow"])
-def test_chars(spark, combine):
+def test_chars(spark):
+    # Fixed values, as above.
     source = "a a\t🙂\r\n世界\n\nA\n"
     want = {"U+0061": 2, "U+0020": 1, "U+0009": 1, "U+1F642": 1, "U+4E16": 1, "U+754C": 1, "U+0041": 1}
-    assert as_dict(counts.char_count(frame(spark, [source]), combine=combine), "ch") == want
+    assert as_dict(counts.char_count(frame(spark, [source])), "ch") == want
     parts = frame(spark, source.split("\n"), 3)
-    assert as_dict(counts.char_count(parts, combine=combine), "ch") == want
+    assert as_dict(counts.char_count(parts), "ch") == want
 
 
 def test_whitespace_is_that_of_python(spark):
@@ -65,24 +70,13 @@ def test_nothing_to_count(spark, texts):
     df = frame(spark, texts)
     assert counts.word_count(df).collect() == []
     assert extremes.extremes(counts.word_count(df)).collect() == []
-    for combine in ("native", "arrow"):
-        found = as_dict(counts.char_count(df, combine=combine), "ch")
-        assert found == chars_of([t for t in texts if t])
+    assert as_dict(counts.char_count(df), "ch") == chars_of([t for t in texts if t])
 
 
 def test_edges_and_special_code_points(spark):
     texts = ["  a  ", "   ", "é", "\x00b", "\U0010ffff", "￾"]
     assert as_dict(counts.word_count(frame(spark, texts))) == Counter(w for t in texts for w in t.split())
-    for combine in ("native", "arrow"):
-        assert as_dict(counts.char_count(frame(spark, texts), combine=combine), "ch") == chars_of(texts)
-
-
-def test_arrow_counts_every_slice(spark):
-    rng = random.Random(7)
-    texts = ["".join(rng.choices("abcé世🙂 \n", k=rng.randrange(50))) for _ in range(1500)]
-    texts.append("xyz🙂" * 700_000)  # longer than one slice
-    got = as_dict(counts.char_count(frame(spark, texts, 2), combine="arrow"), "ch")
-    assert got == chars_of(texts)
+    assert as_dict(counts.char_count(frame(spark, texts)), "ch") == chars_of(texts)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -97,14 +91,34 @@ def test_any_text(spark, texts):
     assert as_dict(by_lines) == Counter(w for t in texts for w in t.split())
 
 
-def test_long_texts_are_split_by_lines(spark, monkeypatch):
+def test_texts_are_cut_between_words(spark, monkeypatch):
     rng = random.Random(5)
-    texts = ["".join(rng.choices("ab \t\r\n世🙂", k=rng.randrange(60))) for _ in range(200)]
+    texts = ["".join(rng.choices("ab \t\r\n\x1c世🙂", k=rng.randrange(60))) for _ in range(200)]
     df = frame(spark, [*texts, None, ""], 3)
-    whole = [as_dict(counts.word_count(df)), as_dict(counts.char_count(df), "ch")]
-    monkeypatch.setattr(counts, "LONG_TEXT", 20)
-    assert [as_dict(counts.word_count(df)), as_dict(counts.char_count(df), "ch")] == whole
-    assert whole == [Counter(w for t in texts for w in t.split()), chars_of(texts)]
+    want = [Counter(w for t in texts for w in t.split()), chars_of(texts)]
+    for size in (1, 2, 7, 1 << 16):
+        monkeypatch.setattr(text, "PIECE", size)
+        assert [as_dict(counts.word_count(df)), as_dict(counts.char_count(df), "ch")] == want
+        parts = df.where("text is not null").select("text", text.pieces("text").alias("p")).collect()
+        assert all("".join(r.p) == r.text for r in parts)
+
+
+def test_a_long_text_without_record_ends_needs_little_memory(tmp_path):
+    """28 MB in one line, in a JVM of its own with 1 GB."""
+    code = f"""
+from pyspark.sql import functions as F
+from lexitally import session
+from lexitally.operators import counts
+spark = session.start("long", "local[2]", spark__driver__memory="1g", spark__ui__showConsoleProgress="false")
+spark.range(1).select(F.repeat(F.lit("some words here and there "), 1_100_000).alias("text")).write.parquet("{tmp_path}/t")
+df = spark.read.parquet("{tmp_path}/t")
+assert {{r.word: r.n for r in counts.word_count(df).collect()}} == dict.fromkeys("some words here and there".split(), 1_100_000)
+assert sum(r.n for r in counts.char_count(df).collect()) == 26 * 1_100_000
+"""
+    root = Path(__file__).resolve().parents[1]
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(root)},
+                          capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
 
 
 def test_record_ends(spark):
@@ -114,21 +128,18 @@ def test_record_ends(spark):
         (0, "A b"), (1, "c"), (2, "d"), (3, ""), (4, "e\x0bf\x85g h"), (0, ""), (0, "x")]
 
 
-@pytest.mark.parametrize("combine", ["native", "arrow"])
-def test_char_pairs_count_within_the_record(spark, combine):
+def test_char_pairs_count_within_the_record(spark):
     df = spark.createDataFrame(
         [(1, "x", "aab"), (2, None, "a\n"), (3, "y", None), (4, "z", "")], "id INT, k STRING, text STRING")
-    found = counts.char_pairs(df, keep=["id", "k"], combine=combine).collect()
+    found = counts.char_pairs(df, keep=["id", "k"]).collect()
     assert {(r.id, r.k, r.ch): r.n for r in found} == {
         (1, "x", "U+0061"): 2, (1, "x", "U+0062"): 1, (2, None, "U+0061"): 1}
 
 
-def test_char_pairs_of_more_rows_than_a_slice(spark):
-    df = spark.range(1000).selectExpr("id", "repeat('🙂', int(id % 7)) || 'b' as text").repartition(1)
-    found = counts.char_pairs(df, keep=["id"], combine="arrow").collect()
-    assert {(r.id, r.ch): r.n for r in found} == {
-        **{(i, "U+0062"): 1 for i in range(1000)},
-        **{(i, "U+1F642"): i % 7 for i in range(1000) if i % 7}}
+def test_char_pairs_of_rows_with_the_same_key_are_one(spark):
+    df = spark.createDataFrame([("en", "aab"), ("en", "ab"), ("de", "a")], "lang STRING, text STRING")
+    found = counts.char_pairs(df, keep=["lang"]).collect()
+    assert sorted(map(tuple, found)) == [("de", "U+0061", 1), ("en", "U+0061", 3), ("en", "U+0062", 2)]
 
 
 def test_normalize(spark):
@@ -159,26 +170,13 @@ def test_invalid_utf8(spark):
 
 def test_invalid_utf8_is_never_counted(spark):
     df = spark.createDataFrame([(bytearray(b"a\xffb"),)], "b BINARY").selectExpr("cast(b as string) text")
-    for count in (counts.word_count, counts.lines, counts.char_count,
-                  lambda d: counts.char_count(d, combine="arrow")):
+    for count in (counts.word_count, counts.lines, counts.char_count):
         with pytest.raises(PySparkException, match="UTF8|utf8|UTF-8"):
             count(df).collect()
     repaired = df.select(F.make_valid_utf8("text").alias("text"))
     assert as_dict(counts.word_count(repaired)) == {"a�b": 1}
 
 
-def test_large_inputs_are_counted_with_arrow(spark, monkeypatch, tmp_path):
-    unknown = frame(spark, ["a a"])
-    assert "MapInArrow" not in counts.char_count(unknown)._jdf.queryExecution().toString()
-    (tmp_path / "a.txt").write_text("a a\n")
-    df = spark.read.text(str(tmp_path)).withColumnRenamed("value", "text")
-    assert "MapInArrow" not in counts.char_count(df)._jdf.queryExecution().toString()
-    monkeypatch.setattr(counts, "ARROW_FROM", 1)
-    found = counts.char_count(df)
-    assert "MapInArrow" in found._jdf.queryExecution().toString()
-    assert as_dict(found, "ch") == {"U+0061": 2, "U+0020": 1}
-
-
 def test_fields(spark):
     df = spark.createDataFrame(
         [("host:8042", "host"), ("a:b:80", "a:b"), ("nohost", "nohost")], "a STRING, want STRING")
