@@ -3,9 +3,12 @@
 Two permutations of a universe make all signature coordinates: the first scatters the shingles,
 the second, shifted by k places, orders them for coordinate k. The coordinates of one shingle are
 thus a run of the second permutation. Equal sets count as one from the start. In each bucket of a
-band every member is compared with the smallest one. Where that leaves members in other components
-of links, they are compared with the rest of the bucket, unless the distances to the smallest, by
-the triangle inequality, or the sizes prove that two sets are no link.
+band every member is compared with one, the pivot: that which meets the most others over all its
+buckets, so in a group of edited copies most likely the original. Where that leaves members in
+other components of links, they are compared with the rest of the bucket, unless a bound proves
+that two sets are no link: the triangle inequality over the distances to the pivot, or the count
+of what two members can share, in the pivot by sketches of what each lacks of it, and outside of it
+by what each has in common with any other member.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ WORDS = 5             # words of a shingle
 SHARE = 75            # a link has a Jaccard similarity of at least this many hundredths
 BANDS, ROWS = 32, 4   # a pair at 0.75 misses all bands five times in a million
 UNIVERSE = 1 << 20    # places of the two permutations
+GONE = 512            # bits of the sketch of what a set lacks of its pivot
 SEED = 20
 
 _SPACE = np.zeros(256, bool)
@@ -145,8 +149,16 @@ def sketches(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                         f"key {kind}, h bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>")
 
 
+def _bitmap(shingles: np.ndarray) -> np.ndarray:
+    """GONE bits, of which each shingle sets one."""
+    bits = np.zeros(GONE, np.uint8)
+    bits[(shingles % np.uint64(GONE)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, common, na, nb: exact intersections of the shingle sets of each pair."""
+    """a, b, common, na, nb, rest, gone: exact intersections of the shingle sets of each pair, the
+    shingles of a that b lacks, and a bitmap of those of b that a lacks, by GONE of their bits."""
     first = texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
@@ -156,22 +168,27 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             for some in _portions(batch, 2):
                 sets = shingle_sets(some.column(2).to_pylist())
-                common, na, nb = [], [], []
+                common, na, nb, rest, gone = [], [], [], [], []
                 for mine, text in zip(sets, some.column(3).to_pylist(), strict=True):
                     if text != last[0]:
                         last = (text, shingle_sets([text])[0])
                     other = last[1]
-                    at = np.searchsorted(other, mine)
-                    at[at == len(other)] = 0
-                    common.append(int((other[at] == mine).sum()) if len(other) else 0)
+                    at = np.minimum(np.searchsorted(other, mine), len(other) - 1)
+                    both = other[at] == mine
+                    common.append(int(both.sum()))
+                    rest.append(mine[~both].view(np.int64))
+                    lacked = np.ones(len(other), bool)
+                    lacked[at[both]] = False
+                    gone.append(_bitmap(other[lacked]))
                     na.append(len(mine))
                     nb.append(len(other))
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), some.column(1), pa.array(common, pa.int64()), pa.array(na, pa.int64()),
-                     pa.array(nb, pa.int64())], ["a", "b", "common", "na", "nb"])
+                     pa.array(nb, pa.int64()), pa.array(rest, pa.list_(pa.int64())),
+                     pa.array(gone, pa.list_(pa.int64()))], ["a", "b", "common", "na", "nb", "rest", "gone"])
 
     kind = pairs.schema["a"].dataType.simpleString()  # a set's name: f1 and f2
-    return shared.arrow(both, step, f"a {kind}, b {kind}, common bigint, na bigint, nb bigint")
+    return shared.arrow(both, step, f"a {kind}, b {kind}, common bigint, na bigint, nb bigint, rest array<bigint>, gone array<bigint>")
 
 
 def _links(found: DataFrame) -> DataFrame:
@@ -192,13 +209,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     sets = shared.settle(sketches(rows, "key", "text"), "sketches")
     named, equal = sets.where("n > 0 and key is not null"), ["n", "f1", "f2"]
     first = shared.settle(named.groupBy(*equal).agg(
-        F.min("key").alias("rep"), F.min(F.struct("key", "h")).alias("row")), "sets")
+        F.min("key").alias("rep"), F.min(F.struct("key", "h")).alias("row"),
+        F.count(F.lit(1)).alias("copies")), "sets")
     sid = F.struct("f1", "f2").alias("sid")
     chosen = named.join(first, equal).where(F.struct("key", "h") == F.col("row"))
-    posted = shared.settle(chosen.select(sid, "n", F.explode("bands").alias("bucket")).distinct(), "postings")
-    least = shared.settle(posted.groupBy("bucket").agg(
-        F.min("sid").alias("pivot"), F.max("sid").alias("last")).where("pivot < last").select("bucket", "pivot"), "buckets")
-    inside = shared.settle(posted.join(least, "bucket"), "bucket-members")
+    posted = shared.settle(chosen.select(sid, "n", "copies", F.explode("bands").alias("bucket")).distinct(), "postings")
+    sizes = shared.settle(posted.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
+    met = shared.settle(posted.join(sizes, "bucket"), "met")
+    weights = shared.settle(met.groupBy("sid").agg(F.sum("size").alias("weight")), "weights")
+    weighed = shared.settle(met.join(weights, "sid").drop("size"), "weighed")
+    pivots = shared.settle(weighed.groupBy("bucket").agg(
+        F.max(F.struct("weight", "copies", "sid"))["sid"].alias("pivot")), "pivots")
+    inside = shared.settle(weighed.select("bucket", "sid", "n").join(pivots, "bucket"), "bucket-members")
 
     pairs = shared.settle(inside.where("sid <> pivot").select(
         F.col("sid").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
@@ -227,15 +249,24 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
 def _across(inside: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame:
     """a, b: pairs of a bucket in different components that no bound rules out."""
     distance = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    to_pivot = found.select(F.col("a").alias("sid"), F.col("b").alias("pivot"), distance.alias("d"))
+    # What two members of a bucket share lies in its pivot or in what both have besides.
+    rest = found.select("a", "b", F.explode("rest").alias("g"))
+    again = shared.settle(rest.groupBy("b", "g").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("b", "g"), "shared")
+    besides = rest.join(again, ["b", "g"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("besides"))
+    to_pivot = shared.settle(found.drop("rest").join(besides, ["a", "b"], "left").select(
+        F.col("a").alias("sid"), F.col("b").alias("pivot"), distance.alias("d"), "common", F.col("nb").alias("pn"), "gone",
+        F.coalesce("besides", F.lit(0)).alias("besides")), "bounds")
     of_pivot = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pc"))
     placed = shared.settle(inside.where("sid <> pivot").join(to_pivot, ["sid", "pivot"]).join(
         groups.withColumnRenamed("node", "sid"), "sid", "left").join(of_pivot, "pivot", "left").select(
-        "bucket", "sid", "n", "d", F.coalesce("component", "sid").alias("c"), F.coalesce("pc", "pivot").alias("pc")),
-        "placed")
+        "bucket", "sid", "n", "pn", "d", "common", "besides", "gone", F.coalesce("component", "sid").alias("c"),
+        F.coalesce("pc", "pivot").alias("pc")), "placed")
     strays = placed.where("c <> pc").select(
-        "bucket", F.col("sid").alias("x"), F.col("n").alias("xn"), F.col("d").alias("xd"), F.col("c").alias("xc"))
+        "bucket", *[F.col(c).alias(f"x_{c}") for c in ("sid", "n", "d", "common", "besides", "gone", "c")])
+    lacked = sum((F.bit_count(F.col("gone")[i].bitwiseOR(F.col("x_gone")[i])) for i in range(GONE // 64)), F.lit(0))
+    inner = F.least("x_common", "common", F.col("pn") - lacked)
+    overlap = F.least(inner + F.least("x_besides", "besides"), "x_n", "n")
     near = strays.join(placed, "bucket").where(
-        (F.col("xc") != F.col("c")) & (F.abs(F.col("xd") - F.col("d")) <= (100 - SHARE) / 100 + 1e-9)
-        & (100 * F.least("xn", "n") >= SHARE * F.greatest("xn", "n")))
-    return near.select(F.greatest("x", "sid").alias("a"), F.least("x", "sid").alias("b")).distinct()
+        (F.col("x_c") != F.col("c")) & (F.abs(F.col("x_d") - F.col("d")) <= (100 - SHARE) / 100 + 1e-9)
+        & (100 * overlap >= SHARE * (F.col("x_n") + F.col("n") - overlap)))
+    return near.select(F.greatest("x_sid", "sid").alias("a"), F.least("x_sid", "sid").alias("b")).distinct()
