@@ -1,3 +1,70 @@
 """DuckDB SQL of the queries that SQL can express on whole tables."""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+_USABLE = "vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _top(vector: str, where: str, score: str) -> str:
+    """The 20 best of every twentieth vector."""
+    return f"""WITH v AS (SELECT vec_id, {vector} AS e FROM embeddings WHERE {_USABLE} AND {where}),
+          s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS s
+                FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+        SELECT query_id, place::INTEGER AS rank, vec_id, s::{score} AS score FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS place FROM s) WHERE place <= 20"""
+
+
+# The digits of base 32.
+_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def _base32(hexadecimal: str) -> str:
+    digits = "[7, 6, 5, 4, 3, 2, 1, 0]"
+    number = f"('0x' || substr({hexadecimal}, 1 + 10 * {{}}, 10))::BIGINT"
+    return " || ".join(
+        f"array_to_string(list_transform({digits}, lambda i: substr('{_DIGITS}', ((({number.format(k)}) >> (5 * i)) & 31)::INTEGER + 1, 1)), '')"
+        for k in range(4))
+
+
+_BLANK = r"[\x20\x09-\x0D]+"
+
+
+def _runs(words: str) -> str:
+    """Distinct runs of five words of a list."""
+    return f"list_distinct(list_transform(range(1, len({words}) - 3), lambda i: array_to_string({words}[i:i + 4], ' ')))"
+
+
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+SQL: dict[str, str] = {
+    "op2_ann": _top("embedding::DOUBLE[]", "len(list_filter(embedding, lambda x: x <> 0)) > 0", "DOUBLE"),
+    "op3_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+          m AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+        SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_base32('h')} AS payload_digest,
+          CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id <> last THEN last END AS refers_to FROM m""",
+    "op7_impact": _top("list_transform(embedding, lambda x: floor(64 * x::DOUBLE))", "true", "BIGINT"),
+    "op8_linededup": f"""WITH l AS (SELECT doc_id, (unnest(range(1, len(a) + 1)) - 1)::INTEGER AS line, unnest(a) AS value
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)),
+          w AS (SELECT doc_id, line, list_filter(regexp_split_to_array(lower(value), '{_BLANK}'), lambda x: x <> '') AS w FROM l),
+          s AS MATERIALIZED (SELECT doc_id, line, {_runs('w')} AS s FROM w WHERE len(w) >= 5),
+          e AS MATERIALIZED (SELECT doc_id, line, len(s) AS n, unnest(s) AS r FROM s),
+          c AS (SELECT x.doc_id, x.line, any_value(x.n) AS n, y.doc_id AS d, y.line AS k, any_value(y.n) AS m, count(*) AS common
+                FROM e x JOIN e y ON x.r = y.r AND (y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND y.line < x.line)
+                GROUP BY x.doc_id, x.line, y.doc_id, y.line),
+          g AS (SELECT DISTINCT doc_id, line FROM c WHERE 4 * common >= 3 * (n + m - common)),
+          r AS (SELECT doc_id, string_agg(line::VARCHAR, ',' ORDER BY line) AS removed FROM g GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0)::INTEGER AS n_lines, coalesce(removed, '') AS removed
+        FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id""",
+    "op10_minhash": f"""WITH RECURSIVE t AS (SELECT doc_id, list_filter(regexp_split_to_array(
+              translate(coalesce(text, ''), '{_CAPITALS}', '{_CAPITALS.lower()}'), '{_BLANK}'), lambda x: x <> '') AS w FROM documents),
+          s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) >= 5 THEN {_runs('w')} WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM t),
+          e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS r FROM s),
+          c AS (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS n, any_value(y.n) AS m, count(*) AS common
+                FROM e x JOIN e y ON x.r = y.r AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+          k AS (SELECT a, b FROM c WHERE 100 * common >= 75 * (n + m - common)),
+          reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT reach.a, k.b FROM reach JOIN k ON reach.b = k.a),
+          f AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, component_id = doc_id AS kept
+        FROM s JOIN f ON f.a = s.doc_id""",
+}

@@ -51,7 +51,8 @@ def op7_impact(spark, sf):
 
 
 def op8_linededup(spark, sf):
-    return linededup.line_report(table(spark, sf, "documents"))
+    found = linededup.line_report(table(spark, sf, "documents"))
+    return found.withColumn("removed", F.array_join(F.col("removed").cast("array<string>"), ","))
 
 
 def op9_rans(spark, sf):

@@ -1,0 +1,76 @@
+import html
+import re
+
+import brute
+import pytest
+
+from lexitally.llm import htmltext, queries
+
+SHAPE = "page_id BIGINT, url STRING, html STRING, text STRING, host INT"
+
+
+def text_of(page):
+    return htmltext.content(htmltext.article(page), None, set())
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ("", ""), ("plain  text", "plain text"), ("<p>a<p>b &amp; c<br>d", "a\n\nb & c d"), ("<p title=\"un>closed<p>ok 5 < 6 & 7", "closed\n\nok 5 < 6 & 7"),
+    ("<script>var a='</p>'", ""), ("fo<!-- x -->o", "foo"), ("<b>a</b>b", "ab"), ("<p>&nbsp;x&#233;&lt;p&gt;</p>", "xé<p>"),
+    ("<head><title>t</title><body><p>x", "x"), ("<body><header><h1>Site</h1></header><p>x</p><footer>f</footer>", "x"),
+    ("<article><header><h1>T</h1></header><p>x</p><aside>no</aside><form>f</form><ul><li>1<li>2</ul></article>", "T\n\nx\n\n1\n\n2"),
+    ("<article><p>long one</p></article><article class='comment'><p>much longer reader comment</p></article>", "long one"),
+    ("<main><p>x</p><div class='ad'>buy</div><div id='cookie-notice'>c</div><p hidden>h</p></main>", "x"),
+    ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n\n2\n\n3"), ("<div>a<div>b</div>c</div>", "a\n\nb\n\nc"),
+])
+def test_blocks(page, want):
+    assert text_of(page) == want
+
+
+def test_tree_matching():
+    def block(tag, text="", *children):
+        b = htmltext.Block(tag)
+        b.text, b.children = text, list(children)
+        return b
+
+    a = block("div", "", block("p", "x"), block("p", "same"), block("ul", "", block("li", "1")))
+    b = block("div", "", block("p", "same"), block("h2", "y"), block("ul", "", block("li", "1"), block("li", "2")))
+    pairs = {(x.tag, x.text, y.text) for x, y in htmltext.match(a, b)}
+    assert pairs == {("div", "", ""), ("p", "same", "same"), ("ul", "", ""), ("li", "1", "1")}
+    assert htmltext.match(a, block("p", "x")) == []
+
+
+def test_template_of_a_host(spark):
+    def page(i):
+        return f"<body><div><p>Welcome to our site</p><div><p>Story {i} is new.</p><p>It ends {i * 7}.</p></div><p>Call us</p></div>"
+
+    rows = [(i, "http://A.example/x", page(i)) for i in range(8)]
+    rows += [(10 + i, "http://a.example/y", page(3)) for i in range(30)]  # copies vote once
+    rows += [(50, "http://b.example/", page(50)), (51, None, page(51)), (52, "http://a.example/", None), (53, "http://a.example", "")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SHAPE)
+    found = {r.page_id: (r.text, r.n_chars) for r in htmltext.main_text(df).collect()}
+    story = lambda i: f"Story {i} is new.\n\nIt ends {i * 7}."
+    whole = lambda i: f"Welcome to our site\n\n{story(i)}\n\nCall us"
+    assert found == {**{i: (story(i), len(story(i))) for i in range(8)}, **{10 + i: (story(3), len(story(3))) for i in range(30)},
+                     50: (whole(50), len(whole(50))), 51: (whole(51), len(whole(51))), 52: ("", 0), 53: ("", 0)}
+
+
+def test_deep_and_long_pages(spark):
+    deep = "<div>" * 5000 + "x" + "</div>" * 5000
+    long = "<p>word</p>" * 20_000
+    rows = [(i, "http://a/", p) for i, p in enumerate([deep, long, "<p>1", "<p>2", "<p>3", "<p>4", "<p>5", "<p>6"])]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SHAPE)
+    found = {r.page_id: r.n_chars for r in htmltext.main_text(df).collect()}
+    assert found[0] == 1 and found[1] == 20_000 * 6 - 2
+    assert htmltext.main_text(df.where("false")).collect() == []
+
+
+def test_query(spark, sf):
+    """In these pages the article is marked, and the templates hold no more than its surroundings."""
+    want = {}
+    for i, page in brute.rows(sf, "SELECT page_id, html FROM pages"):
+        inner = re.search(r"<article>(.*?)(?:</article>|$)", page, re.S)[1].replace("<br>", " ")
+        parts = [" ".join(html.unescape(re.sub("<[^>]+>", "", x)).split()) for x in re.split("</?(?:p|h1)>", inner)]
+        want[i] = "\n\n".join(x for x in parts if x)
+    rows = queries.op4_htmltext(spark, sf).collect()
+    assert {r.page_id: r.text for r in rows} == want
+    assert all(r.n_chars == len(r.text) for r in rows)

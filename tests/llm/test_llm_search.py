@@ -1,0 +1,82 @@
+import math
+import random
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from lexitally.llm import ann, impact, queries, tiles
+
+SHAPE = "vec_id BIGINT, embedding ARRAY<FLOAT>, id STRING, v INT"
+
+
+def table(spark, vectors):
+    return spark.createDataFrame([(i, v, "x", 1) for i, v in vectors], SHAPE)
+
+
+def found(df):
+    return {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in df.collect()}
+
+
+@pytest.fixture(scope="module")
+def odd():
+    r = random.Random(4)
+    grid = [[r.randrange(-8, 9) / 8 for _ in range(6)] for _ in range(90)]  # ties in plenty
+    vectors = list(enumerate(grid + [grid[3]] * 60))
+    nan, inf = float("nan"), float("inf")
+    strange = [(900, None), (901, []), (902, [0.0] * 6), (903, [nan] * 6), (904, [inf] + [0.0] * 5), (905, [None] + [1.0] * 5),
+               (None, [1.0] * 6), (920, [1.0, 2.0]), (921, [2.0, 1.0]), (940, [3.0]), (4, [9.0] * 6)]
+    return vectors + strange
+
+
+def kept(odd, zero):
+    rows = {}
+    for i, v in odd:
+        if i is not None and brute.usable(v) and (zero or any(v)):
+            rows[i] = min(rows.get(i, v), v)
+    return sorted(rows.items())
+
+
+def test_nearest_with_ties_and_odd_vectors(spark, odd, monkeypatch):
+    monkeypatch.setattr(tiles, "CANDIDATES", 32)
+    monkeypatch.setattr(tiles, "QUERIES", 8)
+    rows = kept(odd, False)
+    want = brute.nearest(rows, {i for i, _ in rows if i % 4 == 0}, 7)
+    assert found(ann.nearest(table(spark, odd), F.col("id") % 4 == 0, 7)) == want
+
+
+def test_top_with_ties_and_odd_vectors(spark, odd, monkeypatch):
+    monkeypatch.setattr(tiles, "CANDIDATES", 32)
+    monkeypatch.setattr(tiles, "QUERIES", 8)
+    rows = [(i, [math.floor(64 * x) for x in v]) for i, v in kept(odd, True)]
+    want = brute.nearest(rows, {i for i, _ in rows if i % 4 == 0}, 7)
+    assert found(impact.top(table(spark, odd), F.col("id") % 4 == 0, 7)) == want
+
+
+def test_nothing_to_search(spark):
+    empty = table(spark, [(1, [1.0])]).where("false")
+    assert ann.nearest(empty, F.col("id") % 20 == 0).collect() == []
+    assert impact.top(empty, F.col("id") % 20 == 0).collect() == []
+    alone = table(spark, [(20, [1.0])])
+    assert ann.nearest(alone, F.col("id") % 20 == 0).collect() == []
+
+
+def test_large_components(spark):
+    rows = [(0, [1e38, -1e38]), (1, [3e38, 3e38]), (2, [1.0, 1.0]), (20, [3e38, 2e38])]
+    assert {r.query_id for r in ann.nearest(table(spark, rows), F.col("id") % 20 == 0).collect()} == {0, 20}
+    assert impact.top(table(spark, rows), F.col("id") % 20 == 0).collect() == []
+
+
+@pytest.fixture(scope="module")
+def vectors(sf):
+    return brute.rows(sf, "SELECT vec_id, embedding FROM embeddings ORDER BY vec_id")
+
+
+def test_query_nearest(spark, sf, vectors):
+    rows = [(i, list(map(float, v))) for i, v in vectors]
+    assert found(queries.op2_ann(spark, sf)) == brute.nearest(rows, {i for i, _ in rows if i % 20 == 0})
+
+
+def test_query_top(spark, sf, vectors):
+    rows = [(i, [math.floor(64 * x) for x in v]) for i, v in vectors]
+    assert found(queries.op7_impact(spark, sf)) == brute.nearest(rows, {i for i, _ in rows if i % 20 == 0})
