@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import new_path
 from . import ann, bpe, htmltext, impact, langid, linededup, minhash, packing, rans, warc
-from .shared import new_path, table
+from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 

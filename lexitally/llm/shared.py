@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterable
 from pathlib import Path
@@ -12,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import new_path
+
 PACKAGE = Path(__file__).resolve().parents[1]
 
 # Contexts that have the package already.
@@ -42,24 +43,6 @@ def arrow(df: DataFrame, step: Callable[[Iterable], Iterable], schema: str) -> D
     return df.mapInArrow(step, schema)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`. Only where it is unset and the master is this one machine, as in
-    tests, a folder below /tmp/checkpoints is taken and set for the context."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = f"/tmp/checkpoints/{uuid.uuid4().hex}"
-    context.setCheckpointDir(folder)
-    return folder
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def settle(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read back: lineage ends here, a lost executor costs
     nothing that came before, and a join of the result can split skewed partitions on both sides."""
