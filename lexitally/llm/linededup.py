@@ -28,13 +28,17 @@ def _documents(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("doc"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
 
 
-def _runs(docs: DataFrame) -> DataFrame:
-    """doc, h, line, runs: the structs of words of every line that has enough of them."""
-    lines = docs.select("doc", "h", F.posexplode(F.split("text", "\n")).alias("line", "value"))
-    words = lines.select(*ORDER, F.array_remove(F.split(F.lower("value"), _BLANK), "").alias("w")).where(
-        F.size("w") >= WORDS)
-    n = F.size("w") - (WORDS - 1)
-    return words.select(*ORDER, F.arrays_zip(*[F.slice("w", i + 1, n).alias(f"w{i}") for i in range(WORDS)]).alias("runs"))
+def _hashed(docs: DataFrame, wanted: Column | None = None) -> DataFrame:
+    """doc, h, line, set: 64-bit hashes of the distinct runs of every line, or of those lines for
+    which `wanted` holds; empty for a line of too few words. Nothing is filtered by what is computed
+    here, nor exploded but by the outer form: either would compute it twice."""
+    lines = docs.select("doc", "h", F.posexplode_outer(F.split("text", "\n")).alias("line", "value"))
+    if wanted is not None:
+        lines = lines.where(wanted)
+    words = lines.select(*ORDER, F.array_remove(F.split(F.lower("value"), _BLANK), "").alias("w"))
+    n = F.greatest(F.size("w") - (WORDS - 1), F.lit(0))
+    runs = words.select(*ORDER, F.arrays_zip(*[F.slice("w", i + 1, n).alias(f"w{i}") for i in range(WORDS)]).alias("runs"))
+    return runs.select(*ORDER, F.array_distinct(F.transform("runs", lambda r: F.xxhash64(r))).alias("set"))
 
 
 def _literal(values: list[int], kind: str) -> Column:
@@ -42,27 +46,37 @@ def _literal(values: list[int], kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def _rarity(docs: DataFrame) -> Column:
+def _low(x: Column) -> Column:
+    """The lower 32 bits as an int."""
+    return (F.shiftrightunsigned(F.shiftleft(x, 32), 32) - (1 << 31)).cast("int")
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc, h, line, s (hash of the set), runs (32 bits of each run's hash, one for each distinct
+    run) of the lines that take part."""
+    made = _hashed(docs).select(*ORDER, F.sort_array("set").alias("set")).select(
+        *ORDER, F.xxhash64("set").alias("s"), F.transform("set", _low).alias("runs"))
+    return shared.settle(made, "lines").where(F.size("runs") > 0)
+
+
+def _rarity(lines: DataFrame) -> Column:
     """Number of bits of the count of all runs with the same slot, by slot."""
-    slot = F.pmod(F.xxhash64("r"), F.lit(SLOTS)).cast("int")
-    counts = _runs(docs).select(F.explode("runs").alias("r")).groupBy(slot.alias("slot")).count().collect()
+    slot = F.pmod("r", F.lit(SLOTS)).alias("slot")
+    counts = lines.select(F.explode_outer("runs").alias("r")).groupBy(slot).count().collect()
     bits = [0] * SLOTS
     for r in counts:
         bits[r.slot] = r["count"].bit_length()
     return _literal(bits, "bigint")
 
 
-def _sets(docs: DataFrame, rarity: Column) -> DataFrame:
-    """doc, h, line, s (hash of the set), n (its size), prefix: its first runs, rare ones first."""
-    hashed = F.array_distinct(F.transform("runs", lambda r: F.xxhash64(r)))
-    # Class of rarity in the upper bits, 56 bits of the hash below.
-    ranked = F.transform(hashed, lambda x: F.shiftleft(F.get(rarity, F.pmod(x, F.lit(SLOTS)).cast("int")), 56)
-                         .bitwiseOR(F.shiftrightunsigned(x, 8)))
-    made = _runs(docs).select(*ORDER, F.sort_array(ranked).alias("ranked"))
-    n = F.size("ranked")
+def _prefixes(lines: DataFrame, rarity: Column) -> DataFrame:
+    """doc, h, line, s, n (size of the set), prefix: its first runs, rare ones first."""
+    # Class of rarity in the upper bits, the run in the lower ones.
+    ranked = F.sort_array(F.transform("runs", lambda x: F.shiftleft(F.get(rarity, F.pmod(x, F.lit(SLOTS))), 32)
+                                      .bitwiseOR(x.cast("bigint") + (1 << 31))))
+    n = F.size("runs")
     length = n - F.ceil(n * SHARE[0] / SHARE[1]).cast("int") + 1
-    return made.select(*ORDER, F.xxhash64("ranked").alias("s"), n.alias("n"),
-                       F.transform(F.slice("ranked", F.lit(1), length), lambda x: F.hash(x)).alias("prefix"))
+    return lines.select(*ORDER, "s", n.alias("n"), F.transform(F.slice(ranked, F.lit(1), length), _low).alias("prefix"))
 
 
 def _possible(xn: Column, xi: Column, yn: Column, yi: Column) -> Column:
@@ -73,17 +87,17 @@ def _possible(xn: Column, xi: Column, yn: Column, yi: Column) -> Column:
     return (b * F.least(xn, yn) >= a * F.greatest(xn, yn)) & ((a + b) * reach >= a * (xn + yn))
 
 
-def _some_documents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The documents with a wanted (doc, h), and a few more: a filter of fixed size, so that the
-    exact join after it moves few texts."""
-    bit = F.pmod(F.xxhash64("doc", "h"), F.lit(64 * WORDS_OF_BITS))
+def _some_lines(wanted: DataFrame) -> Column:
+    """Holds for the wanted (doc, h, line) and a few more: a filter of fixed size, so that few
+    lines besides are taken up before the exact join."""
+    bit = F.pmod(F.xxhash64(*ORDER), F.lit(64 * WORDS_OF_BITS))
     found = wanted.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("bits")).collect()
     words = [0] * WORDS_OF_BITS
     for r in found:
         words[r.word] = r.bits
     word = F.get(_literal(words, "bigint"), F.shiftright(bit, 6).cast("int"))
-    return docs.where(F.getbit(word, bit.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return F.getbit(word, bit.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
 def _similar(pairs: DataFrame, full: DataFrame) -> DataFrame:
@@ -106,18 +120,17 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     lines stay or go in all of them. Sets are told apart by 64-bit hashes of their runs.
     """
     docs = _documents(df, key, text)
-    lines = shared.settle(_sets(docs, _rarity(docs)), "lines")
+    lines = _lines(docs)
     place = F.struct(*ORDER)
-    sets = shared.settle(lines.groupBy("s").agg(
+    sets = shared.settle(_prefixes(lines, _rarity(lines)).groupBy("s").agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
         F.any_value("prefix").alias("prefix")), "sets")
 
-    posted = sets.select("s", "n", F.posexplode("prefix").alias("i", "run"))
+    posted = sets.select("s", "n", F.posexplode_outer("prefix").alias("i", "run"))
     listed = posted.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("run"))).where("k > 1").drop("k")
     inside = shared.settle(shared.settle(listed, "listed").join(sets.select("s", "first", "copies"), "s"), "postings")
     wanted = inside.select("s", "first.*").distinct()
-    full = _runs(_some_documents(docs, wanted)).select(*ORDER, F.array_distinct(
-        F.transform("runs", lambda r: F.xxhash64(r))).alias("set"))
+    full = _hashed(docs, _some_lines(wanted))
     same = [F.col(f"f.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ORDER]
     full = shared.settle(full.alias("f").join(wanted.alias("w"), same).select("w.s", "f.set").dropDuplicates(["s"]), "full-sets")
 
