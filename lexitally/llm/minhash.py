@@ -13,7 +13,6 @@ by what each has in common with any other member.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from . import shared
 from .components import components
+from .shared import portions
 
 WORDS = 5             # words of a shingle
 SHARE = 75            # a link has a Jaccard similarity of at least this many hundredths
@@ -118,24 +118,12 @@ def bands(sign: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _portions(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of about `most` bytes of text, one row at least."""
-    sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in batch.column(column).cast(pa.binary())])
-    total, at = np.cumsum(sizes), 0
-    while at < batch.num_rows:
-        before = total[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(total, before + most, "right")))
-        end = min(end, at + 2048)
-        yield batch.slice(at, end - at)
-        at = end
-
-
 def sketches(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, h (hash of the text), n (size of the set), f1, f2 (sums that tell sets apart), bands
     (null for no set)."""
     def step(batches):
         for batch in batches:
-            for some in _portions(batch, 2):
+            for some in portions(batch, 2):
                 sets = shingle_sets(some.column(2).to_pylist())
                 f1 = [int(mixed(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
                 f2 = [int(mixed(s ^ _BASE).sum(dtype=np.uint64).view(np.int64)) for s in sets]
@@ -166,7 +154,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def step(batches):
         last: tuple[str, np.ndarray] = ("", np.zeros(0, np.uint64))
         for batch in batches:
-            for some in _portions(batch, 2):
+            for some in portions(batch, 2):
                 sets = shingle_sets(some.column(2).to_pylist())
                 common, na, nb, rest, gone = [], [], [], [], []
                 for mine, text in zip(sets, some.column(3).to_pylist(), strict=True):

@@ -13,41 +13,53 @@ the ids of the blocks before in the same part.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import shared
 from .bpe import Known, read_spec
+from .shared import portions
 
 LANES, STEPS = 256, 256
 BLOCK = 1 << 20       # ids at least in a block, unless its part ends
 BITS = 18             # the frequencies add up to 2^18, or more for very large vocabularies
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
-PIECE = 1 << 20       # bytes of text worked on at once
-REMEMBERED = 500_000  # chunks a worker remembers before it starts anew
+LINE = 256            # words that the library is given in a line
+END_OF_WORD = "</w>"  # fixed value: what the tokenizer marks a word's last token with
+PIECE = 4 << 20       # bytes of text worked on at once, one text at least
+REMEMBERED = 500_000  # words a worker remembers before it starts anew
 
 _HEADER = struct.Struct("<4sBBHIIQII")  # magic, version, bits, lanes, steps, segments, ids, crcs
 _MAGIC = b"RANS"
-_BLANK = re.compile(rb"[ \t\n\r\x0b\x0c]")
+# What is not cut here, and the tokenizer's pattern on the rest in lower case.
+_ODD = r"[^\t\n\r -~À-ÿ]|<\|"
+_ONE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]")
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+"
 
 
 # --- token ids --------------------------------------------------------------------------------
 
-class ChunkEncoder:
-    """The tokenizers library, asked once for each chunk between ASCII white space.
+class WordEncoder:
+    """The tokenizers library, asked once for each word.
 
-    Right for tokenizers that drop white space: no token and no normalisation spans it.
+    For the tokenizer of `word_bpe_49k.json`: it drops white space, so no token and no normalisation
+    spans it, and cuts the rest by the pattern below, in lower case. Texts of ASCII and of the
+    letters of Latin-1 are cut here; in others, and near its special tokens, the library itself
+    cuts what stands between ASCII white space.
     """
 
     def __init__(self, spec: str):
@@ -57,52 +69,80 @@ class ChunkEncoder:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known = Known()
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        new = [c for c in chunks if c not in self.known.code]
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            found = [e.ids for e in self.library.encode_batch_fast(
-                [c.decode() for c in part], add_special_tokens=False)]
-            ids = np.fromiter((i for f in found for i in f), np.int32)
-            self.known.add(part, ids, np.array([len(f) for f in found], np.int64))
-
-    def __call__(self, text: str) -> np.ndarray:
-        raw, parts, at = text.encode(), [], 0
-        while at < len(raw):
-            cut = _BLANK.search(raw, at + PIECE)
-            chunks = raw[at:cut.start() if cut else len(raw)].split()
-            if len(self.known.code) > REMEMBERED:
-                self.known = Known()
-            self._learn(set(chunks))
-            parts.append(self.known.ids(self.known.codes(chunks)))
-            at = cut.start() if cut else len(raw)
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        vocabulary = self.library.get_vocab()
+        self.final = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.final[[i for t, i in vocabulary.items() if t.endswith(END_OF_WORD)]] = True
+        self.words = Known()
+
+    def _learn(self, words: list[str]) -> None:
+        ids = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        self.words.add(words, np.fromiter(chain.from_iterable(ids), np.int32), np.array(list(map(len, ids)), np.int64))
+
+    def _learn_lines(self, words: list[str]) -> None:
+        """The same for words of one piece each, many in a line: a word's last token says so."""
+        lines = [" ".join(words[i:i + LINE]) for i in range(0, len(words), LINE)]
+        for i, found in enumerate(self.library.encode_batch_fast(lines, add_special_tokens=False)):
+            part, ids = words[i * LINE:(i + 1) * LINE], np.array(found.ids, np.int32)
+            ends = np.flatnonzero(self.final[ids]) + 1
+            if len(ends) == len(part):
+                self.words.add(part, ids, np.diff(ends, prepend=0))
+            else:
+                self._learn(part)
+
+    def _codes(self, words: pa.StringArray) -> np.ndarray:
+        """Codes of words in `self.words`, new ones learned."""
+        found = words.dictionary_encode()
+        distinct = found.dictionary.to_pylist()
+        if len(self.words.code) > REMEMBERED:
+            self.words = Known()
+        new = [w for w in distinct if w not in self.words.code]
+        alone = list(filter(_ONE.fullmatch, new))
+        self._learn_lines(alone)
+        if len(alone) < len(new):
+            self._learn([w for w in new if not _ONE.fullmatch(w)])
+        return self.words.codes(distinct)[found.indices.to_numpy()]
+
+    def __call__(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
+        """The ids of each text; none for null."""
+        plain = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False) != True  # noqa: E712
+        spaced = pc.replace_substring_regex(pc.utf8_lower(texts), _WORDS, r"\0 ")
+        cut = pc.ascii_split_whitespace(pc.fill_null(pc.if_else(pa.array(plain), spaced, texts), ""))
+        codes = self._codes(cut.flatten())
+        count = np.concatenate([[0], np.cumsum(self.words.count[codes])])
+        ids = self.words.ids(codes)
+        ends = count[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        for a, b in zip(ends, ends[1:], strict=False):
+            yield ids[a:b]
 
 
 @lru_cache(2)
-def _encoder(spec: str) -> ChunkEncoder:
-    return ChunkEncoder(spec)
+def _encoder(spec: str) -> WordEncoder:
+    return WordEncoder(spec)
 
 
 def token_ids(df: DataFrame, path: str, end: int, key: str, text: str) -> DataFrame:
-    """key, ids (binary, little-endian unsigned 32-bit): the ids of each text and the end id."""
+    """key, ids (binary, little-endian, of the width of `_kind`): the ids of each text and the end id."""
     spec = read_spec(path)
+    kind_ = _kind(spec, end)
 
     def step(batches):
         own = _encoder(spec)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                ids = [np.append(own(t or ""), end).astype("<u4").tobytes()
-                       for t in some.column(1).to_pylist()]
+            for some in portions(batch, 1, PIECE):
+                ids = [np.append(i, end).astype(kind_).tobytes() for i in own(some.column(1))]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids, pa.binary())], ["key", "ids"])
 
     kind = df.schema[key].dataType.simpleString()
     return shared.arrow(df.select(key, text), step, f"key {kind}, ids binary")
 
 
+def _kind(spec: str, end: int) -> str:
+    """Type in which ids are kept on their way to the files."""
+    made = json.loads(spec)
+    most = max([end, *made["model"]["vocab"].values(), *(t["id"] for t in made["added_tokens"])])
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
 # --- the coder --------------------------------------------------------------------------------
 
 def quantise(count: np.ndarray, bits: int) -> np.ndarray:
@@ -188,13 +228,13 @@ class Coder:
 
 # --- files ------------------------------------------------------------------------------------
 
-def _counts(ids: DataFrame) -> DataFrame:
+def _counts(ids: DataFrame, kind: str) -> DataFrame:
     """id, n over all documents; a task sends a row for each id it met."""
     def step(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
             for part in batch.column(0):
-                found = np.bincount(np.frombuffer(part.as_py(), "<u4"))
+                found = np.bincount(np.frombuffer(part.as_py(), kind))
                 if len(found) > len(total):
                     total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
                 total[:len(found)] += found
@@ -223,7 +263,7 @@ def write(df: DataFrame, path: str, tokenizer: str, end: int, key: str = "doc_id
     """
     spark = df.sparkSession
     ids = shared.settle(token_ids(df, tokenizer, end, key, text).withColumn("tie", F.xxhash64("ids")), "token-ids")
-    freq, bits = _frequencies(_counts(ids).collect())
+    freq, bits = _frequencies(_counts(ids, kind_ := _kind(read_spec(tokenizer), end)).collect())
     rows = [(int(i), int(freq[i]), bits) for i in np.flatnonzero(freq)]
     spark.createDataFrame(rows, "id bigint, freq bigint, bits int").coalesce(1).write.parquet(f"{path}/table")
 
@@ -233,8 +273,8 @@ def write(df: DataFrame, path: str, tokenizer: str, end: int, key: str = "doc_id
         keys, texts, size = [], [], 0
 
         def frame():
-            whole = np.frombuffer(b"".join(texts), "<u4")
-            lengths = [len(t) // 4 for t in texts]
+            whole = np.frombuffer(b"".join(texts), kind_)
+            lengths = [len(t) // whole.itemsize for t in texts]
             values = [[part], [block], [before], [keys], [lengths], [coder.encode(whole)]]
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names)
@@ -248,7 +288,7 @@ def write(df: DataFrame, path: str, tokenizer: str, end: int, key: str = "doc_id
             for own, raw in zip(batch.column(0), batch.column(1), strict=True):
                 keys.append(own.as_py())
                 texts.append(raw.as_py())
-                size += len(texts[-1]) // 4
+                size += len(texts[-1]) // np.dtype(kind_).itemsize
                 if size >= BLOCK:
                     yield frame()
                     block, before = block + 1, before + size

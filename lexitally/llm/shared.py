@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +57,14 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 def unit_hash(*columns: str) -> F.Column:
     """Number in [0, 1) from the hash of the columns, the same on every run."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
+
+
+def portions(batch: pa.RecordBatch, column: int, size: int = 1 << 20, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Slices of about `size` bytes of text in a column and `rows` rows at most, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + size, "right"))))
+        yield batch.slice(at, end - at)
+        at = end

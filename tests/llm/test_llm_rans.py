@@ -1,6 +1,9 @@
+import random
+
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -53,9 +56,11 @@ def test_frequencies():
 def test_texts_like_the_library(library):
     texts = ["", " ", "Hello, WORLD!  it's\x0b1234", "İΣ é ́x \x1c\x1d\x85　y", "<|endoftext|> a<|startoftext|>b",
              "a" * 3000, "don't 'S 's", "🙂世界", "x" * 100 + " y" * 2_000_000]
-    own = rans.ChunkEncoder(rans.read_spec(PATH))
-    for text in texts:
-        assert own(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    own = rans.WordEncoder(rans.read_spec(PATH))
+    r = random.Random(9)
+    texts += ["".join(r.choice("aBz'stm é\u00c9ß×½µ19!<|>\n\u0301ÿŸ") for _ in range(80)) for _ in range(300)]
+    texts += [f"x{chr(c)}y {chr(c)}{chr(c)}'S" for c in range(0x300)]
+    assert [i.tolist() for i in own(pa.array(texts))] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_files(spark, library, monkeypatch):
