@@ -88,8 +88,10 @@ SQL: dict[str, str] = {
               FROM (SELECT doc_id, string_split({_lf('text')}, {_LF}) AS a FROM documents))""",
     "tokens": _tokens("documents", "doc_id,"),
     "chars": f"SELECT doc_id, {_KEY} AS ch, count(*) AS n FROM ({_CODE_POINTS}) GROUP BY doc_id, c",
+    "chars_arrow": f"SELECT doc_id, {_KEY} AS ch, count(*) AS n FROM ({_CODE_POINTS}) GROUP BY doc_id, c",
     "word_count": _words(),
     "char_count": f"SELECT {_KEY} AS ch, count(*) AS n FROM ({_CODE_POINTS}) GROUP BY c",
+    "char_count_arrow": f"SELECT {_KEY} AS ch, count(*) AS n FROM ({_CODE_POINTS}) GROUP BY c",
     "minmax": _extremes(_words()),
     "merge_counts": f"SELECT word, sum(n)::BIGINT AS n FROM ({_PARTS}) GROUP BY word",
     "merge_extremes": _extremes(_words()),

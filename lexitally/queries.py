@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import session
 from .functions import fields, text
-from .operators import compare, corpus, counts, extremes, measures, participation
+from .operators import compare, corpus, counts, counts_arrow, extremes, measures, participation
 from .sources import readers, schemas, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,10 @@ def chars(spark, sf):
     return counts.char_pairs(texts(spark, sf), keep=["doc_id"])
 
 
+def chars_arrow(spark, sf):
+    return counts_arrow.char_pairs(texts(spark, sf), keep=["doc_id"])
+
+
 def word_count(spark, sf):
     return words_of(spark, sf)
 
@@ -82,6 +86,10 @@ def char_count(spark, sf):
     return counts.char_count(texts(spark, sf))
 
 
+def char_count_arrow(spark, sf):
+    return counts_arrow.char_count(texts(spark, sf))
+
+
 def minmax(spark, sf):
     return extremes.extremes(words_of(spark, sf))
 
@@ -335,7 +343,7 @@ def live_hosts(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    lines, tokens, chars, word_count, char_count, minmax, merge_counts, merge_extremes,
+    lines, tokens, chars, chars_arrow, word_count, char_count, char_count_arrow, minmax, merge_counts, merge_extremes,
     scaled_counts, strip_eol, normalize_text, valid_documents, format_counts,
     parse_counts, write_counts, read_counts, manifest, corpus_totals, fingerprint,
     fingerprint_diff, replicate, shards, listing_diff, missing_files, content_diff,

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE = Path(__file__).resolve().parent
+
+# Contexts that have the package already.
+_shipped: set[str] = set()
+
+
 def start(app: str = "lexitally", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators count on; `conf` keys use __ for dots."""
     builder = (
@@ -21,6 +31,20 @@ def start(app: str = "lexitally", master: str | None = None, **conf: str) -> Spa
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package's source to every executor of the session, once: for operators that run
+    Python there. The archive is a few kilobytes; the driver serves it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="code-"), f"{PACKAGE.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(PACKAGE.rglob("*.py")):
+            z.write(path, path.relative_to(PACKAGE.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def spread(df: DataFrame, tasks: int | None) -> DataFrame:
     """`df` dealt to so many tasks, or as it is without a number. Only for an input that is known
     to be stored in fewer pieces than there are cores: it moves every row."""

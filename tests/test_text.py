@@ -14,7 +14,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lexitally.functions import fields, text
-from lexitally.operators import counts, extremes
+from lexitally.operators import counts, counts_arrow, extremes
 
 SPACES = [chr(c) for c in (
     *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
@@ -79,6 +79,35 @@ def test_edges_and_special_code_points(spark):
     assert as_dict(counts.char_count(frame(spark, texts)), "ch") == chars_of(texts)
 
 
+def test_arrow_counts_the_same(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("abcé世🙂 \r\n", k=rng.randrange(50))) for _ in range(1500)]
+    rows = [(i % 400, t) for i, t in enumerate([*texts, "xyz🙂" * 300_000, None, ""])]
+    df = spark.createDataFrame(rows, "id INT, text STRING").repartition(2)
+    monkeypatch.setattr(counts_arrow, "_CHARS", 1000)
+    assert as_dict(counts_arrow.char_count(df), "ch") == chars_of([t for _, t in rows if t])
+    pairs = counts_arrow.char_pairs(df, keep=["id"])
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, counts.char_pairs(df, keep=["id"]).collect()))
+    assert counts_arrow.char_count(df.where("false")).collect() == []
+
+
+def test_arrow_counts_from_any_folder(tmp_path):
+    """The executors get the code from the driver, not from their working folder or path."""
+    root = Path(__file__).resolve().parents[1]
+    code = f"""
+import sys
+sys.path.insert(0, "{root}")
+from lexitally import session
+from lexitally.operators import counts_arrow
+spark = session.start("away", "local[2]", spark__ui__showConsoleProgress="false")
+df = spark.createDataFrame([("aab",)], "text STRING")
+assert {{r.ch: r.n for r in counts_arrow.char_count(df).collect()}} == {{"U+0061": 2, "U+0062": 1}}
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(
     alphabet=st.one_of(st.sampled_from(SPACES + NOT_SPACES + list("ab\n\r")),
