@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,32 +10,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_path
-
-PACKAGE = Path(__file__).resolve().parents[1]
-
-# Contexts that have the package already.
-_shipped: set[str] = set()
-
+from ..session import new_path, ship
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Hand this package's source to every executor of the session, once. The archive is a few
-    kilobytes; the driver serves it and no executor reads the driver's folder."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    archive = os.path.join(tempfile.mkdtemp(prefix="code-"), f"{PACKAGE.name}.zip")
-    with zipfile.ZipFile(archive, "w") as z:
-        for path in sorted(PACKAGE.rglob("*.py")):
-            z.write(path, path.relative_to(PACKAGE.parent))
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)
-
-
 def arrow(df: DataFrame, step: Callable[[Iterable], Iterable], schema: str) -> DataFrame:
     """`mapInArrow` with the code at hand on the executors."""
     ship(df.sparkSession)
