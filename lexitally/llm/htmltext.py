@@ -20,6 +20,7 @@ from . import shared
 
 VOTES = 5        # aligned pages that make a template, at least
 CONSTANT = 0.5   # share of them that repeat a block
+LINKS = 0.7      # share of link text from which a block of a page without article is a menu
 COPY = 0.8       # share of its text from which a page is a copy, no evidence
 
 # Elements by their part in a page.
@@ -35,7 +36,7 @@ PARTS = set("""ad ads adv advert adverts advertisement advertising sponsor spons
     navbar navigation menu breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice
     alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related
     recommended recommendations pagination pager toolbar widget copyright disclaimer comment comments commentlist
-    disqus reply replies respond skip""".split())
+    disqus reply replies respond skip trending popular topbar logo tagline""".split())
 COMMENTS = set("comment comments commentlist disqus reply replies".split())
 # A start tag that closes an open element: the first ones close those behind them.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -219,14 +220,36 @@ def _find(root: Node, tag: str) -> list[Node]:
     return found
 
 
+def _drop_links(root: Node) -> None:
+    """Drop the blocks whose text is mostly that of links: menus and lists of other pages."""
+    order, stack = [], [(root, False)]
+    while stack:
+        node, linked = stack.pop()
+        linked = linked or node.tag == "a"
+        order.append((node, linked))
+        stack += [(c, linked) for c in node.children if not isinstance(c, str) and not c.dropped]
+    size: dict[int, tuple[int, int]] = {}
+    for node, linked in reversed(order):
+        text = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        inner = [size[id(c)] for c in node.children if not isinstance(c, str) and not c.dropped]
+        total = text + sum(t for t, _ in inner)
+        links = (text if linked else 0) + sum(k for _, k in inner)
+        size[id(node)] = total, links
+        if node is not root and node.tag in BLOCKS and total and links >= LINKS * total:
+            node.dropped = True
+            size[id(node)] = 0, 0
+
+
 def article(page: str) -> Block:
-    """Blocks of the page's article: its longest article element, else its main element, else all."""
+    """Blocks of the page's article: its longest article element, else its main element, else all
+    but what is mostly links."""
     root = parse(page)
     for tag in ("article", "main"):
         if found := _find(root, tag):
             best = max(found, key=_size)
             if _size(best) > 0:
                 return _numbered(_blocks(best))
+    _drop_links(root)
     return _numbered(_blocks(root))
 
 

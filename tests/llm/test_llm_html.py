@@ -20,6 +20,8 @@ def text_of(page):
     ("<article><header><h1>T</h1></header><p>x</p><aside>no</aside><form>f</form><ul><li>1<li>2</ul></article>", "T\n\nx\n\n1\n\n2"),
     ("<article><p>long one</p></article><article class='comment'><p>much longer reader comment</p></article>", "long one"),
     ("<main><p>x</p><div class='ad'>buy</div><div id='cookie-notice'>c</div><p hidden>h</p></main>", "x"),
+    ("<div><a href=x>Home</a> | <a href=y>News</a></div><h1>T</h1><p>Some <a>linked</a> words</p><ul><li><a>More</a></ul>",
+     "T\n\nSome linked words"),
     ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n\n2\n\n3"), ("<div>a<div>b</div>c</div>", "a\n\nb\n\nc"),
 ])
 def test_blocks(page, want):
