@@ -204,11 +204,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     posted = shared.settle(chosen.select(sid, "n", "copies", F.explode("bands").alias("bucket")).distinct(), "postings")
     sizes = shared.settle(posted.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     met = shared.settle(posted.join(sizes, "bucket"), "met")
-    weights = shared.settle(met.groupBy("sid").agg(F.sum("size").alias("weight")), "weights")
-    weighed = shared.settle(met.join(weights, "sid").drop("size"), "weighed")
-    pivots = shared.settle(weighed.groupBy("bucket").agg(
+    weights = met.groupBy("sid").agg(F.sum("size").alias("weight"))
+    pivots = shared.settle(met.join(weights, "sid").groupBy("bucket").agg(
         F.max(F.struct("weight", "copies", "sid"))["sid"].alias("pivot")), "pivots")
-    inside = shared.settle(weighed.select("bucket", "sid", "n").join(pivots, "bucket"), "bucket-members")
+    inside = shared.settle(met.select("bucket", "sid", "n").join(pivots, "bucket"), "bucket-members")
 
     pairs = shared.settle(inside.where("sid <> pivot").select(
         F.col("sid").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
@@ -216,12 +215,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     texts = shared.settle(rows.withColumn("h", F.xxhash64("text")).join(needed, ["key", "h"]).groupBy("sid").agg(
         F.any_value("text").alias("text")), "texts")
     found = shared.settle(_verified(pairs, texts), "verified")
-    links = shared.settle(_links(found), "links")
-    groups = shared.settle(components(links), "components")
+    groups = shared.settle(components(_links(found)), "components")
     more = shared.settle(_across(inside, found, groups), "pairs")
     if not more.isEmpty():
-        links = shared.settle(links.unionByName(_links(_verified(more, texts))), "links")
-        groups = shared.settle(components(links), "components")
+        known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        groups = shared.settle(components(known.unionByName(_links(_verified(more, texts)))), "components")
 
     reps = groups.join(first.select(sid.alias("node"), "rep"), "node")
     lowest = shared.settle(reps.groupBy("component").agg(F.min("rep").alias("component_id")), "lowest")
@@ -239,11 +237,11 @@ def _across(inside: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame
     distance = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
     # What two members of a bucket share lies in its pivot or in what both have besides.
     rest = found.select("a", "b", F.explode("rest").alias("g"))
-    again = shared.settle(rest.groupBy("b", "g").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("b", "g"), "shared")
+    again = rest.groupBy("b", "g").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("b", "g")
     besides = rest.join(again, ["b", "g"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("besides"))
-    to_pivot = shared.settle(found.drop("rest").join(besides, ["a", "b"], "left").select(
+    to_pivot = found.drop("rest").join(besides, ["a", "b"], "left").select(
         F.col("a").alias("sid"), F.col("b").alias("pivot"), distance.alias("d"), "common", F.col("nb").alias("pn"), "gone",
-        F.coalesce("besides", F.lit(0)).alias("besides")), "bounds")
+        F.coalesce("besides", F.lit(0)).alias("besides"))
     of_pivot = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pc"))
     placed = shared.settle(inside.where("sid <> pivot").join(to_pivot, ["sid", "pivot"]).join(
         groups.withColumnRenamed("node", "sid"), "sid", "left").join(of_pivot, "pivot", "left").select(
