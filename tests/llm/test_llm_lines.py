@@ -3,7 +3,7 @@ import random
 import brute
 import pytest
 
-from lexitally.llm import linededup, queries
+from lexitally.llm import linededup
 
 SHAPE = "doc_id BIGINT, text STRING, removed STRING, h INT, line INT"
 
@@ -70,10 +70,3 @@ def test_no_python_in_the_plan(spark, sf, capsys):
     linededup.line_report(spark.read.parquet(f"{sf}/documents.parquet")).explain("extended")
     plan = capsys.readouterr().out
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
-
-
-def test_query(spark, sf):
-    docs = brute.rows(sf, "SELECT doc_id, text FROM documents ORDER BY doc_id")
-    rows = queries.op8_linededup(spark, sf).collect()
-    assert {r.doc_id: [int(i) for i in r.removed.split(",")] for r in rows if r.removed} == brute.repeated_lines(docs)
-    assert {r.doc_id: r.n_lines for r in rows} == {d: len(t.split("\n")) for d, t in docs}

@@ -4,7 +4,7 @@ import brute
 import numpy as np
 import pytest
 
-from lexitally.llm import minhash, queries
+from lexitally.llm import minhash
 from lexitally.llm.components import components
 
 SHAPE = "doc_id BIGINT, text STRING, key STRING, n INT, bands INT"
@@ -81,7 +81,3 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 101), (7, 3), (200, 201), (202, 201), (202, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a BIGINT, b BIGINT")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 200: 200, 201: 200, 202: 200}
-
-
-def test_query(spark, sf):
-    assert found(queries.op10_minhash(spark, sf)) == brute.components(brute.rows(sf, "SELECT doc_id, text FROM documents"))

@@ -5,7 +5,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from lexitally.llm import ann, impact, queries, tiles
+from lexitally.llm import ann, impact, tiles
 
 SHAPE = "vec_id BIGINT, embedding ARRAY<FLOAT>, id STRING, v INT"
 
@@ -65,18 +65,3 @@ def test_large_components(spark):
     rows = [(0, [1e38, -1e38]), (1, [3e38, 3e38]), (2, [1.0, 1.0]), (20, [3e38, 2e38])]
     assert {r.query_id for r in ann.nearest(table(spark, rows), F.col("id") % 20 == 0).collect()} == {0, 20}
     assert impact.top(table(spark, rows), F.col("id") % 20 == 0).collect() == []
-
-
-@pytest.fixture(scope="module")
-def vectors(sf):
-    return brute.rows(sf, "SELECT vec_id, embedding FROM embeddings ORDER BY vec_id")
-
-
-def test_query_nearest(spark, sf, vectors):
-    rows = [(i, list(map(float, v))) for i, v in vectors]
-    assert found(queries.op2_ann(spark, sf)) == brute.nearest(rows, {i for i, _ in rows if i % 20 == 0})
-
-
-def test_query_top(spark, sf, vectors):
-    rows = [(i, [math.floor(64 * x) for x in v]) for i, v in vectors]
-    assert found(queries.op7_impact(spark, sf)) == brute.nearest(rows, {i for i, _ in rows if i % 20 == 0})

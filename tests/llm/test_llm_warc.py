@@ -3,7 +3,7 @@ import gzip
 import brute
 import pytest
 
-from lexitally.llm import queries, shared, warc
+from lexitally.llm import shared, warc
 
 SHAPE = "page_id BIGINT, url STRING, html STRING, payload STRING, key INT"
 
@@ -55,8 +55,3 @@ def test_nothing(spark):
     path = shared.new_path(spark, "archives")
     warc.write(spark.createDataFrame([], SHAPE), path)
     assert warc.read(spark, path).collect() == []
-
-
-def test_query(spark, sf):
-    found = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in queries.op3_warc(spark, sf).collect()}
-    assert found == brute.archive(brute.rows(sf, "SELECT page_id, html FROM pages"))
