@@ -158,31 +158,33 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return gone.groupBy("doc", "h").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 
-def _beside(df: DataFrame, removed: DataFrame, key: str, text: str) -> DataFrame:
-    """`df` with the column `removed`, which gives way to no other of that name."""
-    own = [c for c in df.columns if c != "removed"]
-    gone = shared.settle(removed, "removed").alias("g")
-    rows = df.select(*own).withColumn("__h", F.xxhash64(text)).alias("d")
-    same = F.col(f"d.{key}").eqNullSafe(F.col("g.doc")) & (F.col("d.__h") == F.col("g.h"))
-    return rows.join(gone, same, "left").select(*[F.col(f"d.`{c}`") for c in own], "g.removed")
+def _beside(df: DataFrame, removed: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    """`df` with a column for the numbers of lines to remove, and that column's name."""
+    name, h = shared.fresh(df, "_removed"), shared.fresh(df, "_h")
+    gone = shared.settle(removed, "removed").select(
+        F.col("doc").alias("doc"), F.col("h").alias("g_h"), F.col("removed").alias("g_removed")).alias("g")
+    rows = df.withColumn(h, F.xxhash64(text)).alias("d")
+    same = F.col(f"d.`{key}`").eqNullSafe(F.col("g.doc")) & (F.col(f"d.`{h}`") == F.col("g.g_h"))
+    found = rows.join(gone, same, "left")
+    return found.select(*[F.col(f"d.`{c}`") for c in df.columns], F.col("g.g_removed").alias(name)), name
 
 
 def line_report(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_lines, removed: for every row how many lines it has and which of them go."""
     rows = df.select(key, text)
-    found = _beside(rows, repeated_lines(rows, key, text), key, text)
+    found, name = _beside(rows, repeated_lines(rows, key, text), key, text)
     return found.select(key, F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).alias("n_lines"),
-                        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+                        F.coalesce(name, F.array().cast("array<int>")).alias("removed"))
 
 
 def without_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `df` without repeated lines, all columns kept. Rows of which only white space is
     left go; rows that lose nothing stay as they are, null and empty texts included."""
-    columns = [c for c in df.columns if c != "removed"]
-    found = _beside(df, repeated_lines(df, key, text), key, text)
+    found, name = _beside(df, repeated_lines(df, key, text), key, text)
+    new = shared.fresh(found, "_new")
     lines = F.split(text, "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(name))
     rest = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    shorter = found.withColumn("__new", F.when(F.col("removed").isNotNull(), rest)).where(
-        F.col("__new").isNull() | F.col("__new").rlike(r"[^\x20\x09-\x0D]"))
-    return shorter.withColumn(text, F.coalesce("__new", text)).select(*columns)
+    shorter = found.withColumn(new, F.when(F.col(name).isNotNull(), rest)).where(
+        F.col(new).isNull() | F.col(new).rlike(r"[^\x20\x09-\x0D]"))
+    return shorter.withColumn(text, F.coalesce(new, text)).select(*df.columns)

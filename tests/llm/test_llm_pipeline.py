@@ -40,10 +40,11 @@ def test_stages_on_odd_rows(spark, sf):
     same = " ".join(f"w{i}" for i in range(30))
     rows = [(1, "the cat sat on the mat", "en", "a", 22), (2, None, "en", "a", None), (3, "", None, None, 0), (4, "123 456", "en", "b", 7),
             (None, same, "en", "b", 1), (5, same, "en", "c", 1), (5, same, "en", "c", 1), (6, f"{same}\nthe end", "en", "c", 1)]
-    docs = spark.createDataFrame(rows, SHAPE).selectExpr("*", "'x' AS removed", "1 AS __lang", "2 AS score")
+    docs = spark.createDataFrame(rows, SHAPE).selectExpr("*", "'x' AS removed", "1 AS _lang", "2 AS score", "3 AS _key")
     stages = dict(corpus_pipeline.STAGES)
     first = stages["language"](spark, docs, sf)
     assert first.columns == docs.columns
+    assert {(r.removed, r._lang, r.score, r._key) for r in first.collect()} == {("x", 1, 2, 3)}
     assert sorted(str(r.doc_id) for r in first.collect()) == ["1", "5", "5", "6", "None"]
     second = stages["lines"](spark, docs, sf)
     assert second.columns == docs.columns
