@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexitally.llm import langid, linededup, minhash, packing
-from lexitally.llm.shared import settle, table
+from lexitally.llm.shared import fresh, settle, table
 
 # A document stays from this score of its language on.
 LEAST_SCORE = 0.5
@@ -20,8 +20,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told: not those without a letter, nor those whose best
     language has less than LEAST_SCORE. The label is never an input of the decision."""
     model = langid.fit(docs.where(~langid.held_out("doc_id")))
-    found = langid.predict(docs, model, predicted="__lang", score="__score")
-    return found.where((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+    lang, score = fresh(docs, "_lang"), fresh(docs, "_score")
+    found = langid.predict(docs, model, predicted=lang, score=score)
+    return found.where((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +35,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id. Rows that
     repeat id and text are one document; those that repeat the id alone are told apart."""
-    keyed = docs.withColumn("__key", F.struct("doc_id", F.xxhash64("text").alias("h")))
-    kept = settle(minhash.near_duplicates(keyed, "__key").where("kept").select("__key").distinct(), "kept")
-    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    key = fresh(docs, "_key")
+    keyed = docs.withColumn(key, F.struct("doc_id", F.xxhash64("text").alias("h")))
+    kept = settle(minhash.near_duplicates(keyed, key).where("kept").select(key).distinct(), "kept")
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
