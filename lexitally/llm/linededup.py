@@ -100,6 +100,15 @@ def _some_lines(wanted: DataFrame) -> Column:
     return F.getbit(word, bit.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
+def _full(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """s, set: all runs of the sets in the pairs, taken from the first line of each."""
+    named = pairs.select(F.explode(F.array("early", "late")).alias("s")).distinct()
+    wanted = shared.settle(sets.select("s", "first.*").join(named, "s", "left_semi"), "wanted")
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ORDER]
+    found = _hashed(docs, _some_lines(wanted)).alias("f").join(wanted.alias("w"), same)
+    return shared.settle(found.select("w.s", "f.set").dropDuplicates(["s"]), "full-sets")
+
+
 def _similar(pairs: DataFrame, full: DataFrame) -> DataFrame:
     """s: the later set of each pair (early, late) that is similar indeed."""
     a, b = SHARE
@@ -129,11 +138,6 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     posted = sets.select("s", "n", F.posexplode_outer("prefix").alias("i", "run"))
     listed = posted.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("run"))).where("k > 1").drop("k")
     inside = shared.settle(shared.settle(listed, "listed").join(sets.select("s", "first", "copies"), "s"), "postings")
-    wanted = inside.select("s", "first.*").distinct()
-    full = _hashed(docs, _some_lines(wanted))
-    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ORDER]
-    full = shared.settle(full.alias("f").join(wanted.alias("w"), same).select("w.s", "f.set").dropDuplicates(["s"]), "full-sets")
-
     row = F.struct("first", "s", "n", "i")
     pivots = shared.settle(inside.groupBy("run").agg(
         F.min(row).alias("earliest"), F.max(F.struct("copies", row.alias("row")))["row"].alias("commonest")), "pivots")
@@ -143,14 +147,16 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     star = shared.settle(beside.select(
         F.when(before, F.col("s")).otherwise(F.col("p.s")).alias("early"),
         F.when(before, F.col("p.s")).otherwise(F.col("s")).alias("late")).distinct(), "pairs")
-    matched = shared.settle(_similar(star, full), "matched")
+    matched = shared.settle(_similar(star, _full(docs, star, sets)), "matched")
 
     left = inside.join(matched, "s", "left_anti").select(
         "run", F.col("s").alias("late"), F.col("first").alias("late_first"), F.col("n").alias("xn"), F.col("i").alias("xi"))
-    rest = left.join(inside, "run").where(
+    rest = shared.settle(left.join(inside, "run").where(
         (F.col("first") < F.col("late_first")) & _possible(F.col("xn"), F.col("xi"), F.col("n"), F.col("i"))).select(
-        F.col("s").alias("early"), "late").distinct().join(star, ["early", "late"], "left_anti")
-    found = matched.unionByName(_similar(rest, full)).distinct()
+        F.col("s").alias("early"), "late").distinct().join(star, ["early", "late"], "left_anti"), "pairs")
+    found = matched
+    if not rest.isEmpty():
+        found = matched.unionByName(_similar(rest, _full(docs, rest, sets))).distinct()
 
     decided = shared.settle(sets.select("s", "first").join(found.withColumn("near", F.lit(True)), "s", "left"), "decided")
     gone = lines.select(*ORDER, "s").join(decided, "s").where(
