@@ -42,8 +42,10 @@ COMMENTS = set("comment comments commentlist disqus reply replies".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tr", "td", "th"}}
 
+_ATTRIBUTES = r"""(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*"""
+# Foreign elements may end in their own tag, the others never do.
 _HIDDEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({'|'.join(RAW.split())})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+    rf"<!--.*?(?:-->|\Z)|<(?:svg|math){_ATTRIBUTES}/>|<({'|'.join(RAW.split())}){_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*+|[^>]*)>|<[!?][^>]*>""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAMED = re.compile(r"\b(?:class|id|role|hidden|style|aria-hidden)\b", re.I)

@@ -28,6 +28,16 @@ def test_blocks(page, want):
     assert text_of(page) == want
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ('<article><p>a</p><svg class="i"/><p>b</p><p>c</p></article>', "a\n\nb\n\nc"), ("<p>a<math/>b<svg />c", "abc"),
+    ("<p>a</p><SVG a='/>'><text>no</text><svg/></SVG><p>b", "a\n\nb"), ("<p>a<svg/>b<svg><text>no</text></svg>c", "abc"),
+    ("<template-x><p>a</p></template-x><p>b</p>", "a\n\nb"), ("<p>a</p><title-bar>t</title-bar><p>b", "a\n\nt\n\nb"),
+    ("<p>a</p><script/><p>no</p></script><p>b<template><p>no</template>", "a\n\nb"),
+])
+def test_foreign_and_custom_elements(page, want):
+    assert text_of(page) == want
+
+
 def test_tree_matching():
     def block(tag, text="", *children):
         b = htmltext.Block(tag)
