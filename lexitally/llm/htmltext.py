@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections import OrderedDict
+from collections import Counter, OrderedDict
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ from . import shared
 VOTES = 5        # aligned pages that make a template, at least
 CONSTANT = 0.5   # share of them that repeat a block
 LINKS = 0.7      # share of link text from which a block of a page without article is a menu
-COPY = 0.8       # share of its text from which a page is a copy, no evidence
+COPY = 0.8       # share of length and pairs of words in its own blocks from which a page is a near copy, no evidence
 
 # Elements by their part in a page.
 RAW = "script style textarea title noscript template svg math"
@@ -48,6 +49,9 @@ _HIDDEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?:svg|math){_ATTRIBUTES}/>|<({'|'.join(RAW.split())}){_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*+|[^>]*)>|<[!?][^>]*>""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# Words; in scripts without blanks between them every character is one.
+_UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
 _NAMED = re.compile(r"\b(?:class|id|role|hidden|style|aria-hidden)\b", re.I)
 
 
@@ -302,15 +306,30 @@ def _match(a: Block, b: Block) -> tuple[int, list[tuple[Block, Block]]]:
     return own + best[n][m], pairs
 
 
-def votes(page: Block, typical: Block) -> tuple[list[int], list[int]]:
-    """Numbers of the typical page's texts that the page has a place for, and of those that it
-    repeats; none if the page is a copy."""
+def _near_copy(own: list[str], others: list[str]) -> bool:
+    """Whether two pages' own texts are about as long and the same but for a few words."""
+    if not own or not others:
+        return not own and not others
+    n, m = sum(map(len, own)), sum(map(len, others))
+    if min(n, m) < COPY * max(n, m):
+        return False
+    x, y = _WORD.findall("\n".join(own)), _WORD.findall("\n".join(others))
+    least = COPY * max(1, len(x) - 1, len(y) - 1)
+    return min(len(x), len(y)) - 1 >= least and (
+        Counter(zip(x, x[1:])) & Counter(zip(y, y[1:]))).total() >= least
+
+
+def votes(page: Block, typical: Block) -> tuple[list[int], list[int], list[str]]:
+    """Numbers of the typical page's texts that the page has a place for and of those that it
+    repeats, and the page's own texts, all others. No numbers from a near copy: it is told by the
+    texts of both that differ, however much of the page is boilerplate."""
     pairs = [(p, t) for p, t in match(page, typical) if t.text]
     same = [(p, t) for p, t in pairs if p.text == t.text]
-    total = sum(len(b.text) for b in page.all())
-    if sum(len(p.text) for p, _ in same) >= COPY * max(1, total):
-        return [], []
-    return [t.number for _, t in pairs], [t.number for _, t in same]
+    here, there = {id(p) for p, _ in same}, {id(t) for _, t in same}
+    own = [b.text for b in page.all() if b.text and id(b) not in here]
+    if _near_copy(own, [b.text for b in typical.all() if b.text and id(b) not in there]):
+        return [], [], own
+    return [t.number for _, t in pairs], [t.number for _, t in same], own
 
 
 def content(page: Block, typical: Block | None, template: set[int]) -> str:
@@ -352,18 +371,20 @@ def _templates(pages: DataFrame, typical: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
                 found = []
-                for host, page, other in zip(*(some.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+                for host, page, other in zip(*(some.column(i).to_pylist() for i in range(3)), strict=True):
                     found.append(votes(article(page), blocks(host, other)))
                 kind = pa.list_(pa.int32())
+                own = [int.from_bytes(blake2b("\n".join(f[2]).encode(errors="surrogatepass"), digest_size=8).digest(), "little", signed=True)
+                       for f in found]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array([f[0] for f in found], kind),
-                     pa.array([f[1] for f in found], kind)], ["host", "h", "places", "same"])
-
-    rows = pages.where("host <> '' and page <> ''").join(typical, "host").select(
-        "host", F.xxhash64("page").alias("h"), "page", "typical")
-    each = shared.arrow(rows, step, "host string, h bigint, places array<int>, same array<int>")
-    # Copies of a page have one vote.
-    once = each.dropDuplicates(["host", "h"])
+                    [some.column(0), pa.array(own, pa.int64()), pa.array([f[0] for f in found], kind),
+                     pa.array([f[1] for f in found], kind)], ["host", "own", "places", "same"])
+
+    rows = pages.where("host <> '' and page <> ''").join(typical, "host").select("host", "page", "typical")
+    each = shared.arrow(rows, step, "host string, own bigint, places array<int>, same array<int>")
+    # Pages with the same own texts have one vote.
+    once = each.where(F.size("places") > 0).groupBy("host", "own").agg(
+        F.max(F.struct("places", "same")).alias("v")).select("host", "v.*")
     counted = once.select("host", F.explode("places").alias("block"), "same").groupBy("host", "block").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("same", F.col("block"))).alias("k"))
     return counted.where((F.col("n") >= VOTES) & (F.col("k") >= CONSTANT * F.col("n"))).groupBy("host").agg(
@@ -375,7 +396,8 @@ def main_text(df: DataFrame, key: str = "page_id", url: str = "url", page: str =
 
     Blocks are joined by an empty line; white space in a block, a line break included, is one
     space. A null or empty page has an empty text. Pages without a host, and hosts of fewer than
-    VOTES different pages, have no template. Rows that repeat are extracted each, and vote once.
+    VOTES different pages, have no template. Rows that repeat are extracted each, and vote once; near
+    copies of the typical page, whose own texts have COPY of its length and pairs of words, do not vote.
     The typical page of a host is the one nearest to the mean length, ties to the smaller hash.
     Other columns are not read.
     """

@@ -66,6 +66,24 @@ def test_template_of_a_host(spark):
                      50: (whole(50), len(whole(50))), 51: (whole(51), len(whole(51))), 52: ("", 0), 53: ("", 0)}
 
 
+def test_more_boilerplate_than_article(spark):
+    """Of host a each page has its own short article in a long wrapper; the pages of host b are one
+    article, changed in a word each, and those of c three articles, one of them with many markups."""
+    words = lambda n, k: " ".join(f"w{n}x{i}" for i in range(k))
+    top, end = words("top", 200), words("end", 300)
+    note = lambda i: f"Note {i} is about topic {i * i}."
+    rows = [(i, "http://a/", f"<div><p>{top}</p><p>{note(i)}</p><p>{end}</p></div>") for i in range(8)]
+    near = [[words(n, 30).split() for n in range(4)] for _ in range(12)]
+    for i, parts in enumerate(near):
+        parts[i % 4][2 * i] = f"changed{i}"
+    rows += [(20 + i, "http://b/", "".join(f"<p>{' '.join(p)}</p>" for p in parts)) for i, parts in enumerate(near)]
+    rows += [(40 + i, "http://c/", f"<div><p>{top}</p><!-- {'x' * i} --><p>{note(max(8, i))}</p></div>") for i in range(11)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SHAPE)
+    found = {r.page_id: r.text for r in htmltext.main_text(df).collect()}
+    assert found == {**{i: note(i) for i in range(8)}, **{20 + i: "\n\n".join(map(" ".join, p)) for i, p in enumerate(near)},
+                     **{40 + i: f"{top}\n\n{note(max(8, i))}" for i in range(11)}}
+
+
 def test_deep_and_long_pages(spark):
     deep = "<div>" * 5000 + "x" + "</div>" * 5000
     long = "<p>word</p>" * 20_000
