@@ -1,9 +1,10 @@
 """Main text of web pages by wrapper induction.
 
 A page becomes a tree of blocks, without what its markup declares to be no article: menus, forms,
-scripts and the like. Every page of a host is aligned with a typical page of the host by simple
-tree matching. Blocks of that page which the others repeat word for word are the host's template,
-blocks whose text varies are slots for content; the template is taken out of every page.
+scripts and the like. Every page of a host is aligned with a typical page of the host, and with one
+of those of the host that are laid out like it, by simple tree matching. Blocks of such a page which
+the others repeat word for word are template, blocks whose text varies are slots for content; the
+templates are taken out of every page.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from . import shared
 
 VOTES = 5        # aligned pages that make a template, at least
 CONSTANT = 0.5   # share of them that repeat a block
+LEVELS = 2       # levels of blocks that make a layout
 LINKS = 0.7      # share of link text from which a block of a page without article is a menu
 COPY = 0.8       # share of length and pairs of words in its own blocks from which a page is a near copy, no evidence
 
@@ -332,14 +334,32 @@ def votes(page: Block, typical: Block) -> tuple[list[int], list[int], list[str]]
     return [t.number for _, t in pairs], [t.number for _, t in same], own
 
 
-def content(page: Block, typical: Block | None, template: set[int]) -> str:
-    """Texts of the blocks that are no template, in page order."""
+def content(page: Block, typical: Block | None, template: set[int], *more: tuple[Block | None, set[int]]) -> str:
+    """Texts of the blocks that are no template, of none of the typical pages, in page order."""
     constant = set()
-    if typical is not None and template:
-        constant = {id(p) for p, t in match(page, typical) if t.number in template and p.text == t.text}
+    for other, numbers in ((typical, template), *more):
+        if other is not None and numbers:
+            constant |= {id(p) for p, t in match(page, other) if t.number in numbers and p.text == t.text}
     return "\n\n".join(b.text for b in page.all() if b.text and id(b) not in constant)
 
 
+def _number(text: str) -> int:
+    """64-bit hash."""
+    return int.from_bytes(blake2b(text.encode(errors="surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def layout(page: Block) -> int:
+    """Hash of the tags of the upper LEVELS of blocks; neighbours that are alike count as one."""
+    def tags(block: Block, levels: int) -> str:
+        found = [""]
+        for child in block.children if levels else ():
+            if (own := f"{child.tag}({tags(child, levels - 1)})") != found[-1]:
+                found.append(own)
+        return " ".join(found)
+
+    return _number(f"{page.tag}({tags(page, LEVELS)})")
+
+
 # --- tables -----------------------------------------------------------------------------------
 
 def host_of(url: Column) -> Column:
@@ -348,46 +368,98 @@ def host_of(url: Column) -> Column:
 
 
 class _Typical:
-    """The blocks of typical pages, of the hosts met last."""
+    """The blocks of typical pages, of the hosts and layouts met last."""
 
     def __init__(self):
-        self.known: OrderedDict[str, Block] = OrderedDict()
+        self.known: OrderedDict[tuple[str, int | None], Block] = OrderedDict()
 
-    def __call__(self, host: str, page: str | None) -> Block | None:
+    def __call__(self, host: str, kind: int | None, page: str | None) -> Block | None:
         if page is None:
             return None
-        if host not in self.known:
+        if (host, kind) not in self.known:
             if len(self.known) == 64:
                 self.known.popitem(last=False)
-            self.known[host] = article(page)
-        return self.known[host]
+            self.known[host, kind] = article(page)
+        return self.known[host, kind]
+
+
+def _slices(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            yield batch.slice(at, 256)
+
+
+def _laid_out(pages: DataFrame) -> DataFrame:
+    """`pages` with the layout of each page that has a host."""
+    names = pages.columns
+    host, page = names.index("host"), names.index("page")
+
+    def step(batches):
+        for some in _slices(batches):
+            found = [layout(article(p)) if h and p else None
+                     for h, p in zip(some.column(host).to_pylist(), some.column(page).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(found, pa.int64())], [*names, "layout"])
+
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pages.schema)
+    return shared.arrow(pages, step, f"{shape}, layout bigint")
+
+
+def _typical(pages: DataFrame) -> DataFrame:
+    """host, kind, typical: a typical page of each host (no kind) and of each layout that not all
+    pages of its host have. There is none where fewer than VOTES others could vote."""
+    named = pages.where("host <> '' and page <> ''")
+    sizes = shared.settle(_laid_out(named.select("host", "page", F.xxhash64("page").alias("h"))).groupBy(
+        "host", "h", "layout", F.length("page").alias("size")).agg(F.count(F.lit(1)).alias("rows")), "sizes")
+    ways = lambda df: df.withColumn("kind", F.explode(F.array(F.lit(None).cast("bigint"), "layout")))
+    means = shared.settle(ways(sizes).groupBy("host", "kind").agg(
+        F.count(F.lit(1)).alias("pages"), (F.sum(F.col("size") * F.col("rows")) / F.sum("rows")).alias("mean")), "means")
+    whole = means.where("kind IS NULL").select(F.col("host").alias("all_host"), F.col("pages").alias("all_pages"))
+    able = shared.settle(means.where(F.col("pages") > VOTES).join(whole, F.col("host") == F.col("all_host")).where(
+        F.col("kind").isNull() | (F.col("pages") < F.col("all_pages"))).select("host", "kind", "mean"), "able").alias("m")
+    same = (F.col("s.host") == F.col("m.host")) & F.col("s.kind").eqNullSafe(F.col("m.kind"))
+    near = F.struct(F.abs(F.col("size") - F.col("mean")), F.col("h"))
+    chosen = shared.settle(ways(sizes).alias("s").join(able, same).groupBy("m.host", "m.kind").agg(
+        F.min(near)["h"].alias("h")), "chosen")
+    return shared.settle(named.withColumn("h", F.xxhash64("page")).join(chosen, ["host", "h"]).groupBy("host", "kind").agg(
+        F.min("page").alias("typical")), "typical")
+
+
+def _beside(pages: DataFrame, typical: DataFrame, how: str = "left") -> DataFrame:
+    """Pages with their layout and the other columns of `typical`: those of the host, and, with
+    `own_` before the name, those of the layout."""
+    rest = [c for c in typical.columns if c not in ("host", "kind")]
+    by_host = typical.where("kind IS NULL").drop("kind")
+    by_layout = typical.where("kind IS NOT NULL").select("host", F.col("kind").alias("layout"), *[F.col(c).alias(f"own_{c}") for c in rest])
+    return _laid_out(pages).join(by_host, "host", how).join(by_layout, ["host", "layout"], "left")
 
 
 def _templates(pages: DataFrame, typical: DataFrame) -> DataFrame:
-    """host, template: numbers of the constant blocks of the host's typical page."""
+    """host, kind, template: numbers of the constant blocks of the typical pages."""
     def step(batches):
         blocks = _Typical()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                found = []
-                for host, page, other in zip(*(some.column(i).to_pylist() for i in range(3)), strict=True):
-                    found.append(votes(article(page), blocks(host, other)))
-                kind = pa.list_(pa.int32())
-                own = [int.from_bytes(blake2b("\n".join(f[2]).encode(errors="surrogatepass"), digest_size=8).digest(), "little", signed=True)
-                       for f in found]
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(own, pa.int64()), pa.array([f[0] for f in found], kind),
-                     pa.array([f[1] for f in found], kind)], ["host", "own", "places", "same"])
-
-    rows = pages.where("host <> '' and page <> ''").join(typical, "host").select("host", "page", "typical")
-    each = shared.arrow(rows, step, "host string, own bigint, places array<int>, same array<int>")
+        for some in _slices(batches):
+            found = []
+            for host, kind, page, *others in zip(*(some.column(i).to_pylist() for i in range(5)), strict=True):
+                own = article(page)
+                for k, other in zip((None, kind), others, strict=True):
+                    if other is not None:
+                        places, same, texts = votes(own, blocks(host, k, other))
+                        if places:
+                            found.append((host, k, _number("\n".join(texts)), places, same))
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+            columns = zip(*found, strict=True) if found else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                             ["host", "kind", "own", "places", "same"])
+
+    # A layout has a typical page only where its host has one.
+    rows = _beside(pages.where("host <> '' and page <> ''").select("host", "page"), typical, "inner").select(
+        "host", "layout", "page", "typical", "own_typical")
+    each = shared.arrow(rows, step, "host string, kind bigint, own bigint, places array<int>, same array<int>")
     # Pages with the same own texts have one vote.
-    once = each.where(F.size("places") > 0).groupBy("host", "own").agg(
-        F.max(F.struct("places", "same")).alias("v")).select("host", "v.*")
-    counted = once.select("host", F.explode("places").alias("block"), "same").groupBy("host", "block").agg(
+    once = each.groupBy("host", "kind", "own").agg(F.max(F.struct("places", "same")).alias("v")).select("host", "kind", "v.*")
+    counted = once.select("host", "kind", F.explode("places").alias("block"), "same").groupBy("host", "kind", "block").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("same", F.col("block"))).alias("k"))
-    return counted.where((F.col("n") >= VOTES) & (F.col("k") >= CONSTANT * F.col("n"))).groupBy("host").agg(
+    return counted.where((F.col("n") >= VOTES) & (F.col("k") >= CONSTANT * F.col("n"))).groupBy("host", "kind").agg(
         F.sort_array(F.collect_list("block")).alias("template"))
 
 
@@ -398,32 +470,29 @@ def main_text(df: DataFrame, key: str = "page_id", url: str = "url", page: str =
     space. A null or empty page has an empty text. Pages without a host, and hosts of fewer than
     VOTES different pages, have no template. Rows that repeat are extracted each, and vote once; near
     copies of the typical page, whose own texts have COPY of its length and pairs of words, do not vote.
-    The typical page of a host is the one nearest to the mean length, ties to the smaller hash.
-    Other columns are not read.
+    A host has a typical page, and one for each layout of more than VOTES of its pages if there are
+    several; a page loses the templates of both. Typical is the page nearest to the mean length,
+    ties to the smaller hash. Other columns are not read.
     """
     pages = df.select(F.col(key).alias("key"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"),
                       F.coalesce(F.col(page), F.lit("")).alias("page"))
-    named = pages.where("host <> '' and page <> ''")
-    mean = named.groupBy("host").agg(F.avg(F.length("page")).alias("mean"))
-    near = F.struct(F.abs(F.length("page") - F.col("mean")), F.xxhash64("page").alias("h"))
-    chosen = shared.settle(named.join(shared.settle(mean, "means"), "host").groupBy("host").agg(
-        F.min(near)["h"].alias("h")), "chosen")
-    typical = shared.settle(named.withColumn("h", F.xxhash64("page")).join(chosen, ["host", "h"]).groupBy("host").agg(
-        F.min("page").alias("typical")), "typical")
-    templates = shared.settle(typical.join(shared.settle(_templates(pages, typical), "templates"), "host"), "wrappers")
+    typical = _typical(pages.select("host", "page"))
+    templates = shared.settle(_templates(pages, typical), "templates").alias("v")
+    same = (F.col("t.host") == F.col("v.host")) & F.col("t.kind").eqNullSafe(F.col("v.kind"))
+    wrappers = shared.settle(typical.alias("t").join(templates, same).select("t.*", "v.template"), "wrappers")
 
     def step(batches):
         blocks = _Typical()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                texts = [content(article(own), blocks(host, other), set(template or ()))
-                         for host, own, other, template in zip(
-                             *(some.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array(texts, pa.string())], ["key", "url", "text"])
-
-    rows = pages.join(templates, "host", "left").select("key", "url", "host", "page", "typical", "template")
+        for some in _slices(batches):
+            texts = [content(article(own), blocks(host, None, other), set(template or ()),
+                             (blocks(host, kind, own_other), set(own_template or ())))
+                     for host, kind, own, other, template, own_other, own_template in zip(
+                         *(some.column(i).to_pylist() for i in range(2, 9)), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [some.column(0), some.column(1), pa.array(texts, pa.string())], ["key", "url", "text"])
+
+    rows = _beside(pages, wrappers).select(
+        "key", "url", "host", "layout", "page", "typical", "template", "own_typical", "own_template")
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
     found = shared.arrow(rows, step, f"key {kinds['key']}, url {kinds['url']}, text string")
     return found.select(F.col("key").alias(key), F.col("url").alias(url), "text",

@@ -84,6 +84,19 @@ def test_more_boilerplate_than_article(spark):
                      **{40 + i: f"{top}\n\n{note(max(8, i))}" for i in range(11)}}
 
 
+def test_templates_of_layouts(spark):
+    """Stories, tables and one long list on a host: each layout loses its own boilerplate."""
+    story = lambda i: f"Story {i} is new.\n\nIt ends {i * 7}."
+    rows = [(i, "http://a/", f"<div><p>Welcome</p><p>Story {i} is new.</p><p>It ends {i * 7}.</p><p>Call us</p></div>") for i in range(12)]
+    rows += [(20 + i, "http://a/", f"<table><tr><td>Our prices today</td></tr><tr><td>Item {i} of {i * i}</td></tr></table><h2>No refunds</h2>")
+             for i in range(9)]
+    rows += [(40, "http://a/", "<ul>" + "<li>entry" * 99 + "</ul>"), (41, "http://a/", "<h3>Welcome</h3>")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SHAPE)
+    found = {r.page_id: r.text for r in htmltext.main_text(df).collect()}
+    assert found == {**{i: story(i) for i in range(12)}, **{20 + i: f"Item {i} of {i * i}" for i in range(9)},
+                     40: "\n\n".join(["entry"] * 99), 41: "Welcome"}
+
+
 def test_deep_and_long_pages(spark):
     deep = "<div>" * 5000 + "x" + "</div>" * 5000
     long = "<p>word</p>" * 20_000
