@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter, OrderedDict
+from collections.abc import Sequence
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -228,35 +229,77 @@ def _find(root: Node, tag: str) -> list[Node]:
     return found
 
 
-def _drop_links(root: Node) -> None:
-    """Drop the blocks whose text is mostly that of links: menus and lists of other pages."""
+def _mostly_links(root: Node) -> bool:
+    """Whether an element's text is mostly that of links."""
+    total, links, stack = 0, 0, [(root, False)]
+    while stack:
+        node, linked = stack.pop()
+        linked = linked or node.tag == "a"
+        text = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        total, links = total + text, links + linked * text
+        stack += [(c, linked) for c in node.children if not isinstance(c, str) and not c.dropped]
+    return total > 0 and links >= LINKS * total
+
+
+def _drop_links(root: Node, whole: Sequence[Node] = ()) -> None:
+    """Drop the blocks whose text is mostly that of links: menus and lists of other pages. The
+    elements in `whole` stay as they are."""
+    inside, holding = {id(n) for n in whole}, set()
+    for up in whole:
+        while up is not None:
+            holding.add(id(up))
+            up = up.parent
     order, stack = [], [(root, False)]
     while stack:
         node, linked = stack.pop()
         linked = linked or node.tag == "a"
         order.append((node, linked))
-        stack += [(c, linked) for c in node.children if not isinstance(c, str) and not c.dropped]
+        if id(node) not in inside:
+            stack += [(c, linked) for c in node.children if not isinstance(c, str) and not c.dropped]
     size: dict[int, tuple[int, int]] = {}
     for node, linked in reversed(order):
+        if id(node) in inside:
+            size[id(node)] = 0, 0
+            continue
         text = sum(len(c.strip()) for c in node.children if isinstance(c, str))
         inner = [size[id(c)] for c in node.children if not isinstance(c, str) and not c.dropped]
         total = text + sum(t for t, _ in inner)
         links = (text if linked else 0) + sum(k for _, k in inner)
         size[id(node)] = total, links
-        if node is not root and node.tag in BLOCKS and total and links >= LINKS * total:
+        if node is not root and id(node) not in holding and node.tag in BLOCKS and total and links >= LINKS * total:
             node.dropped = True
             size[id(node)] = 0, 0
 
 
+def _marked(found: list[Node], best: Node) -> Node:
+    """The main element around the longest article, else that article and those beside it, without
+    what is mostly links: teasers and lists."""
+    for node in found:
+        if node is not best and _mostly_links(node):
+            node.dropped = True
+    up = best.parent
+    while up is not None and up.tag != "main":
+        up = up.parent
+    if up is not None:
+        _drop_links(up, [n for n in found if not n.dropped])
+        return up
+    beside = [n for n in best.parent.children if not isinstance(n, str) and n.tag == "article" and not n.dropped]
+    if len(beside) == 1:
+        return best
+    several = Node("article", None)
+    several.children += beside
+    return several
+
+
 def article(page: str) -> Block:
-    """Blocks of the page's article: its longest article element, else its main element, else all
-    but what is mostly links."""
+    """Blocks of the page's article: its longest article element with those beside it, or the main
+    element around them, else its main element, else all but what is mostly links."""
     root = parse(page)
     for tag in ("article", "main"):
         if found := _find(root, tag):
             best = max(found, key=_size)
             if _size(best) > 0:
-                return _numbered(_blocks(best))
+                return _numbered(_blocks(_marked(found, best) if tag == "article" else best))
     _drop_links(root)
     return _numbered(_blocks(root))
 

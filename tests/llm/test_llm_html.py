@@ -38,6 +38,19 @@ def test_foreign_and_custom_elements(page, want):
     assert text_of(page) == want
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<article><h2>One</h2><p>first part</p></article><article><p>second</p><p><a>source</a></p></article><article><h3><a>Other</a></h3></article>",
+     "One\n\nfirst part\n\nsecond\n\nsource"),
+    ("<main><h1>Head</h1><p>lead<article><p>the body</p><ul><li><a>kept</a></ul></article><ul><li><a>More</a><li><a>Else</a></ul><p>end</main><p>x",
+     "Head\n\nlead\n\nthe body\n\nkept\n\nend"),
+    ("<main><div><article><p>one</p></article></div><div><a>Many words of other pages</a><article><p>two</p></article></div></main>",
+     "one\n\nMany words of other pages\n\ntwo"),
+    ("<section><article><p>longest one</p></article></section><section><article><p>teaser</p></article></section>", "longest one"),
+])
+def test_several_articles(page, want):
+    assert text_of(page) == want
+
+
 def test_tree_matching():
     def block(tag, text="", *children):
         b = htmltext.Block(tag)
