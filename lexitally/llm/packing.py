@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import shared
+from . import minhash, shared
 
 SHARD = 4096
 CAPACITY = 2048
@@ -32,8 +32,22 @@ def n_words(text: Column) -> Column:
 
 
 def copies(text: Column) -> Column:
-    """Cluster of texts that are equal but for the case of letters and white space around them."""
-    return F.xxhash64(F.lower(F.trim(text)))
+    """Cluster of texts that are equal but for the case of letters and ASCII white space around
+    them; none for null."""
+    return F.when(text.isNotNull(), F.xxhash64(F.lower(F.trim(text, F.lit(" \t\n\x0b\f\r")))))
+
+
+def near_copies(df: DataFrame, key: str, text: str, *others: str) -> DataFrame:
+    """key, others, size in words, cluster of every row: near copies, the case of letters aside, and
+    what they link have one cluster. Texts without words have one for each key and text."""
+    low = F.lower(F.col(text))
+    rows = df.select(F.col(key).alias("key"), n_words(F.col(text)).alias("size"), F.struct(*others).alias("others"),
+                     F.struct(F.col(key).alias("id"), F.xxhash64(low).alias("h")).alias("row"), low.alias("text"))
+    found = shared.settle(minhash.near_duplicates(rows, "row", "text").select(
+        "row", F.xxhash64("component_id").alias("cluster")).distinct(), "clusters")
+    sizes = shared.settle(rows.select("key", "others", "size", "row"), "sizes")
+    return shared.settle(sizes.join(found, "row", "left").select(
+        F.col("key").alias(key), *[F.col("others")[c].alias(c) for c in others], "size", "cluster"), "rows")
 
 
 class Packer:

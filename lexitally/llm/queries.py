@@ -35,9 +35,8 @@ def op4_htmltext(spark, sf):
 
 
 def op5_packing(spark, sf):
-    docs = table(spark, sf, "documents")
-    text = F.col("text")
-    return packing.pack(docs, "doc_id", packing.n_words(text), F.col("source"), packing.copies(text))
+    docs = packing.near_copies(table(spark, sf, "documents"), "doc_id", "text", "source")
+    return packing.pack(docs, "doc_id", F.col("size"), F.col("source"), F.col("cluster"))
 
 
 def op6_langid(spark, sf):

@@ -72,3 +72,28 @@ def test_query(spark, sf):
     check(rows, sizes, packing.CAPACITY)
     order = sorted(rows, key=lambda r: (-r.size, r.doc_id, r.piece, r.source, r.cluster))  # one shard at this size
     assert [(r.bin_id, r.start) for r in order] == plain([(r.size, r.source, r.cluster) for r in order], packing.CAPACITY)
+
+
+def test_near_copies_share_no_bin(spark, sf):
+    found = {r.doc_id: r.cluster for r in queries.op5_packing(spark, sf).collect()}
+    docs = brute.rows(sf, "SELECT doc_id, lower(text) FROM documents")
+    known = {d: c for d, (n, c, _) in brute.components(docs).items() if n}
+    groups = defaultdict(set)
+    for d, c in known.items():
+        groups[c].add(found[d])
+    assert len(groups) < len(known) and all(len(g) == 1 for g in groups.values())
+    assert len(set.union(*groups.values())) == len(groups)
+
+
+def test_clusters_of_odd_rows(spark):
+    same = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, same, "a"), (2, f"\t{same.upper()}\r\n", "b"), (3, f"{same} more", "c"), (3, "other", "c"), (None, same, "d"),
+            (None, same, "d"), (4, None, "e"), (5, None, "f"), (6, " ", "g")]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    clusters = defaultdict(list)
+    for r in packing.near_copies(df, "doc_id", "text", "source").collect():
+        clusters[r.cluster].append((r.source, r.size))
+    assert sorted(map(sorted, clusters.values())) == [
+        [("a", 101), ("b", 101), ("c", 102), ("d", 101), ("d", 101)], [("c", 2)], [("e", 1)], [("f", 1)], [("g", 1)]]
+    exact = [r.c for r in df.select(packing.copies(F.col("text")).alias("c")).collect()]
+    assert exact[0] == exact[1] != exact[2] and exact[6] is exact[7] is None
