@@ -93,7 +93,7 @@ def assert_equal(actual: DataFrame, expected: DataFrame, key: Sequence[str] = ("
     """Digest of `actual`; raises ValueError when the tables differ. Runs a job."""
     found = verify_summary(actual, expected, key, values, malformed).first()
     if not found.verified:
-        raise ValueError(f"{found.n_violations} keys disagree: {found.n_actual} were counted where "
+        raise ValueError(f"mismatch on {found.n_violations} keys; {found.n_actual} were counted where "
                          f"{found.n_expected} are due")
     return found.digest
 

@@ -101,9 +101,9 @@ def merge_counts(spark, sf):
 
 def merge_extremes(spark, sf):
     # Halves of one table by a hash of the word have no key in common.
-    found = words_of(spark, sf)
-    even = F.pmod(F.xxhash64("word"), F.lit(2)) == 0
-    return extremes.merge_extremes(extremes.extremes(found.where(even)), extremes.extremes(found.where(~even)))
+    half = F.pmod(F.xxhash64("word"), F.lit(2))
+    found = words_of(spark, sf).withColumn("half", half)
+    return extremes.merge_extremes(extremes.extremes(found, by=["half"]))
 
 
 def scaled_counts(spark, sf):
