@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import ann, bpe, htmltext, impact, langid, linededup, minhash, packing, rans, warc
+from . import ann, bpe, htmltext, impact, langid, linededup, merkle, minhash, packing, rankbpe, rans, warc
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,7 +65,21 @@ def op10_minhash(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op11_rankbpe(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = rankbpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+    return rankbpe.digests(rankbpe.decode(coded, path, public_tokenizers.PATTERN))
+
+
+def op13_merkle(spark, sf):
+    docs = table(spark, sf, "documents")
+    even = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    bare = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    values = ["doc_id", "source", "lang", "n_chars"]
+    return merkle.manifest(docs, "doc_id", "source", [*values, "text"], [*values, bare])
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_bpe, op2_ann, op3_warc, op4_htmltext, op5_packing, op6_langid, op7_impact, op8_linededup,
-    op9_rans, op10_minhash,
+    op9_rans, op10_minhash, op11_rankbpe, op13_merkle,
 )}
