@@ -36,6 +36,44 @@ def _runs(words: str) -> str:
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit."""
+    bit = "lambda k, i: xor(k >> 1, 3988292384 * (k & 1))"
+    return (f"xor(list_reduce(list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT), "
+            f"lambda a, b: list_reduce(range(8), {bit}, xor(a, b)), 4294967295), 4294967295)")
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256(concat({', '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))}))"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes of trees over `leaves` (tree, i, n, h), and the siblings of each node."""
+    return f"""{name} AS (SELECT 0 AS level, tree, i, n, h FROM {leaves} UNION ALL
+            SELECT level + 1, tree, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+            FROM {name} WHERE n > 1 GROUP BY level, tree, i // 3),
+          {name}_sides AS (SELECT a.level, a.tree, a.i,
+              coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS before,
+              coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS behind
+            FROM {name} a JOIN {name} b ON a.level = b.level AND a.tree = b.tree AND a.i // 3 = b.i // 3
+            WHERE a.n > 1 GROUP BY a.level, a.tree, a.i)"""
+
+
+def _walk(name: str, tree: str, start: str) -> str:
+    """From `start` (row, tree, i, x, proof) to the roots; the row of the highest level is the result."""
+    return f"""{name} AS (SELECT row, tree, i, x, proof, 0 AS level FROM ({start}) UNION ALL
+            SELECT w.row, w.tree, w.i // 3, sha256(concat(s.before, w.x, s.behind)), concat(w.proof, s.before, s.behind), w.level + 1
+            FROM {name} w JOIN {tree}_sides s ON w.level = s.level AND w.tree = s.tree AND w.i = s.i)"""
+
+
+_SYMBOL = "substr(sha256(concat(strlen(r), ':', r, x)), 1, 32) || printf('%016x', length(x))"
+
 SQL: dict[str, str] = {
     "op2_ann": _top("embedding::DOUBLE[]", "len(list_filter(embedding, lambda x: x <> 0)) > 0", "DOUBLE"),
     "op3_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
@@ -67,4 +105,34 @@ SQL: dict[str, str] = {
           f AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
         SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, component_id = doc_id AS kept
         FROM s JOIN f ON f.a = s.doc_id""",
+    "op12_prefixtrie": f"""WITH t AS (SELECT conv_id, turn, {_SYMBOL} AS s FROM (
+              SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+          own AS (SELECT conv_id, string_agg(s, '' ORDER BY turn NULLS FIRST, s) AS p FROM t GROUP BY conv_id),
+          cut AS (SELECT conv_id, p, conv_id - conv_id % 100 AS head, 48 * ({_crc32('conv_id::VARCHAR')} % 6) AS h FROM own),
+          built AS (SELECT c.conv_id, substr(coalesce(o.p, ''), 1, h) || substr(c.p, h + 1) AS p FROM cut c LEFT JOIN own o ON o.conv_id = c.head),
+          m AS (SELECT conv_id, substr(p, 1, 48 * d) AS k, d, 48 * d = length(p) AS ended
+                FROM (SELECT conv_id, p, unnest(range(length(p) // 48 + 1)) AS d FROM built)),
+          n AS MATERIALIZED (SELECT k, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+                FROM m GROUP BY k),
+          c AS (SELECT substr(k, 1, length(k) - 48) AS k, count(*) AS n FROM n WHERE k <> '' GROUP BY ALL),
+          v AS (SELECT n.k, CASE WHEN c.n IS NULL THEN 1 ELSE 0 END AS leaf,
+                  CASE WHEN n.k = '' THEN 0 ELSE (n_convs - 1) * ('0x' || right(n.k, 16))::BIGINT END AS saved FROM n LEFT JOIN c ON n.k = c.k),
+          b AS (SELECT substr(k, 1, 48 * d) AS k, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+                FROM (SELECT *, unnest(range(length(k) // 48 + 1)) AS d FROM v) GROUP BY ALL)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+        FROM n JOIN b ON n.k = b.k LEFT JOIN c ON n.k = c.k LEFT JOIN n p ON n.k <> '' AND p.k = substr(n.k, 1, length(n.k) - 48)""",
+    "op13_merkle": f"""WITH RECURSIVE d AS (SELECT *, coalesce({_crc32('doc_id::VARCHAR')} % 2 = 0, false) AS even FROM documents),
+          l AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf('text')} AS h,
+                  {_leaf("CASE WHEN even THEN replace(text, chr(10), '') ELSE text END")} AS x FROM d),
+          o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i,
+                  count(*) OVER (PARTITION BY tree) AS n, row_number() OVER () AS row FROM l),
+          {_tree('low', 'o')},
+          g AS (SELECT '' AS tree, tree AS of, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+          {_tree('top', 'g')},
+          {_walk('walk', 'low', "SELECT row, tree, i, x, '' AS proof FROM o")},
+          {_walk('finish', 'top', "SELECT w.row, '' AS tree, g.i, w.x, w.proof FROM walk w JOIN g ON w.tree = g.of WHERE w.level = (SELECT max(level) FROM low WHERE low.tree = w.tree)")}
+        SELECT o.doc_id, o.h AS leaf, g.h AS subroot, r.h AS root, sha256(e.proof) AS proof_sha256, e.x AS folded_root, e.x = r.h AS verified
+        FROM o JOIN g ON o.tree = g.of JOIN top r ON r.n = 1 JOIN finish e ON e.row = o.row
+        WHERE e.level = (SELECT max(level) FROM top)""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import ann, bpe, htmltext, impact, langid, linededup, merkle, minhash, packing, rankbpe, rans, warc
+from . import ann, bpe, htmltext, impact, langid, linededup, merkle, minhash, packing, prefixtrie, rankbpe, rans, warc
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,14 @@ def op11_rankbpe(spark, sf):
     return rankbpe.digests(rankbpe.decode(coded, path, public_tokenizers.PATTERN))
 
 
+def op12_prefixtrie(spark, sf):
+    conv = F.col("conv_id")
+    own = prefixtrie.paths(table(spark, sf, "conversations"))
+    taken = F.crc32(conv.cast("string")) % 6
+    found = prefixtrie.with_heads(own, conv - conv % 100, taken)
+    return prefixtrie.trie(found)
+
+
 def op13_merkle(spark, sf):
     docs = table(spark, sf, "documents")
     even = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
@@ -81,5 +89,5 @@ def op13_merkle(spark, sf):
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_bpe, op2_ann, op3_warc, op4_htmltext, op5_packing, op6_langid, op7_impact, op8_linededup,
-    op9_rans, op10_minhash, op11_rankbpe, op13_merkle,
+    op9_rans, op10_minhash, op11_rankbpe, op12_prefixtrie, op13_merkle,
 )}

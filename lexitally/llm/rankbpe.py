@@ -30,7 +30,7 @@ from .bpe import Known, read_spec
 from .shared import portions
 
 WORD = 256            # bits of a word of the bitmap
-REMEMBERED = 1_000_000  # pre-tokens a worker remembers before it starts anew
+REMEMBERED = 500_000  # pre-tokens a worker remembers before it starts anew
 PIECE = 1 << 20       # bytes of text worked on at once, one text at least
 
 # A space between two other characters begins a pre-token whatever surrounds them.
@@ -118,7 +118,8 @@ class Classes:
     def cut(self, text: str) -> list[str]:
         """The pre-tokens of a text."""
         if text.isascii():
-            return self.pattern.findall(text)
+            # A word alone is one, in whatever version.
+            return [text] if text.lstrip(" ").isalpha() and text[1:2] != " " else self.pattern.findall(text)
         if new := [c for c in set(text) - self.asked if ord(c) >= _SETTLED and not c.isspace()]:
             self._ask(new)
             self.asked.update(new)

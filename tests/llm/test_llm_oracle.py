@@ -19,7 +19,7 @@ def con(sf):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
     assert set(oracle.SQL) <= set(queries.QUERIES)
 
