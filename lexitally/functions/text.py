@@ -37,6 +37,15 @@ def pieces(text: Column | str, size: int | None = None) -> Column:
     return F.regexp_extract_all(column(text), F.lit(rf"(?sU).{{1,{size or PIECE}}}+[^\s\x1c-\x1f]*+"), F.lit(0))
 
 
+def line_pieces(text: Column | str, size: int | None = None) -> Column:
+    """Array of consecutive parts of about `size` characters that make up the text, each of whole
+    records: a part ends with a record end, the last one with the text."""
+    size = size or PIECE
+    t = column(text)
+    cut = F.regexp_extract_all(t, F.lit(rf"(?s).{{1,{size}}}+[^\r\n]*+(?:\r\n|\r|\n|\z)"), F.lit(0))
+    return F.when(F.char_length(t) <= size, F.array(t)).otherwise(cut)
+
+
 def split_code_points(text: Column | str) -> Column:
     """Array of one-code-point strings; [''] for the empty text."""
     return F.split(column(text), "")
@@ -59,9 +68,10 @@ def strip_record_end(text: Column | str) -> Column:
 
 def split_lines(text: Column | str) -> Column:
     """Array of records as a file reader would see them: a final record end opens no new record."""
-    pieces = F.split(unify_record_ends(text), "\n")
-    ended = F.element_at(pieces, -1) == ""
-    return F.when(ended, F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
+    t = column(text)
+    # Each part is used once, since a generator works out every use of an expression anew.
+    bare = F.regexp_replace(t, r"(?:\r\n|\r|\n)\z", "")
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(unify_record_ends(bare), "\n"))
 
 
 def normalize_text(text: Column | str) -> Column:

@@ -116,6 +116,54 @@ def canonical_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return sums.select("n_rows", _digest("n_rows").alias("digest"))
 
 
+def digest_tree(df: DataFrame, key: Sequence[str], columns: Sequence[str], digits: int = 4) -> DataFrame:
+    """prefix, depth, n_rows, digest: which digest the rows have below each prefix of their key's hash.
+
+    The hash of a row's `key` is its place in a tree of 16 branches a level and `digits` levels below
+    the root, whose prefix is empty; a node without rows is not there. A node's digest is that of
+    `canonical_digest` over its rows, so the root's is the whole table's. Rows are folded to at most
+    16^digits leaves by a partial aggregate, and only those are folded again for the nodes above.
+    """
+    if not 1 <= digits <= 8:
+        raise ValueError("digits must be from 1 to 8")
+    hashed = df.select(_branch(key, digits).alias("leaf"), _row_hash([F.col(c) for c in columns]).alias("h"))
+    leaves = _numbers(hashed).groupBy("leaf").agg(F.count(F.lit(1)).alias("n_rows"), *_sums())
+    names = ["n_rows", *[f"s{k}" for k in range(_NUMBERS * _PIECES)]]
+    depths = F.explode(F.sequence(F.lit(0), F.lit(digits)))
+    nodes = leaves.select("leaf", *names, depths.alias("depth")).groupBy(
+        F.substring(F.col("leaf"), F.lit(1), F.col("depth")).alias("prefix"), "depth").agg(*[F.sum(n).alias(n) for n in names])
+    return nodes.select("prefix", "depth", "n_rows", _digest("n_rows").alias("digest"))
+
+
+def _branch(key: Sequence[str], digits: int) -> Column:
+    return F.substring(_row_hash([F.col(k) for k in key]), 1, digits)
+
+
+def digest_tree_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+    """prefix, depth, left_rows, right_rows of the nodes in which two trees differ, a node that one of
+    them does not have counted as 0 rows. No row: equal tables. Trees may have been written earlier,
+    and far apart; the tables are not needed."""
+    sides = left.withColumn("l", F.lit(True)).unionByName(right.withColumn("l", F.lit(False)))
+    mine = F.col("l")
+    met = sides.groupBy("prefix", "depth").agg(
+        F.coalesce(F.max(F.when(mine, F.col("n_rows"))), F.lit(0)).alias("left_rows"),
+        F.coalesce(F.max(F.when(~mine, F.col("n_rows"))), F.lit(0)).alias("right_rows"),
+        F.max(F.when(mine, F.col("digest"))).alias("a"), F.max(F.when(~mine, F.col("digest"))).alias("b"))
+    return met.where(~F.col("a").eqNullSafe(F.col("b"))).drop("a", "b")
+
+
+def branch_violations(actual: DataFrame, expected: DataFrame, key: Sequence[str], values: Sequence[str],
+                      digits: int = 4) -> DataFrame:
+    """`violations`, of which only the rows of differing leaves are compared one by one: for tables
+    that are nearly equal, where the comparison itself would move all rows."""
+    columns = [*key, *values]
+    differ = digest_tree_diff(digest_tree(actual, key, columns, digits), digest_tree(expected, key, columns, digits))
+    leaves = differ.where(F.col("depth") == digits).select(F.col("prefix").alias("_leaf"))
+    opened = [df.withColumn("_leaf", _branch(key, digits)).join(leaves, "_leaf", "left_semi").drop("_leaf")
+              for df in (actual, expected)]
+    return violations(*opened, key, values)
+
+
 def _row_hash(fields: Sequence[Column]) -> Column:
     """SHA-256 of the fields, each led by its byte length so that no two rows read alike."""
     texts = [f.cast("string") for f in fields]

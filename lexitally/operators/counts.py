@@ -16,12 +16,24 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import RECORD_ENDS, code_point_key, pieces, split_code_points, split_lines, split_words
+from ..functions.text import RECORD_ENDS, code_point_key, line_pieces, pieces, split_code_points, split_lines, split_words
 
 
-def lines(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per record of each text, numbered from 0 in `line_no`."""
-    return df.select(*keep, F.posexplode(split_lines(F.validate_utf8(text))).alias("line_no", "line"))
+def lines(df: DataFrame, text: str = "text", keep: Sequence[str] = (), size: int | None = None) -> DataFrame:
+    """One row per record of each text, numbered from 0 in `line_no`.
+
+    A text is cut into pieces of whole records, of about `size` characters or one record, and each
+    piece is numbered on from those before it; so no array holds all records of a text.
+    """
+    cut = df.select(*keep, line_pieces(F.validate_utf8(text), size).alias("_pieces"))
+    counts = F.transform("_pieces", lambda p: F.size(split_lines(p)))
+    earlier = F.aggregate(counts, F.array(F.lit(0)), lambda sums, n: F.array_append(sums, F.element_at(sums, -1) + n))
+    both = F.zip_with("_pieces", earlier, lambda p, first: F.struct(p.alias("piece"), first.alias("first")))
+    alone = F.array(F.struct(F.get("_pieces", F.lit(0)).alias("piece"), F.lit(0).alias("first")))
+    # The outer form, since the other one would cut every text a second time to see if it has pieces.
+    dealt = cut.select(*keep, F.explode_outer(F.when(F.size("_pieces") > 1, both).otherwise(alone)).alias("_part"))
+    each = dealt.select(*keep, F.col("_part.first").alias("_first"), F.posexplode(split_lines("_part.piece")).alias("_no", "line"))
+    return each.select(*keep, (F.col("_first") + F.col("_no")).alias("line_no"), "line").where(F.col("line").isNotNull())
 
 
 def _pieces(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:

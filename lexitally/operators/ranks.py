@@ -4,17 +4,13 @@ their own: the plans run when their result is read."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _OFFSET_BITS = 33  # fixed value: monotonically_increasing_id keeps the row offset in 33 bits
 
-# The sketch's rank error is a fraction 1 / _ACCURACY of a group; the bracket reaches ten times
-# as far to either side of the middle.
-_ACCURACY = 10_000
-_MARGIN = 10 / _ACCURACY
+_DIGIT = 16  # bits of a value that one pass of a selection settles
 
 
 def row_index(df: DataFrame, order: Sequence[str], name: str = "idx",
@@ -46,48 +42,63 @@ def row_index(df: DataFrame, order: Sequence[str], name: str = "idx",
     return found.select(*df.columns, index.alias(name))
 
 
-def _same(left: str, right: str, columns: Sequence[str]) -> Column:
-    """Equality in which NULL equals NULL, as in GROUP BY."""
-    tests = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
-    return reduce(Column.__and__, tests, F.lit(True))
+def ordered_bits(value: Column | str) -> Column:
+    """BIGINT that sorts as the doubles do: negative ones before zero, which has no sign here, and NaN
+    last. NULL stays."""
+    v = F.col(value) if isinstance(value, str) else value
+    # The method takes no NULL. Adding zero takes the sign from it.
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.coalesce(v, F.lit(0.0)) + F.lit(0.0))
+    key = bits.cast("bigint")
+    flipped = key.bitwiseXOR(F.lit((1 << 63) - 1))
+    return F.when(v >= 0, key).when(v < 0, flipped).when(v.isNotNull(), key)
+
+
+def _picked(digits: Column | str, rank: Column | str) -> Column:
+    """struct(left, digit, v) of the array entry (digit, n, v) that `rank` falls into, and how far; no
+    digit in an array that does not reach so far."""
+    start = F.struct(F.col(rank).alias("left"), F.lit(None).cast("bigint").alias("digit"), F.lit(None).cast("double").alias("v"))
+
+    def step(found, entry):
+        inside = F.struct(found["left"].alias("left"), entry["digit"].alias("digit"), entry["v"].alias("v"))
+        past = F.struct((found["left"] - entry["n"]).alias("left"), found["digit"].alias("digit"), found["v"].alias("v"))
+        return F.when(found["digit"].isNotNull(), found).when(found["left"] < entry["n"], inside).otherwise(past)
+
+    return F.aggregate(F.array_sort(digits), start, step)
 
 
 def group_spread(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Per group: runs (values that are not NULL), exact median, least and greatest `value`. A
     group without values has 0 runs and no more.
 
-    The built-in exact median holds all distinct values of a group in one task. Here a first
-    pass takes counts, ends and a quantile sketch per group, which merge in any order. A second
-    pass folds what lies below the sketch's bracket around the middle into one weight, and ranks
-    only the values inside, about one in 500.
+    The built-in exact median holds all distinct values of a group in one task. Here values are
+    folded to distinct ones with a count, and the two middle ones are selected by their bits, 16 in a
+    pass from the highest on: a pass counts, by partial aggregates, how many of the values that begin
+    like the one looked for go on with each of 65,536 digits, and follows the digit that holds the
+    rank. Four passes read the same exchange. No group is sorted, and none held but for its digits.
     """
-    values = df.select(*group, F.col(value).alias("v"))
-    bracket = F.percentile_approx("v", [0.5 - _MARGIN, 0.5 + _MARGIN], _ACCURACY)
-    totals = values.groupBy(*group).agg(
-        F.count("v").alias("runs"), F.min("v").alias("min"), F.max("v").alias("max"),
-        bracket.alias("bracket"))
-
-    # NULL stands for everything below the bracket and sorts before it. A group without values
-    # brings one row of no weight, since the bracket is NULL there.
-    own = [F.col(f"t.{c}") for c in (*group, "runs", "min", "max")]
-    lo, hi = F.col("t.bracket")[0], F.col("t.bracket")[1]
-    up_to = F.col("t.bracket").isNull() | (F.col("x.v") <= hi)
-    inside = values.alias("x").join(totals.alias("t"), _same("x", "t", group)).where(up_to).select(
-        *own, F.when(F.col("x.v") >= lo, F.col("x.v")).alias("v"))
-    kept = [*group, "runs", "min", "max"]
-    weighted = inside.groupBy(*kept, "v").agg(F.count(F.lit(1)).alias("w"))
-    so_far = Window.partitionBy(*group).orderBy(F.asc_nulls_first("v")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = weighted.withColumn("upto", F.sum("w").over(so_far))
-
-    def at(rank: str) -> Column:
-        covers = (F.expr(rank) >= F.col("upto") - F.col("w")) & (F.expr(rank) < F.col("upto"))
-        return F.max(F.when(covers, F.col("v")))
-
-    ends = ranked.groupBy(*kept).agg(at("(runs - 1) div 2").alias("low"), at("runs div 2").alias("high"))
-    # A middle rank outside the bracket would leave NULL: never a wrong median, and the sketch's
-    # error bound keeps it from happening.
-    missed = F.raise_error(F.lit("median outside its bracket")).cast("double")
-    median = F.when(F.col("runs") == 0, F.lit(None).cast("double")).when(
-        F.col("low").isNull() | F.col("high").isNull(), missed).otherwise((F.col("low") + F.col("high")) / 2)
-    return ends.select(*group, "runs", median.alias("median"), "min", "max")
+    at = ["group", "target"]
+    values = df.select(F.struct(*group).alias("group"), F.col(value).cast("double").alias("v"))
+    keyed = values.select("group", "v", ordered_bits("v").alias("key")).groupBy("group", "key").agg(
+        F.count("v").alias("w"), F.max("v").alias("v"))
+    totals = keyed.groupBy("group").agg(F.sum("w").alias("runs"), F.min("v").alias("min"), F.max("v").alias("max"))
+
+    first = keyed.where("w > 0").groupBy("group", F.shiftright("key", 64 - _DIGIT).alias("digit")).agg(
+        F.sum("w").alias("n"), F.max("v").alias("v"))
+    found = first.groupBy("group").agg(F.sum("n").alias("runs"), F.collect_list(F.struct("digit", "n", "v")).alias("digits"))
+    ranks = F.array(*[F.struct(F.lit(t).alias("target"), F.expr(r).alias("rank")) for t, r in (
+        ("low", "(runs - 1) div 2"), ("high", "runs div 2"))])
+    state = found.select("group", "digits", F.inline(ranks)).select(*at, _picked("digits", "rank").alias("p"))
+    for shift in range(64 - 2 * _DIGIT, -1, -_DIGIT):
+        looked = state.select(F.col("group").alias("of"), "target", F.col("p.left").alias("rank"), F.col("p.digit").alias("prefix"))
+        # The beginning of the value is a part of the key, so a hot group is spread over its values.
+        same = (F.col("of") == F.col("group")) & (F.shiftright("key", shift + _DIGIT) == F.col("prefix"))
+        begins = keyed.where("w > 0").join(looked, same)
+        counts = begins.groupBy("group", "target", "rank", F.shiftright("key", shift).alias("digit")).agg(
+            F.sum("w").alias("n"), F.max("v").alias("v"))
+        state = counts.groupBy(*at, "rank").agg(F.collect_list(F.struct("digit", "n", "v")).alias("digits")).select(
+            *at, _picked("digits", "rank").alias("p"))
+    ends = state.groupBy("group").agg(
+        F.max(F.when(F.col("target") == "low", F.col("p.v"))).alias("low"),
+        F.max(F.when(F.col("target") == "high", F.col("p.v"))).alias("high"))
+    both = totals.join(ends.withColumnRenamed("group", "of"), F.col("group") == F.col("of"), "left")
+    return both.select("group.*", "runs", ((F.col("low") + F.col("high")) / 2).alias("median"), "min", "max")

@@ -59,6 +59,25 @@ def _digest(counts: str) -> str:
             f"SELECT count(*) AS n_rows, [{sums}] AS w FROM (SELECT {row} AS h FROM ({counts})))")
 
 
+def _tree(counts: str, digits: int) -> str:
+    """Digests of the rows below each prefix of their word's hash."""
+    row = ("sha256(strlen(word)::VARCHAR || ':' || word || ',' || "
+           "strlen(n::VARCHAR)::VARCHAR || ':' || n::VARCHAR)")
+    key = "sha256(strlen(word)::VARCHAR || ':' || word)"
+    sums = ", ".join(
+        f"sum((('0x' || substr(h, {15 * i + 1}, 15))::BIGINT >> {20 * j}) & 1048575)"
+        for i in range(4) for j in range(3))
+    return (f"SELECT prefix, depth, n_rows, sha256(n_rows || ',' || array_to_string(w, ',')) AS digest FROM ("
+            f"SELECT substr(k, 1, depth) AS prefix, depth::INTEGER AS depth, count(*) AS n_rows, [{sums}] AS w FROM ("
+            f"SELECT {key} AS k, {row} AS h, unnest(range({digits + 1})) AS depth FROM ({counts})) GROUP BY ALL)")
+
+
+_NEARLY = f"""SELECT word, CASE WHEN word LIKE 'Z%' AND n = 1 THEN 2 ELSE n END AS n
+  FROM ({_words()}) WHERE NOT (word LIKE 'Z%' AND n = 2)"""
+
+_FILES = """SELECT doc_id // 1000 AS bucket, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS bytes,
+  sha256(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS sha256 FROM documents GROUP BY ALL"""
+
 _RUNS = """SELECT CASE WHEN user_id % 2 = 0 THEN 'hadoop' ELSE 'spark' END AS framework,
   CASE WHEN user_id % 3 = 0 THEN 1 ELSE 2 END AS nodes, event_type AS job,
   event_id AS repetition, value AS seconds, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS exit_code,
@@ -179,4 +198,29 @@ SQL: dict[str, str] = {
         json_extract_string(props, '$.k')::INTEGER AS k FROM events""",
     "live_hosts": """SELECT count(DISTINCT user_id) AS hosts, 150::BIGINT AS expected,
         count(DISTINCT user_id) = 150 AS complete FROM events WHERE event_type = 'click'""",
+    "expected_answers_arrow": _words(),
+    "file_listing_arrow": f"SELECT bucket, bytes FROM ({_FILES})",
+    "file_hashes_arrow": _FILES,
+    "file_pieces_arrow": _FILES,
+    "digest_tree": _tree(_words(), 2),
+    "digest_tree_diff": f"""SELECT coalesce(a.prefix, b.prefix) AS prefix, coalesce(a.depth, b.depth) AS depth,
+          coalesce(a.n_rows, 0) AS left_rows, coalesce(b.n_rows, 0) AS right_rows
+        FROM ({_tree(_words(), 3)}) a FULL JOIN ({_tree(_NEARLY, 3)}) b ON a.prefix = b.prefix
+        WHERE a.digest IS DISTINCT FROM b.digest""",
+    "branch_violations": f"""SELECT CASE WHEN n = 2 THEN 'extra' ELSE 'wrong' END AS kind, word, n AS actual_n,
+          CASE WHEN n = 1 THEN 2::BIGINT END AS expected_n FROM ({_words()}) WHERE word LIKE 'Z%' AND n <= 2""",
+    "timing_rejects": f"""WITH r AS (SELECT *, repetition % 10 AS k, repetition // 1000 AS bucket FROM ({_RUNS})),
+          l AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY repetition) + 1 AS line,
+            concat_ws(',', framework, nodes, job, repetition) AS head,
+            concat_ws(',', CASE WHEN k = 1 THEN 'oops' ELSE repetition::VARCHAR END, exit_code,
+              CASE WHEN k = 2 THEN 'maybe' ELSE verified::VARCHAR END, '', '') AS rest FROM r)
+        SELECT bucket, line, CASE k WHEN 1 THEN 'seconds' WHEN 2 THEN 'verified' ELSE 'fields' END AS problem,
+          CASE k WHEN 3 THEN head WHEN 4 THEN head || ',' || rest || ',more' ELSE head || ',' || rest END AS value
+        FROM l WHERE k BETWEEN 1 AND 4""",
+    "event_rejects": """WITH l AS (SELECT event_id, event_id // 1000 AS bucket,
+            row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) AS line,
+            '{"Event":"SparkListenerTaskEnd","Stage ID":' || event_id || '}' AS e FROM events)
+        SELECT bucket, line, 'event' AS problem, CASE WHEN event_id % 3 = 0 THEN e[:-2] ELSE e || ' ' || e END AS value
+        FROM l WHERE event_id % 3 = 0 OR event_id % 5 = 0""",
+    "timings_appended": f"SELECT * REPLACE (repetition::INTEGER AS repetition) FROM ({_RUNS})",
 }

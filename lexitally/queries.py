@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import session
 from .functions import fields, text
-from .operators import compare, corpus, counts, counts_arrow, extremes, measures, participation
+from .operators import compare, corpus, counts, counts_arrow, extremes, measures, participation, sequential
 from .sources import readers, schemas, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,6 +159,32 @@ def read_counts(spark, sf):
     return readers.read_counts(spark, _written(spark, sf), "word").drop("problem")
 
 
+def expected_answers_arrow(spark, sf):
+    # One object for the words of each kind of hash, written line by line; '' stands before the first.
+    path = session.new_path(spark, "expected")
+    bucket = F.pmod(F.xxhash64("word"), F.lit(16))
+    name = F.to_json(F.array("word"))
+    counted = words_of(spark, sf).select(
+        bucket.alias("bucket"), F.lit(1).alias("at"),
+        F.concat(F.lit(", "), F.substr(name, F.lit(2), F.char_length(name) - 2), F.lit(": "), F.col("n").cast("string")).alias("value"))
+    ends = spark.range(16).select(F.col("id").alias("bucket"), F.inline(F.array(
+        F.struct(F.lit(0).alias("at"), F.lit('{"wordcount": {"": 0').alias("value")),
+        F.struct(F.lit(2).alias("at"), F.lit('}, "charcount": {"U+0061": 1}}').alias("value")))))
+    _write_buckets(counted.unionByName(ends), ["at"], path)
+    found = readers.read_expected(spark, path, "wordcount")
+    return found.where(F.col("key") != "").withColumnRenamed("key", "word")
+
+
+def _write_buckets(rows, order, path):
+    """`value` of the rows as lines, a folder and a file for each bucket."""
+    dealt = rows.repartition("bucket").sortWithinPartitions("bucket", *order)
+    dealt.select("bucket", "value").write.partitionBy("bucket").text(path)
+
+
+def _bucket(path="path"):
+    return F.regexp_extract(path, "bucket=([0-9]+)", 1).cast("bigint").alias("bucket")
+
+
 # --- corpus -----------------------------------------------------------------------------------
 
 def manifest(spark, sf):
@@ -216,6 +242,28 @@ def duplicate_keys(spark, sf):
     return compare.duplicate_keys(files(spark, sf), "sha256")
 
 
+def _written_documents(spark, sf):
+    """Documents as the lines of files of up to a thousand each."""
+    path = session.new_path(spark, "corpus")
+    docs = table(spark, sf, "documents").select(
+        F.expr("doc_id div 1000").alias("bucket"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    _write_buckets(docs, ["doc_id"], path)
+    return readers.files.listing(spark, path)
+
+
+def file_listing_arrow(spark, sf):
+    return _written_documents(spark, sf).select(_bucket(), "bytes")
+
+
+def file_hashes_arrow(spark, sf):
+    return readers.files.hashes(_written_documents(spark, sf)).select(_bucket(), "bytes", "sha256")
+
+
+def file_pieces_arrow(spark, sf):
+    pieces = readers.files.pieces(_written_documents(spark, sf))
+    return sequential.sha256_of_pieces(pieces, "path", "offset", "piece").select(_bucket(), "bytes", "sha256")
+
+
 # --- verification -----------------------------------------------------------------------------
 
 def verify_counts(spark, sf):
@@ -239,6 +287,27 @@ def canonical_digest(spark, sf):
     return compare.canonical_digest(words_of(spark, sf), ["word", "n"])
 
 
+def digest_tree(spark, sf):
+    return compare.digest_tree(words_of(spark, sf), ["word"], ["word", "n"], 2)
+
+
+def _nearly(counts):
+    """The same counts, of the words that begin with a Z some changed and some left out."""
+    z, n = F.startswith("word", F.lit("Z")), F.col("n")
+    return counts.where(~z | (n != 2)).select("word", F.when(z & (n == 1), n + 1).otherwise(n).alias("n"))
+
+
+def digest_tree_diff(spark, sf):
+    actual = words_of(spark, sf)
+    trees = [compare.digest_tree(counted, ["word"], ["word", "n"], 3) for counted in (actual, _nearly(actual))]
+    return compare.digest_tree_diff(*trees)
+
+
+def branch_violations(spark, sf):
+    actual = words_of(spark, sf)
+    return compare.branch_violations(actual, _nearly(actual), ["word"], ["n"], 3)
+
+
 # --- measurements -----------------------------------------------------------------------------
 
 def timing_summary(spark, sf):
@@ -273,6 +342,50 @@ def completeness(spark, sf):
     return measures.completeness(table(spark, sf, "documents"), grid, 12)
 
 
+def _timing_lines(spark, sf):
+    """Timing files, one for the runs of a hundred users or so, in which some lines are broken."""
+    path = session.new_path(spark, "timings")
+    told = [F.col(c).cast("string") for c in ("framework", "nodes", "job", "repetition")]
+    k = F.col("repetition") % 10
+    seconds = F.when(k == 1, "oops").otherwise(F.col("repetition").cast("string"))
+    verified = F.when(k == 2, "maybe").otherwise(F.col("verified").cast("string"))
+    whole = F.concat_ws(",", *told, seconds, F.col("exit_code").cast("string"), verified, F.lit(""), F.lit(""))
+    line = F.when(k == 3, F.concat_ws(",", *told)).when(k == 4, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    rows = runs(spark, sf).select(F.expr("repetition div 1000").alias("bucket"), F.col("repetition").alias("at"), line.alias("value"))
+    heads = rows.select("bucket").distinct().select(
+        "bucket", F.lit(-1).cast("bigint").alias("at"), F.lit(",".join(schemas.names(schemas.TIMINGS))).alias("value"))
+    _write_buckets(rows.unionByName(heads), ["at"], path)
+    return path
+
+
+def timing_rejects(spark, sf):
+    found = readers.rejects(readers.read_timings(spark, _timing_lines(spark, sf), "report"))
+    return found.select(_bucket("file"), "line", "problem", "value")
+
+
+def event_rejects(spark, sf):
+    # Every third event is cut short, every fifth is followed by another.
+    path = session.new_path(spark, "events")
+    event = F.to_json(F.struct(F.lit(participation.TASK_END).alias("Event"), F.col("event_id").alias("Stage ID")))
+    ident = F.col("event_id")
+    line = F.when(ident % 3 == 0, F.substr(event, F.lit(1), F.char_length(event) - 1)).when(
+        ident % 5 == 0, F.concat(event, F.lit(" "), event)).otherwise(event)
+    rows = table(spark, sf, "events").select(F.expr("event_id div 1000").alias("bucket"), F.col("event_id").alias("at"), line.alias("value"))
+    _write_buckets(rows, ["at"], path)
+    found = readers.rejects(readers.read_event_log(spark, path, "report"))
+    return found.select(_bucket("file"), "line", "problem", "value")
+
+
+def timings_appended(spark, sf):
+    # The second time adds nothing.
+    path = session.new_path(spark, "timings")
+    rows = runs(spark, sf).withColumns({"output_sha256": F.lit("d"), "output_uri": F.lit("u")})
+    rows = rows.withColumn("repetition", F.col("repetition").cast("int"))
+    for _ in range(2):
+        writers.append_timings(rows, path, "suite-1")
+    return readers.read_timings(spark, path).drop("output_sha256", "output_uri")
+
+
 def run_ids(spark, sf):
     return table(spark, sf, "events").select(
         "event_id", fields.run_id("ts", "event_type", "user_id").alias("run_id"))
@@ -349,5 +462,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     fingerprint_diff, replicate, shards, listing_diff, missing_files, content_diff,
     duplicate_keys, verify_counts, verify_summary, canonical_digest, timing_summary, error_bars,
     unverified_runs, speedup, step_cost, scaling_fit, completeness, run_ids, task_participation,
-    job_ids, attempt_hosts, log_context, live_hosts,
+    job_ids, attempt_hosts, log_context, live_hosts, expected_answers_arrow, file_listing_arrow, file_hashes_arrow,
+    file_pieces_arrow, digest_tree, digest_tree_diff, branch_violations, timing_rejects, event_rejects, timings_appended,
 )}
