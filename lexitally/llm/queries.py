@@ -67,8 +67,7 @@ def op10_minhash(spark, sf):
 
 def op11_rankbpe(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = rankbpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
-    return rankbpe.digests(rankbpe.decode(coded, path, public_tokenizers.PATTERN))
+    return rankbpe.digests(rankbpe.round_trip(table(spark, sf, "documents"), path, public_tokenizers.PATTERN))
 
 
 def op12_prefixtrie(spark, sf):

@@ -30,7 +30,9 @@ from .bpe import Known, read_spec
 from .shared import portions
 
 WORD = 256            # bits of a word of the bitmap
-REMEMBERED = 500_000  # pre-tokens a worker remembers before it starts anew
+WORDS = 800_000       # pre-tokens a worker remembers before it starts anew
+CHUNKS = 200_000      # the same for what stands between single spaces, which is cheaper to learn again
+LONG = 1 << 22        # bytes to be merged that are better kept small
 PIECE = 1 << 20       # bytes of text worked on at once, one text at least
 
 # A space between two other characters begins a pre-token whatever surrounds them.
@@ -115,14 +117,15 @@ class Classes:
             if (letter, digit) != (bool(self.letter.match(c)), bool(self.digit.match(c))):
                 self.instead[ord(c)] = self.STANDING[letter, digit]
 
-    def cut(self, text: str) -> list[str]:
-        """The pre-tokens of a text."""
-        if text.isascii():
-            # A word alone is one, in whatever version.
-            return [text] if text.lstrip(" ").isalpha() and text[1:2] != " " else self.pattern.findall(text)
-        if new := [c for c in set(text) - self.asked if ord(c) >= _SETTLED and not c.isspace()]:
+    def look_at(self, texts: list[str]) -> None:
+        """Ask about the characters of texts that are about to be cut."""
+        met = set().union(*[t for t in texts if not t.isascii()]) - self.asked
+        if new := [c for c in met if ord(c) >= _SETTLED and not c.isspace()]:
             self._ask(new)
-            self.asked.update(new)
+        self.asked |= met
+
+    def cut(self, text: str) -> list[str]:
+        """The pre-tokens of a text that has been looked at."""
         if not self.instead:
             return self.pattern.findall(text)
         return [text[m.start():m.end()] for m in self.pattern.finditer(text.translate(self.instead))]
@@ -146,9 +149,6 @@ class Encoder:
         self.length = np.array(list(map(len, by_id)), np.int64)
         self.offset = np.cumsum(self.length) - self.length
         self.flat = np.frombuffer(b"".join(by_id), np.uint8)
-        self.forget()
-
-    def forget(self) -> None:
         self.words, self.chunks = Known(), Known()
 
     def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -169,7 +169,9 @@ class Encoder:
         link[borders] = n + 2 * longest + 1  # too far off to make a token with
         back = np.arange(-1, n - 1)
         back[first] = -1
-        filed, after, before, ids = (array("q", x.tobytes()) for x in (pair, link, back, self.single[code]))
+        # Lists are quicker, arrays smaller.
+        held = (pair, link, back, self.single[code])
+        filed, after, before, ids = (x.tolist() if n < LONG else array("q", x.tobytes()) for x in held)
         alive = bytearray(b"\1") * n
         for i in borders.tolist():
             alive[i] = 0
@@ -191,18 +193,20 @@ class Encoder:
                     end = after[k]
                     found = filed[i] = ranks(line[i:end], -1) if end - i <= longest else -1
                     if found >= 0:
-                        if not buckets[found]:
+                        bucket = buckets[found]
+                        if not bucket:
                             mark(found)
-                        buckets[found].append(i)
+                        bucket.append(i)
                         if found < least:
                             least = found
                     h = before[i]
                     if h >= 0:
                         found = filed[h] = ranks(line[h:k], -1) if k - h <= longest else -1
                         if found >= 0:
-                            if not buckets[found]:
+                            bucket = buckets[found]
+                            if not bucket:
                                 mark(found)
-                            buckets[found].append(h)
+                            bucket.append(h)
                             if found < least:
                                 least = found
                     if least < rank:
@@ -214,7 +218,7 @@ class Encoder:
 
         empty(len(buckets))
         kept = np.frombuffer(alive, bool)
-        return np.frombuffer(ids, np.int64)[kept], np.add.reduceat(kept, first, dtype=np.int64)
+        return np.array(ids, np.int64)[kept], np.add.reduceat(kept, first, dtype=np.int64)
 
     def _learn_words(self, words: list[str]) -> None:
         new = list({w for w in words if w not in self.words.code})
@@ -231,17 +235,30 @@ class Encoder:
         new = [c for c in set(chunks) if c not in self.chunks.code]
         if not new:
             return
-        cut = list(map(self.classes.cut, new))
-        words = list(chain.from_iterable(cut))
+        # In a line of chunks that hold no white space but the space before them, words that begin
+        # with a space begin one; all others are cut alone.
+        plain = [c for c in new if c[:1] == " " and not c[1:2].isspace() and not c[-1].isspace() and len(c.split()) == 1]
+        words = self.classes.cut("".join(plain))
+        count = np.diff(np.flatnonzero(np.fromiter([w[0] == " " for w in words], bool, len(words))), append=len(words))
+        if len(plain) < len(new):
+            known = set(plain)
+            rest = [c for c in new if c not in known]
+            cut = list(map(self.classes.cut, rest))
+            plain += rest
+            words += chain.from_iterable(cut)
+            count = np.append(count, list(map(len, cut)))
         self._learn_words(words)
         codes = self.words.codes(words)
-        ends = np.concatenate([[0], np.cumsum(self.words.count[codes])])[np.cumsum([0, *map(len, cut)])]
-        self.chunks.add(new, self.words.ids(codes), np.diff(ends))
+        ends = np.concatenate([[0], np.cumsum(self.words.count[codes])])[np.append(0, np.cumsum(count))]
+        self.chunks.add(plain, self.words.ids(codes), np.diff(ends))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
-        if len(self.words.code) + len(self.chunks.code) > REMEMBERED:
-            self.forget()
+        if len(self.words.code) > WORDS:
+            self.words = Known()
+        if len(self.chunks.code) > CHUNKS:
+            self.chunks = Known()
+        self.classes.look_at(texts)
         cut = [_CUT.sub("\0 ", t).split("\0") if "\0" not in t else [t] for t in texts]
         chunks = list(chain.from_iterable(cut))
         self._learn(chunks)
@@ -273,6 +290,15 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
     none; empty in, empty out. Other columns are not read, whatever they are called. Of texts however
     long one is held at a time, with about 50 bytes for each byte that is to be merged.
     """
+    return _coded(df, path, pattern, key, text, False)
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, ids, decoded: `encode`, and the bytes decoded from those ids, in one pass."""
+    return _coded(df, path, pattern, key, text, True)
+
+
+def _coded(df: DataFrame, path: str, pattern: str, key: str, text: str, back: bool) -> DataFrame:
     ranks = read_spec(path)
 
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,10 +306,21 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
         for batch in batches:
             for some in portions(batch, 1, PIECE):
                 ids, count = own([t or "" for t in some.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([some.column(0), _listed(ids, count)], ["key", "ids"])
+                columns = [some.column(0), _listed(ids, count)]
+                if back:
+                    columns.append(_cut_up(own.decode(ids), np.add.reduceat(
+                        np.append(own.length[ids], 0), np.cumsum(count) - count) * (count > 0)))
+                yield pa.RecordBatch.from_arrays(columns, ["key", "ids", "decoded"][:len(columns)])
 
     kind = df.schema[key].dataType.simpleString()
-    return shared.arrow(df.select(key, text), step, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    schema = f"key {kind}, ids array<int>" + ", decoded binary" * back
+    return shared.arrow(df.select(key, text), step, schema).withColumnRenamed("key", key)
+
+
+def _cut_up(raw: bytes, length: np.ndarray) -> pa.Array:
+    """The values of these lengths that make up `raw`."""
+    ends = np.cumsum(length).tolist()
+    return pa.array([raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], pa.binary())
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -304,7 +341,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", into: str =
 
 
 def digests(coded: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, n_tokens, ids_sha256, decoded_sha256 of `decode`."""
+    """key, n_tokens, ids_sha256, decoded_sha256 of `round_trip`."""
     listed = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return coded.select(
         key, F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),

@@ -93,6 +93,9 @@ def test_rows_nulls_and_clashes(spark, own):
         [(1, own.encode_ordinary("a b"))] * 2 + [(2, []), (None, own.encode_ordinary("c"))], "doc_id BIGINT, ids ARRAY<INT>").collect())
     back = rankbpe.decode(coded.withColumn("decoded", rankbpe.F.lit(1)), PATH, PATTERN, into="raw")
     assert sorted(bytes(r.raw) for r in back.collect()) == [b"", b"a b", b"a b", b"c"]
+    both = rankbpe.round_trip(df, PATH, PATTERN)
+    assert sorted(map(str, both.drop("decoded").collect())) == sorted(map(str, coded.collect()))
+    assert sorted(bytes(r.decoded) for r in both.collect()) == [b"", b"a b", b"a b", b"c"]
     none = spark.createDataFrame([(1, None)], "doc_id BIGINT, ids ARRAY<INT>")
     assert rankbpe.decode(none, PATH, PATTERN).first().decoded == b""
     assert rankbpe.encode(spark.createDataFrame([], SCHEMA), PATH, PATTERN).isEmpty()
