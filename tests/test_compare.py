@@ -1,6 +1,9 @@
 """Verification of outputs: violations, summaries, digests, listings."""
 
+import hashlib
+
 import pytest
+from pyspark.sql import functions as F
 
 from lexitally.operators import compare
 
@@ -112,3 +115,25 @@ def test_contents(spark):
     files = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("c", 3, "z"), ("d", 4, "w")], schema)
     told = spark.createDataFrame([("a", 1, "x"), ("b", 9, "y"), ("c", 3, "q"), ("e", 4, "w")], schema)
     assert {r.name for r in compare.content_diff(files, told).collect()} == {"b", "c"}
+
+
+def test_tree_of_digests(spark):
+    rows = [(f"w{i}", i) for i in range(500)]
+    left = table(spark, rows)
+    changed = [("w3", 4) if w == "w3" else (w, n) for w, n in rows if w != "w7"] + [("new", 1)]
+    right = table(spark, changed)
+    tree, other = (compare.digest_tree(df, ["word"], ["word", "n"], 3) for df in (left, right))
+    root = tree.where("depth = 0").first()
+    assert (root.prefix, root.n_rows, root.digest) == ("", 500, compare.canonical_digest(left, ["word", "n"]).first().digest)
+    assert tree.groupBy("depth").agg(F.sum("n_rows").alias("n")).where("n <> 500").isEmpty()
+    hashes = [hashlib.sha256(f"{len(w)}:{w}".encode()).hexdigest()[:3] for w in ("w3", "w7", "new")]
+    want = {h[:d] for h in hashes for d in range(4)}
+    assert {r.prefix for r in compare.digest_tree_diff(tree, other).collect()} == want
+    assert compare.digest_tree_diff(tree, compare.digest_tree(left.repartition(3), ["word"], ["word", "n"], 3)).isEmpty()
+    found = sorted(map(tuple, compare.branch_violations(left, right, ["word"], ["n"], 3).collect()), key=str)
+    assert found == sorted(map(tuple, compare.verify_counts(left, right).collect()), key=str) and len(found) == 3
+    none = left.where("false")
+    assert compare.digest_tree(none, ["word"], ["n"]).isEmpty()
+    assert compare.digest_tree_diff(compare.digest_tree(none, ["word"], ["word", "n"], 3), tree).count() == tree.count()
+    with pytest.raises(ValueError):
+        compare.digest_tree(left, ["word"], ["n"], 0)

@@ -109,3 +109,28 @@ def test_fit(spark):
     found = {r.g: (r.runs, r.fixed, r.throughput)
              for r in measures.scaling_fit(df, ["g"], "mib", "seconds").collect()}
     assert found == {"a": (3, 5.0, 10.0), "flat": (2, 2.0, None)}
+
+
+def test_exact_medians_of_odd_values(spark):
+    rng = random.Random(1)
+    odd = [5e-324, -5e-324, 0.0, -0.0, 1.0, 2.0, None, 1e300, -1e300, float("inf")]
+    rows = [(g, h, rng.choice([rng.gauss(0, 1), rng.choice(odd)])) for g in (None, "a", "b", "c") for h in (1, None)
+            for _ in range(rng.randrange(1, 40))]
+    rows += [("nan", 1, float("nan")), ("nan", 1, 1.0), ("nan", 1, 2.0), ("none", 1, None), ("one", 1, 7.5)]
+    rows += [("hot", 1, float(i % 1000) / 7) for i in range(4001)]
+    df = spark.createDataFrame(rows, "g STRING, h INT, v DOUBLE")
+    found = ranks.group_spread(df, ["g", "h"], "v")
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    groups = {}
+    for g, h, v in rows:
+        groups.setdefault((g, h), []).append(v)
+    got = {(r.g, r.h): r for r in found.collect()}
+    assert set(got) == set(groups)
+    for key, values in groups.items():
+        x, r = sorted([v for v in values if v is not None], key=lambda v: (v != v, v)), got[key]
+        assert r.runs == len(x)
+        if x:
+            middle = (x[(len(x) - 1) // 2] + x[len(x) // 2]) / 2
+            assert (r.median, r.min) == (middle, x[0]) or middle != middle and r.median != r.median
+        else:
+            assert (r.median, r.min, r.max) == (None, None, None)

@@ -222,3 +222,18 @@ def test_fields(spark):
     got = spark.sql("select timestamp'2026-09-24 23:54:29' as ts").select(
         fields.utc_text("ts"), fields.run_id("ts", F.lit("spark"), F.lit(2))).first()
     assert list(got) == ["2026-09-24T23:54:29Z", "20260924T235429Z-spark-2n"]
+
+
+def test_records_of_a_text_in_pieces(spark):
+    rng = random.Random(2)
+    texts = ["", "a", "\n", "a\n", "\r", "\r\n", "a\r\n\r\nb", "a\rb\r", "x" * 50 + "\n" + "y" * 50]
+    texts += ["".join(rng.choice("ab\r\n") for _ in range(rng.randrange(60))) for _ in range(300)]
+    df = spark.createDataFrame([*enumerate(texts), (-1, None)], "i INT, text STRING")
+    for size in (1, 3, 10, None):
+        found = {}
+        for r in counts.lines(df, "text", ["i"], size).collect():
+            found.setdefault(r.i, {})[r.line_no] = r.line
+        for i, text in enumerate(texts):
+            want = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+            assert found.pop(i, {}) == dict(enumerate(want[:-1] if want[-1] == "" else want))
+        assert found == {}
