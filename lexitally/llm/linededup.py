@@ -1,21 +1,21 @@
 """Removal of lines that repeat earlier ones, by an exact set-similarity join in DataFrame functions.
 
-A line is the set of its runs of five words. The runs are ordered from rare to frequent, by counts
+A line is the set of its runs of five words, one of fewer words that of its whole sequence. The runs are ordered from rare to frequent, by counts
 over all lines, and two sets with a Jaccard similarity of 0.75 must share one among their first few.
 Sets that do are compared if their lengths and the places of the shared run allow the similarity at
-all. Equal sets count as one from the start. In a posting list every set is compared with the
+all. Equal lines count as one from the start. In a posting list every set is compared with the
 earliest and with the most frequent one; only sets that stay without an earlier match are compared
 with all that are earlier, so a large group of near copies is not spelled out as pairs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
 
-WORDS = 5            # words of a run; lines with fewer words take no part
+WORDS = 5            # words of a run; fewer words in a line are one run, no word is none
 SHARE = 3, 4         # least similarity, as a fraction
 SLOTS = 1 << 16      # counts of runs by hash: a table of this size whatever the input
 WORDS_OF_BITS = 1 << 15
@@ -28,17 +28,25 @@ def _documents(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("doc"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
 
 
-def _hashed(docs: DataFrame, wanted: Column | None = None) -> DataFrame:
-    """doc, h, line, set: 64-bit hashes of the distinct runs of every line, or of those lines for
-    which `wanted` holds; empty for a line of too few words. Nothing is filtered by what is computed
-    here, nor exploded but by the outer form: either would compute it twice."""
+def _worded(docs: DataFrame, wanted: Column | None = None) -> DataFrame:
+    """doc, h, line, w: the words of every line, or of those lines for which `wanted` holds. Nothing is
+    filtered by what is computed here, nor exploded but by the outer form: either would compute it
+    twice."""
     lines = docs.select("doc", "h", F.posexplode_outer(F.split("text", "\n")).alias("line", "value"))
     if wanted is not None:
         lines = lines.where(wanted)
-    words = lines.select(*ORDER, F.array_remove(F.split(F.lower("value"), _BLANK), "").alias("w"))
+    return lines.select(*ORDER, F.array_remove(F.split(F.lower("value"), _BLANK), "").alias("w"))
+
+
+def _runs(worded: DataFrame, *more: Column) -> DataFrame:
+    """doc, h, line, more, set: 64-bit hashes of the distinct runs of every line, none without words."""
     n = F.greatest(F.size("w") - (WORDS - 1), F.lit(0))
-    runs = words.select(*ORDER, F.arrays_zip(*[F.slice("w", i + 1, n).alias(f"w{i}") for i in range(WORDS)]).alias("runs"))
-    return runs.select(*ORDER, F.array_distinct(F.transform("runs", lambda r: F.xxhash64(r))).alias("set"))
+    slices = F.arrays_zip(*[F.slice("w", i + 1, n).alias(f"w{i}") for i in range(WORDS)])
+    runs = worded.select(*ORDER, *more, "w", slices.alias("runs"))
+    short = F.filter(F.array(F.when((F.size("w") > 0) & (F.size("w") < WORDS), F.xxhash64("w"))), lambda r: r.isNotNull())
+    long = F.array_distinct(F.transform("runs", lambda r: F.xxhash64(r)))
+    return runs.select(*ORDER, *[c for c in runs.columns if c not in (*ORDER, "w", "runs")],
+                       F.when(F.size("w") < WORDS, short).otherwise(long).alias("set"))
 
 
 def _literal(values: list[int], kind: str) -> Column:
@@ -51,12 +59,12 @@ def _low(x: Column) -> Column:
     return (F.shiftrightunsigned(F.shiftleft(x, 32), 32) - (1 << 31)).cast("int")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc, h, line, s (hash of the set), runs (32 bits of each run's hash, one for each distinct
-    run) of the lines that take part."""
-    made = _hashed(docs).select(*ORDER, F.sort_array("set").alias("set")).select(
-        *ORDER, F.xxhash64("set").alias("s"), F.transform("set", _low).alias("runs"))
-    return shared.settle(made, "lines").where(F.size("runs") > 0)
+def _lines(docs: DataFrame, own: shared.Intermediates) -> DataFrame:
+    """doc, h, line, s (128 bits that tell the line's words from others), runs (32 bits of each run's
+    hash, one for each distinct run) of the lines that have words."""
+    name = F.struct(F.xxhash64("w").alias("a"), F.xxhash64(F.lit(1), "w").alias("b"))
+    made = _runs(_worded(docs), name.alias("s")).select(*ORDER, "s", F.transform(F.sort_array("set"), _low).alias("runs"))
+    return own.settle(made, "lines").where(F.size("runs") > 0)
 
 
 def _rarity(lines: DataFrame) -> Column:
@@ -100,13 +108,13 @@ def _some_lines(wanted: DataFrame) -> Column:
     return F.getbit(word, bit.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def _full(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _full(docs: DataFrame, pairs: DataFrame, sets: DataFrame, own: shared.Intermediates) -> DataFrame:
     """s, set: all runs of the sets in the pairs, taken from the first line of each."""
     named = pairs.select(F.explode(F.array("early", "late")).alias("s")).distinct()
-    wanted = shared.settle(sets.select("s", "first.*").join(named, "s", "left_semi"), "wanted")
+    wanted = own.settle(sets.select("s", "first.*").join(named, "s", "left_semi"), "wanted")
     same = [F.col(f"f.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ORDER]
-    found = _hashed(docs, _some_lines(wanted)).alias("f").join(wanted.alias("w"), same)
-    return shared.settle(found.select("w.s", "f.set").dropDuplicates(["s"]), "full-sets")
+    found = _runs(_worded(docs, _some_lines(wanted))).alias("f").join(wanted.alias("w"), same)
+    return own.settle(found.select("w.s", "f.set").dropDuplicates(["s"]), "full-sets")
 
 
 def _similar(pairs: DataFrame, full: DataFrame) -> DataFrame:
@@ -124,50 +132,62 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     Lines end at LF, words are runs of other than ASCII white space in lower case. A line comes
     after those of documents with smaller keys, and of equal keys smaller h, and after those
     above it; it is removed if any line before it, removed itself or not, has a similarity of at
-    least SHARE. Lines of fewer than WORDS words neither match nor are matched. Null texts have no
-    lines; rows without a key come first; rows that repeat key and text are one document, whose
-    lines stay or go in all of them. Sets are told apart by 64-bit hashes of their runs.
+    least SHARE. Lines of fewer than WORDS words are alike if their words are; lines without a word
+    match nothing. Null texts and empty tables have no lines; rows without a key come first; rows that
+    repeat key and text are one document, whose lines stay or go in all of them. A text is taken up
+    whole, however long, and one line's runs are one array. Runs are told apart by 64-bit hashes,
+    and equal lines by 128 bits of their words. Columns that are not named are not read.
     """
+    own = shared.Intermediates(df.sparkSession)
     docs = _documents(df, key, text)
-    lines = _lines(docs)
+    lines = _lines(docs, own)
     place = F.struct(*ORDER)
-    sets = shared.settle(_prefixes(lines, _rarity(lines)).groupBy("s").agg(
+    sets = own.settle(_prefixes(lines, _rarity(lines)).groupBy("s").agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
         F.any_value("prefix").alias("prefix")), "sets")
+    # From here on a line is its name; the runs of all lines make room.
+    named = own.settle(lines.select(*ORDER, "s"), "names")
+    own.done("lines")
 
     posted = sets.select("s", "n", F.posexplode_outer("prefix").alias("i", "run"))
-    listed = posted.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("run"))).where("k > 1").drop("k")
-    inside = shared.settle(shared.settle(listed, "listed").join(sets.select("s", "first", "copies"), "s"), "postings")
+    # A run of one set alone leads nowhere. Counted by partial aggregates, whatever its number.
+    again = own.settle(posted.groupBy("run").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("run"), "again")
+    listed = own.settle(posted.join(again, "run", "left_semi"), "listed")
+    inside = own.settle(listed.join(sets.select("s", "first", "copies"), "s"), "postings")
+    own.done("again", "listed")
     row = F.struct("first", "s", "n", "i")
-    pivots = shared.settle(inside.groupBy("run").agg(
+    pivots = own.settle(inside.groupBy("run").agg(
         F.min(row).alias("earliest"), F.max(F.struct("copies", row.alias("row")))["row"].alias("commonest")), "pivots")
     beside = inside.join(pivots, "run").withColumn("p", F.explode(F.array("earliest", "commonest"))).where(
         (F.col("s") != F.col("p.s")) & _possible(F.col("n"), F.col("i"), F.col("p.n"), F.col("p.i")))
     before = F.col("first") < F.col("p.first")
-    star = shared.settle(beside.select(
+    star = own.settle(beside.select(
         F.when(before, F.col("s")).otherwise(F.col("p.s")).alias("early"),
         F.when(before, F.col("p.s")).otherwise(F.col("s")).alias("late")).distinct(), "pairs")
-    matched = shared.settle(_similar(star, _full(docs, star, sets)), "matched")
+    matched = own.settle(_similar(star, _full(docs, star, sets, own)), "matched")
+    own.done("pivots", "wanted", "full-sets")
 
     left = inside.join(matched, "s", "left_anti").select(
         "run", F.col("s").alias("late"), F.col("first").alias("late_first"), F.col("n").alias("xn"), F.col("i").alias("xi"))
-    rest = shared.settle(left.join(inside, "run").where(
+    rest = own.settle(left.join(inside, "run").where(
         (F.col("first") < F.col("late_first")) & _possible(F.col("xn"), F.col("xi"), F.col("n"), F.col("i"))).select(
-        F.col("s").alias("early"), "late").distinct().join(star, ["early", "late"], "left_anti"), "pairs")
+        F.col("s").alias("early"), "late").distinct().join(star, ["early", "late"], "left_anti"), "rest")
+    own.done("postings", "pairs")
     found = matched
     if not rest.isEmpty():
-        found = matched.unionByName(_similar(rest, _full(docs, rest, sets))).distinct()
+        found = matched.unionByName(_similar(rest, _full(docs, rest, sets, own))).distinct()
 
-    decided = shared.settle(sets.select("s", "first").join(found.withColumn("near", F.lit(True)), "s", "left"), "decided")
-    gone = lines.select(*ORDER, "s").join(decided, "s").where(
-        F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first")))
-    return gone.groupBy("doc", "h").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    decided = own.settle(sets.select("s", "first").join(found.withColumn("near", F.lit(True)), "s", "left"), "decided")
+    gone = named.join(decided, "s").where(F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first")))
+    removed = shared.settle(gone.groupBy("doc", "h").agg(F.sort_array(F.collect_set("line")).alias("removed")), "removed")
+    own.done()
+    return removed
 
 
 def _beside(df: DataFrame, removed: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
     """`df` with a column for the numbers of lines to remove, and that column's name."""
     name, h = shared.fresh(df, "_removed"), shared.fresh(df, "_h")
-    gone = shared.settle(removed, "removed").select(
+    gone = removed.select(
         F.col("doc").alias("doc"), F.col("h").alias("g_h"), F.col("removed").alias("g_removed")).alias("g")
     rows = df.withColumn(h, F.xxhash64(text)).alias("d")
     same = F.col(f"d.`{key}`").eqNullSafe(F.col("g.doc")) & (F.col(f"d.`{h}`") == F.col("g.g_h"))

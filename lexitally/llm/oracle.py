@@ -85,7 +85,7 @@ SQL: dict[str, str] = {
     "op8_linededup": f"""WITH l AS (SELECT doc_id, (unnest(range(1, len(a) + 1)) - 1)::INTEGER AS line, unnest(a) AS value
             FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)),
           w AS (SELECT doc_id, line, list_filter(regexp_split_to_array(lower(value), '{_BLANK}'), lambda x: x <> '') AS w FROM l),
-          s AS MATERIALIZED (SELECT doc_id, line, {_runs('w')} AS s FROM w WHERE len(w) >= 5),
+          s AS MATERIALIZED (SELECT doc_id, line, CASE WHEN len(w) >= 5 THEN {_runs('w')} ELSE [array_to_string(w, ' ')] END AS s FROM w WHERE len(w) > 0),
           e AS MATERIALIZED (SELECT doc_id, line, len(s) AS n, unnest(s) AS r FROM s),
           c AS (SELECT x.doc_id, x.line, any_value(x.n) AS n, y.doc_id AS d, y.line AS k, any_value(y.n) AS m, count(*) AS common
                 FROM e x JOIN e y ON x.r = y.r AND (y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND y.line < x.line)

@@ -30,6 +30,27 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Intermediates:
+    """What an operator settles on its way. Each result is deleted once those that follow from it are
+    settled too: nothing reads it again, also not to make good for a lost executor."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_path(self.spark, name)
+        df.write.option("compression", "zstd").parquet(path)
+        self.paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def done(self, *names: str) -> None:
+        """Delete the results of these names, of all without one."""
+        for name in names or list(self.paths):
+            for path in self.paths.pop(name, []):
+                place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """`name`, with as many underscores before it as it takes to be no column of `df`."""
     taken = {c.lower() for c in df.columns}

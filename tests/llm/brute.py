@@ -59,7 +59,7 @@ def components(docs: list[tuple]) -> dict:
 def repeated_lines(docs: list[tuple]) -> dict:
     """doc_id -> line numbers to remove, for (doc_id, text) in order."""
     lines = [(d, i, runs(w)) for d, t in docs for i, line in enumerate((t or "").split("\n"))
-             if len(w := re.findall(r"[^\x20\x09-\x0D]+", line.lower())) >= 5]
+             if (w := re.findall(r"[^\x20\x09-\x0D]+", line.lower()))]
     gone = {i for i, j, k in overlaps([s for _, _, s in lines])
             if 4 * k >= 3 * (len(lines[i][2]) + len(lines[j][2]) - k)}
     out = defaultdict(list)
