@@ -64,4 +64,31 @@ def test_nothing_to_search(spark):
 def test_large_components(spark):
     rows = [(0, [1e38, -1e38]), (1, [3e38, 3e38]), (2, [1.0, 1.0]), (20, [3e38, 2e38])]
     assert {r.query_id for r in ann.nearest(table(spark, rows), F.col("id") % 20 == 0).collect()} == {0, 20}
-    assert impact.top(table(spark, rows), F.col("id") % 20 == 0).collect() == []
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        impact.top(table(spark, rows), F.col("id") % 20 == 0).collect()
+
+
+@pytest.mark.parametrize("large", [5e6, 2.0 ** 24, 2e7 + 0.5])
+def test_large_components_are_scored_exactly(spark, large):
+    rng = random.Random(3)
+    vectors = [(i, [rng.choice([large, -large, rng.uniform(-1, 1), 0.0]) for _ in range(3)]) for i in range(60)]
+    vectors[7] = (7, [1e30, 0.0, 0.0])  # meets only what has nothing there, or is no query's match
+    vectors = [(i, [0.0, *v[1:]] if i != 7 else v) for i, v in vectors]
+    df = spark.createDataFrame(vectors, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in vectors]
+    want = brute.nearest(whole, {i for i, _ in whole if i % 4 == 0}, 7)
+    assert found(impact.top(df, F.col("id") % 4 == 0, 7)) == want
+
+
+def test_what_no_segment_can_decide():
+    # Components whose squares overflow.
+    ids = lambda n: rankless(range(n))
+    q = impact._prepared({"q_dim": 2, **{f"q_{k}": v for k, v in impact._packed(ids(2), impact.np.array([[1e200, 0], [0, 3.0]])).items()}}, "q_")
+    c = impact._prepared({"c_dim": 2, **{f"c_{k}": v for k, v in impact._packed(ids(3) + 10, impact.np.array([[0, 5.0], [0, -2.0], [0, 7.0]])).items()}}, "c_")
+    row, column, score = impact._tile(q, c, tiles.Best(2, 2, impact.np.int64))
+    assert sorted(zip(row.tolist(), column.tolist(), score.tolist(), strict=True)) == [
+        (0, 0, 0), (0, 1, 0), (0, 2, 0), (1, 0, 15), (1, 1, -6), (1, 2, 21)]
+
+
+def rankless(ids):
+    return impact.np.array(list(ids), impact.np.int64)
