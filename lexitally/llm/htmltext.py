@@ -10,11 +10,13 @@ templates are taken out of every page.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import Counter, OrderedDict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ VOTES = 5        # aligned pages that make a template, at least
 CONSTANT = 0.5   # share of them that repeat a block
 LEVELS = 2       # levels of blocks that make a layout
 LINKS = 0.7      # share of link text from which a block of a page without article is a menu
+KNOWN = 1 << 20  # weights of pairs of blocks that are remembered while two pages are matched
+FEW = 1 << 14    # cells of an alignment that are quicker one by one
 COPY = 0.8       # share of length and pairs of words in its own blocks from which a page is a near copy, no evidence
 
 # Elements by their part in a page.
@@ -312,43 +316,151 @@ def _numbered(top: Block) -> Block:
 
 def match(a: Block, b: Block) -> list[tuple[Block, Block]]:
     """Pairs of simple tree matching: equal tags, order and ancestry kept, as many as can be; a pair
-    with the same text counts twice. Trees too deep for the interpreter's stack have none."""
-    try:
-        return _match(a, b)[1] if a.tag == b.tag else []
-    except RecursionError:
+    with the same text counts twice. Trees of any depth and breadth: nothing recurses, and of a table
+    of n by m children no more than about sqrt(n) rows are held."""
+    if a.tag != b.tag:
         return []
-
-
-def _match(a: Block, b: Block) -> tuple[int, list[tuple[Block, Block]]]:
-    own = 1 + (a.text != "" and a.text == b.text)
+    known: dict[tuple[int, int], int] = {}
+    pairs, waiting = [], [(a, b)]
     if not a.children or not b.children:
-        return own, [(a, b)]
-    n, m = len(a.children), len(b.children)
-    inner: dict[tuple[int, int], tuple[int, list]] = {}
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i, x in enumerate(a.children):
-        row, above = best[i + 1], best[i]
-        for j, y in enumerate(b.children):
-            value = max(above[j + 1], row[j])
-            if x.tag == y.tag:
-                if x.children and y.children:
-                    inner[i, j] = _match(x, y)
-                    weight = inner[i, j][0]
-                else:
-                    weight = 1 + (x.text != "" and x.text == y.text)
-                value = max(value, above[j] + weight)
-            row[j + 1] = value
-    pairs, i, j = [(a, b)], n, m
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
+        return waiting
+    while waiting:
+        x, y = waiting.pop()
+        pairs.append((x, y))
+        if x.children and y.children:
+            inner = {(i, j): _weight(c, d, known) for i, j, c, d in _inner(x, y)}
+            for i, j in _aligned(x.children, y.children, inner):
+                pair = x.children[i], y.children[j]
+                (waiting if pair[0].children and pair[1].children else pairs).append(pair)
+    return pairs
+
+
+def _own(x: Block, y: Block) -> int:
+    return 1 + (x.text != "" and x.text == y.text)
+
+
+def _inner(x: Block, y: Block) -> Iterator[tuple[int, int, Block, Block]]:
+    """Pairs of children that both have children, with their places."""
+    others = [(j, d) for j, d in enumerate(y.children) if d.children]
+    for i, c in enumerate(x.children if others else ()):
+        if c.children:
+            for j, d in others:
+                if c.tag == d.tag:
+                    yield i, j, c, d
+
+
+def _weight(a: Block, b: Block, known: dict[tuple[int, int], int]) -> int:
+    """Weight of the best matching of two trees with the same tag. `known` keeps those met on the
+    way, up to KNOWN of them; others are worked out again when they are asked for."""
+    if (found := known.get((id(a), id(b)))) is not None:
+        return found
+    frames = [(a, b, _inner(a, b), {})]
+    place: list[tuple[int, int]] = []
+    while True:
+        x, y, rest, inner = frames[-1]
+        for i, j, c, d in rest:
+            if (found := known.get((id(c), id(d)))) is None:
+                place.append((i, j))
+                frames.append((c, d, _inner(c, d), {}))
+                break
+            inner[i, j] = found
+        else:
+            frames.pop()
+            total = _own(x, y) + (_heaviest(x.children, y.children, inner) if x.children and y.children else 0)
+            if len(known) < KNOWN:
+                known[id(x), id(y)] = total
+            if not frames:
+                return total
+            frames[-1][3][place.pop()] = total
+
+
+def _row(above: list[int], i: int, x: Block, ys: list[Block], inner: dict[tuple[int, int], int]) -> list[int]:
+    """Weights of the best alignments with the first 0, 1, ... of `ys` when child `x` comes in too."""
+    row, left, tag, text = [0], 0, x.tag, x.text
+    for j, y in enumerate(ys):
+        if above[j + 1] > left:
+            left = above[j + 1]
+        if tag == y.tag:
+            weight = above[j] + (inner[i, j] if (i, j) in inner else 2 if text == y.text != "" else 1)
+            if weight > left:
+                left = weight
+        row.append(left)
+    return row
+
+
+class _Rows:
+    """The same rows by whole arrays."""
+
+    def __init__(self, xs: list[Block], ys: list[Block], inner: dict[tuple[int, int], int]):
+        self.inner: dict[int, list[tuple[int, int]]] = {}
+        for (i, j), weight in inner.items():
+            self.inner.setdefault(i, []).append((j, weight))
+        codes: dict[tuple[str, str], int] = {}
+        code = lambda kind, side: np.array([codes.setdefault((kind, getattr(b, kind)), len(codes)) for b in side])
+        self.tags, self.texts = ([code(kind, side) for side in (xs, ys)] for kind in ("tag", "text"))
+        self.told = np.array([b.text != "" for b in ys])
+
+    def __call__(self, above: np.ndarray, i: int) -> np.ndarray:
+        weight = (self.tags[1] == self.tags[0][i]) * (1 + ((self.texts[1] == self.texts[0][i]) & self.told))
+        for j, inner in self.inner.get(i, ()):
+            weight[j] = inner
+        row = np.zeros(len(above), np.int64)
+        # What a pair adds is never lost further right, so the best so far runs along the row.
+        np.maximum.accumulate(np.maximum(above[1:], np.where(weight > 0, above[:-1] + weight, 0)), out=row[1:])
+        return row
+
+
+def _heaviest(xs: list[Block], ys: list[Block], inner: dict[tuple[int, int], int]) -> int:
+    """Weight of the best alignment of two lists of children, given those of inner pairs."""
+    if len(xs) * len(ys) <= FEW:
+        row = [0] * (len(ys) + 1)
+        for i, x in enumerate(xs):
+            row = _row(row, i, x, ys, inner)
+        return row[-1]
+    rows, row = _Rows(xs, ys, inner), np.zeros(len(ys) + 1, np.int64)
+    for i in range(len(xs)):
+        row = rows(row, i)
+    return int(row[-1])
+
+
+def _back(rows: Sequence, i: int, j: int, found: list[tuple[int, int]], base: int) -> tuple[int, int]:
+    """The way back through rows `base` and after, from (i, j) until the first of them or the edge."""
+    while i > base and j:
+        here, above = rows[i - base], rows[i - base - 1]
+        if here[j] == above[j]:
             i -= 1
-        elif best[i][j] == best[i][j - 1]:
+        elif here[j] == here[j - 1]:
             j -= 1
         else:
             i, j = i - 1, j - 1
-            x, y = a.children[i], b.children[j]
-            pairs += inner[i, j][1] if (i, j) in inner else [(x, y)]
-    return own + best[n][m], pairs
+            found.append((i, j))
+    return i, j
+
+
+def _aligned(xs: list[Block], ys: list[Block], inner: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+    """Places of the children that the best alignment pairs. Of long lists rows are kept at intervals,
+    and those between worked out again on the way back."""
+    n, m, found = len(xs), len(ys), []
+    if n * m <= FEW:
+        table = [[0] * (m + 1)]
+        for i, x in enumerate(xs):
+            table.append(_row(table[i], i, x, ys, inner))
+        _back(table, n, m, found, 0)
+        return found
+    step, rows = math.isqrt(n) + 1, _Rows(xs, ys, inner)
+    kept, row = [], np.zeros(m + 1, np.int64)
+    for i in range(n):
+        if i % step == 0:
+            kept.append(row)
+        row = rows(row, i)
+    i, j = n, m
+    while i and j:
+        base = (i - 1) // step * step
+        some = [kept[base // step]]
+        for k in range(base, i):
+            some.append(rows(some[-1], k))
+        i, j = _back(some, i, j, found, base)
+    return found
 
 
 def _near_copy(own: list[str], others: list[str]) -> bool:

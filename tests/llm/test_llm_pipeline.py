@@ -56,3 +56,11 @@ def test_stages_on_odd_rows(spark, sf):
     assert stages["packed"](spark, docs, sf).count() == len(rows)
     for stage in stages.values():
         assert stage(spark, docs.where("false"), sf).collect() == []
+
+
+def test_ties_of_near_duplicates(spark, sf):
+    same = " ".join(f"w{i}" for i in range(30))
+    rows = [(7, same, "en", s, n) for s, n in (("c", 1), ("a", 2), ("a", 1), (None, 5))]
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    found = {tuple(stage(spark, spark.createDataFrame(order, SHAPE).repartition(3), sf).first()) for order in (rows, rows[::-1])}
+    assert found == {(7, same, "en", "a", 1)}
