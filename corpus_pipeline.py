@@ -18,7 +18,9 @@ LEAST_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told: not those without a letter, nor those whose best
-    language has less than LEAST_SCORE. The label is never an input of the decision."""
+    language has less than LEAST_SCORE. The label is never an input of the decision. Null and empty
+    texts go, rows that repeat are decided alike; no documents, no
+    result."""
     model = langid.fit(docs.where(~langid.held_out("doc_id")))
     lang, score = fresh(docs, "_lang"), fresh(docs, "_score")
     found = langid.predict(docs, model, predicted=lang, score=score)
@@ -34,15 +36,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id. Rows that
-    repeat id and text are one document; those that repeat the id alone are told apart."""
-    key = fresh(docs, "_key")
+    repeat id and text are one document, of which the row stays whose other columns are
+    the smallest as JSON; those that repeat the id alone are told apart. Null and blank texts are near nothing; no
+    documents, no result."""
+    key, rest = fresh(docs, "_key"), [c for c in docs.columns if c not in ("doc_id", "text")]
     keyed = docs.withColumn(key, F.struct("doc_id", F.xxhash64("text").alias("h")))
     kept = settle(minhash.near_duplicates(keyed, key).where("kept").select(key).distinct(), "kept")
-    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    first = keyed.join(kept, key, "left_semi").groupBy(key).agg(
+        F.any_value("text").alias("text"), F.min_by(F.struct(*rest), F.to_json(F.struct(*rest))).alias("rest"))
+    return first.select(F.col(f"{key}.doc_id").alias("doc_id"), "text", *[F.col("rest")[c].alias(c) for c in rest]).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes: bin, place in it and first word."""
+    """Where each piece of each document goes: bin, place in it and first word. A null text is a
+    document of no words, rows that repeat are packed each; no documents, no pieces."""
     text = F.col("text")
     return packing.pack(docs, "doc_id", packing.n_words(text), F.col("source"), packing.copies(text))
 
