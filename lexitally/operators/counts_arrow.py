@@ -25,11 +25,19 @@ def _counted(batch) -> Iterator[tuple]:
         whole, ends = "".join(texts), np.cumsum([len(t) for t in texts])
         for at in range(0, len(whole), _CHARS):
             codes = np.frombuffer(whole[at:at + _CHARS].encode("utf-32-le"), np.uint32).astype(np.int64)
-            row = np.searchsorted(ends, np.arange(at, at + len(codes)), "right")
-            found, n = np.unique(row << 21 | codes, return_counts=True)
-            code = found & ((1 << 21) - 1)
-            kept = ~np.isin(code, [ord(c) for c in RECORD_ENDS])
-            yield start + (found >> 21)[kept], code[kept], n[kept]
+            if not len(codes):
+                continue
+            # A table of rows by the code points that occur, counted without sorting.
+            found = np.flatnonzero(np.bincount(codes))
+            place = np.zeros(found[-1] + 1, np.int64)
+            place[found] = np.arange(len(found))
+            first = int(np.searchsorted(ends, at, "right"))
+            cuts = np.clip(ends[first:] - at, 0, len(codes))
+            row = np.repeat(np.arange(len(cuts)), np.diff(cuts, prepend=0))
+            table = np.bincount(row * len(found) + place[codes], minlength=len(cuts) * len(found)).reshape(-1, len(found))
+            table[:, np.isin(found, [ord(c) for c in RECORD_ENDS])] = 0
+            row, column = np.nonzero(table)
+            yield start + first + row, found[column], table[row, column]
 
 
 def _pairs(batches: Iterable) -> Iterator:
