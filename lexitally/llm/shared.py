@@ -10,10 +10,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_path, ship
+from ..session import new_path, ship, spread
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A table of the given folder; `spark.lexitally.spread`, unset by default, deals its rows to so
+    many tasks first."""
+    tasks = spark.conf.get("spark.lexitally.spread", None)
+    return spread(spark.read.parquet(f"{sf}/{name}.parquet"), tasks and int(tasks))
 
 
 def arrow(df: DataFrame, step: Callable[[Iterable], Iterable], schema: str) -> DataFrame:
