@@ -226,6 +226,31 @@ class Coder:
         return ids
 
 
+    def segment(self, frame: bytes, number: int) -> np.ndarray:
+        """The ids of one segment of a frame, from its checkpoint on; nothing else of the frame is
+        decoded, so the checksums, which cover all of it, are not asked."""
+        magic, version, bits, lanes, steps, segments, n, _, _ = _HEADER.unpack_from(frame)
+        if magic != _MAGIC or version != 1 or bits != self.bits or not 0 <= number < segments:
+            raise ValueError("no such segment")
+        at = _HEADER.size
+        place = int(np.frombuffer(frame, "<u8", 1, at + 8 * number)[0])
+        state = np.frombuffer(frame, "<u8", lanes, at + 8 * (segments + number * lanes)).copy()
+        stream = np.frombuffer(frame, "<u4", -1, at + 8 * segments * (1 + lanes))
+        size = min(steps * lanes, n - number * steps * lanes)
+        out = np.zeros((steps, lanes), np.uint32)
+        mask = np.uint64((1 << bits) - 1)
+        for t in range(-(-size // lanes)):
+            live = np.arange(t * lanes, (t + 1) * lanes) < size
+            slot = state & mask
+            s = self.symbol[slot]
+            out[t] = s
+            state = np.where(live, self.freq[s] * (state >> self.bits) + slot - self.base[s], state)
+            short = np.flatnonzero(state < LOW)
+            state[short] = (state[short] << WORD) | stream[place:place + len(short)].astype(np.uint64)
+            place += len(short)
+        return out.reshape(-1)[:size]
+
+
 # --- files ------------------------------------------------------------------------------------
 
 def _counts(ids: DataFrame, kind: str) -> DataFrame:

@@ -1,4 +1,7 @@
+import math
+import re
 import zlib
+from collections import Counter, defaultdict
 
 import brute
 
@@ -61,3 +64,58 @@ def test_held_out_rows_teach_nothing(spark):
     ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 0]
     df = table(spark, [(i, EN, "en") for i in ids] + [(1000, None, "en")])
     assert langid.fit(df.where(~langid.held_out("doc_id"))).languages == ()
+
+
+def _plain_words(text):
+    return re.findall(r"[^\W\d_]+", (text or "").lower())
+
+
+def _plain_grams(word, n):
+    framed = word if n == 1 else f" {word} "
+    return [framed[i:i + n] for i in range(len(framed) - n + 1)]
+
+
+def _plain_model(docs):
+    """For each length the rows of its n-grams, words at 0, by the definition of the model."""
+    counts = defaultdict(Counter)
+    for text, lang in docs:
+        for w in _plain_words(text):
+            counts[lang, 0][w] += 1
+            for n in range(1, langid.LONGEST + 1):
+                counts[lang, n].update(_plain_grams(w, n))
+    languages = sorted({lang for _, lang in docs})
+    model = []
+    for n in range(langid.LONGEST + 1):
+        limit = langid.GRAMS if n else langid.WORDS
+        kept = {g for lang in languages for g, _ in sorted(
+            counts[lang, n].items(), key=lambda x: (-x[1], x[0].encode()))[:limit]}
+        total = {lang: sum(counts[lang, n].values()) for lang in languages}
+        model.append({g: [-math.log10(counts[lang, n][g] / total[lang]) if counts[lang, n][g] else langid.PENALTY
+                          for lang in languages] for g in kept})
+    return languages, model
+
+
+def _plain_row(word, model, languages):
+    if word in model[0]:
+        return model[0][word]
+    for n in range(langid.LONGEST, 0, -1):
+        if rows := [model[n][g] for g in _plain_grams(word, n) if g in model[n]]:
+            return [sum(column) / len(rows) for column in zip(*rows, strict=True)]
+    return [langid.PENALTY] * len(languages)
+
+
+def test_query_against_plain_back_off(spark, sf):
+    docs = brute.rows(sf, "SELECT doc_id, text, lang FROM documents")
+    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 0
+    languages, model = _plain_model([(t, lang) for d, t, lang in docs if not held(d) and t is not None and lang is not None])
+    found = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in queries.op6_langid(spark, sf).collect()}
+    assert len(found) == len(docs)
+    for d, text, _ in docs:
+        rows = [_plain_row(w, model, languages) for w in _plain_words(text)]
+        if not rows:
+            assert found[d] == (held(d), "und", 0.0)
+            continue
+        mean = [sum(column) / len(rows) for column in zip(*rows, strict=True)]
+        chance = [10 ** (min(mean) - m) for m in mean]
+        best = max(range(len(mean)), key=lambda i: chance[i])
+        assert found[d][:2] == (held(d), languages[best]) and math.isclose(found[d][2], chance[best] / sum(chance), rel_tol=1e-6)
