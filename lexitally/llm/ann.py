@@ -72,7 +72,9 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", v
 
     `is_query` is a condition on `id`. Vectors that are null, empty, zero or hold null or non-finite
     components take no part, nor do rows without an id; of rows that repeat an id the smallest
-    vector counts. Vectors meet those of their own dimension only. Other columns are not read.
+    vector counts. Vectors meet those of their own dimension only. No vectors, no rows; a vector is one
+    value, however long. A sum that overflows to both sides has no value and counts as minus infinity.
+    Other columns are not read.
     """
     vectors = tiles.one_row_an_id(df, key, vector, _useful)
     candidates, _ = tiles.blocks(vectors, tiles.CANDIDATES, _packed, _SHAPE, "candidates")

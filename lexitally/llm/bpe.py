@@ -394,7 +394,8 @@ def _portions(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa
 
 def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ids: the token ids of each text. A null text is the empty one and has no ids; repeated
-    rows are encoded each; other columns are not read. Empty in, empty out."""
+    rows are encoded each; other columns are not read. Empty in, empty out. A long text is worked on in
+    pieces of PIECE characters or one word, and held with its ids as a whole."""
     return _coded(df, path, key, text, False)
 
 

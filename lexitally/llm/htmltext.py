@@ -627,7 +627,8 @@ def main_text(df: DataFrame, key: str = "page_id", url: str = "url", page: str =
     copies of the typical page, whose own texts have COPY of its length and pairs of words, do not vote.
     A host has a typical page, and one for each layout of more than VOTES of its pages if there are
     several; a page loses the templates of both. Typical is the page nearest to the mean length,
-    ties to the smaller hash. Other columns are not read.
+    ties to the smaller hash. No rows, no result. A page is held as a whole with its tree, of any depth
+    and breadth. Other columns are not read.
     """
     pages = df.select(F.col(key).alias("key"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"),
                       F.coalesce(F.col(page), F.lit("")).alias("page"))

@@ -185,7 +185,8 @@ def predict(df: DataFrame, model: Model, text: str = "text", predicted: str = "l
 
     A null text, one without a letter, and any text when the model has no languages are `und` with
     score 0. Letters that the model has never seen leave all languages equal. Every row is
-    predicted by its own text alone. Columns of `df` that have the new names give way.
+    predicted by its own text alone, repeated rows alike; no rows, no result. A long text is worked on
+    in portions, and its words held as a whole. Columns of `df` that have the new names give way.
     """
     kept = [c for c in df.columns if c not in (predicted, score)]
     df = df.select(*kept)

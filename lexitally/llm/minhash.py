@@ -191,7 +191,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     hundredths. `component_id` is the smallest key reachable, `kept` whether that is the row's own.
     A null or blank text has no shingles and no links. Rows that repeat a key are documents of
     their own. A row without a key has no links, a null component and is kept. Equal sets and
-    large groups are never spelled out as pairs. Other columns are not read.
+    large groups are never spelled out as pairs. No rows, no result. A text is held as a whole with
+    eight bytes for each of its words, however long. Other columns are not read.
     """
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     sets = shared.settle(sketches(rows, "key", "text"), "sketches")

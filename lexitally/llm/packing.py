@@ -39,7 +39,11 @@ def copies(text: Column) -> Column:
 
 def near_copies(df: DataFrame, key: str, text: str, *others: str) -> DataFrame:
     """key, others, size in words, cluster of every row: near copies, the case of letters aside, and
-    what they link have one cluster. Texts without words have one for each key and text."""
+    what they link have one cluster. Texts without words, null ones included, have one for each key and
+    text. Rows that repeat are there each, in one cluster; no rows, no result; a text is held as a whole.
+    `others` may not hold `size` or `cluster`."""
+    if {c.lower() for c in others} & {"size", "cluster"}:
+        raise ValueError("size and cluster are names of the result")
     low = F.lower(F.col(text))
     rows = df.select(F.col(key).alias("key"), n_words(F.col(text)).alias("size"), F.struct(*others).alias("others"),
                      F.struct(F.col(key).alias("id"), F.xxhash64(low).alias("h")).alias("row"), low.alias("text"))

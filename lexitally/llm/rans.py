@@ -283,7 +283,8 @@ def write(df: DataFrame, path: str, tokenizer: str, end: int, key: str = "doc_id
     """Encode the texts of `df` and write them below `path`, in ascending order of `key`.
 
     A null text is the empty one, of which the end id remains. Null keys come first, rows with
-    the same key in the order of a hash of their ids; all rows are written. No rows: no blocks.
+    the same key in the order of a hash of their ids; all rows are written. No rows: no blocks. A
+    document's ids are one value, however long, and never cut between blocks; other columns are not read.
     The counts on the driver are as many as the vocabulary has ids at most.
     """
     spark = df.sparkSession

@@ -143,7 +143,9 @@ def resolve(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int =
 
 def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html",
           min_bytes: int = 0) -> None:
-    """Archives of all rows below `path`; see `resolve`. No rows: no archives."""
+    """Archives of all rows below `path`; see `resolve`. No rows: no archives. A record is one value,
+    however long its payload, and an archive ends with the record that fills it; other columns are
+    not read."""
     def step(batches):
         parts, size = [], 0
         for batch in batches:

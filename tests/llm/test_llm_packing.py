@@ -2,8 +2,10 @@ import random
 from collections import defaultdict
 
 import brute
+import pytest
 from pyspark.sql import functions as F
 
+
 from lexitally.llm import packing, queries
 
 
@@ -97,3 +99,17 @@ def test_clusters_of_odd_rows(spark):
         [("a", 101), ("b", 101), ("c", 102), ("d", 101), ("d", 101)], [("c", 2)], [("e", 1)], [("f", 1)], [("g", 1)]]
     exact = [r.c for r in df.select(packing.copies(F.col("text")).alias("c")).collect()]
     assert exact[0] == exact[1] != exact[2] and exact[6] is exact[7] is None
+
+
+def test_near_copies_of_odd_rows(spark):
+    same = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, same, "a", 7), (1, same, "a", 7), (2, f"{same} more", "b", 7), (3, None, None, 7), (4, "", "a", 7), (4, "", "a", 7),
+            (None, same, "c", 7), (5, "long " * 100_000, "a", 7)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING, size INT")
+    found = packing.near_copies(df, "doc_id", "text", "source")
+    assert found.columns == ["doc_id", "source", "size", "cluster"] and found.count() == len(rows)
+    by = {(r.doc_id, r.size): r.cluster for r in found.collect()}
+    assert by[1, 31] == by[2, 32] and len({by[k] for k in ((1, 31), (3, 1), (4, 1), (5, 100_001))}) == 4
+    assert packing.near_copies(df.where("false"), "doc_id", "text", "source").collect() == []
+    with pytest.raises(ValueError):
+        packing.near_copies(df, "doc_id", "text", "size")
