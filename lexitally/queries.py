@@ -160,14 +160,16 @@ def read_counts(spark, sf):
 
 
 def expected_answers_arrow(spark, sf):
-    # One object for the words of each kind of hash, written line by line; '' stands before the first.
+    # Objects of the words with a hash in common, more of them for more documents, written line by
+    # line; '' stands before the first word.
     path = session.new_path(spark, "expected")
-    bucket = F.pmod(F.xxhash64("word"), F.lit(16))
+    objects = table(spark, sf, "documents").count() // 1000 + 1
+    bucket = F.pmod(F.xxhash64("word"), F.lit(objects))
     name = F.to_json(F.array("word"))
     counted = words_of(spark, sf).select(
         bucket.alias("bucket"), F.lit(1).alias("at"),
         F.concat(F.lit(", "), F.substr(name, F.lit(2), F.char_length(name) - 2), F.lit(": "), F.col("n").cast("string")).alias("value"))
-    ends = spark.range(16).select(F.col("id").alias("bucket"), F.inline(F.array(
+    ends = spark.range(objects).select(F.col("id").alias("bucket"), F.inline(F.array(
         F.struct(F.lit(0).alias("at"), F.lit('{"wordcount": {"": 0').alias("value")),
         F.struct(F.lit(2).alias("at"), F.lit('}, "charcount": {"U+0061": 1}}').alias("value")))))
     _write_buckets(counted.unionByName(ends), ["at"], path)
