@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from . import session
 from .functions import fields, text
 from .operators import compare, corpus, counts, counts_arrow, extremes, measures, participation, sequential
+from .sources import files as stored
 from .sources import readers, schemas, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,7 +251,7 @@ def _written_documents(spark, sf):
     docs = table(spark, sf, "documents").select(
         F.expr("doc_id div 1000").alias("bucket"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
     _write_buckets(docs, ["doc_id"], path)
-    return readers.files.listing(spark, path)
+    return stored.listing(spark, path)
 
 
 def file_listing_arrow(spark, sf):
@@ -258,11 +259,11 @@ def file_listing_arrow(spark, sf):
 
 
 def file_hashes_arrow(spark, sf):
-    return readers.files.hashes(_written_documents(spark, sf)).select(_bucket(), "bytes", "sha256")
+    return stored.hashes(_written_documents(spark, sf)).select(_bucket(), "bytes", "sha256")
 
 
 def file_pieces_arrow(spark, sf):
-    pieces = readers.files.pieces(_written_documents(spark, sf))
+    pieces = stored.pieces(_written_documents(spark, sf))
     return sequential.sha256_of_pieces(pieces, "path", "offset", "piece").select(_bucket(), "bytes", "sha256")
 
 

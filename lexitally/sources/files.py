@@ -8,8 +8,10 @@ opened by Arrow's file systems (file, hdfs, s3, gs, abfs).
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,6 @@ from ..session import ship
 
 PIECE = 1 << 20   # bytes of a piece
 SPAN = 64 << 20   # bytes of a file that one row of the plan of `pieces` stands for
-_ROWS = 4096      # names sent on at once
 
 LISTING = "path STRING, name STRING, bytes BIGINT"
 
@@ -44,8 +45,6 @@ def _entries(uri: str) -> Iterator:
 
 
 def _joined(uri: str, name: str) -> str:
-    from urllib.parse import quote
-
     return uri.rstrip("/") + "/" + quote(name, safe="=")
 
 
@@ -93,8 +92,6 @@ class Listing(DataSource):
         return LISTING
 
     def reader(self, schema) -> DataSourceReader:
-        import json
-
         return ListingReader(json.loads(self.options["roots"]))
 
 
@@ -117,8 +114,6 @@ def listing(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     Files without a byte are there like all others. The driver learns the names of folders, each of
     which is listed again by a task of its own.
     """
-    import json
-
     ship(spark)
     spark.dataSource.register(Listing)
     return spark.read.format(Listing.name()).option("roots", json.dumps(_roots(spark, path))).load()

@@ -14,6 +14,9 @@ from . import readers, schemas
 
 KEEP = "errorifexists"
 
+# What tells one run of a suite from another.
+_RUN = ("framework", "nodes", "job", "repetition")
+
 
 def format_counts(counts: DataFrame, key: str = "word") -> DataFrame:
     """value: `key<TAB>n`"""
@@ -54,7 +57,8 @@ def append_timings(runs: DataFrame, path: str, run_id: str | None = None) -> Non
     With the id of the suite they belong to, the append may be repeated: runs that the folder has
     under that id (by framework, nodes, job and repetition) are left out, the rest is written beside
     the folder's runs under a name that readers pass over, and takes its place in `run=<id>/` by one
-    rename. An append that is cut short leaves nothing that is read. Appends under one id must follow
+    rename. A run that comes twice in one append is one run. An append that is cut short leaves nothing
+    that is read. Appends under one id must follow
     each other; on stores without an atomic rename the last step is as safe as their rename.
     """
     rows = runs.select(*schemas.names(schemas.TIMINGS))
@@ -78,10 +82,6 @@ def append_timings(runs: DataFrame, path: str, run_id: str | None = None) -> Non
         raise OSError(f"{staged.toString()} could not be renamed")
 
 
-# What tells one run of a suite from another.
-_RUN = ("framework", "nodes", "job", "repetition")
-
-
 def write_participation(hosts: DataFrame, ids: DataFrame, attempts: DataFrame, path: str) -> None:
     """`hosts/` (log, host, tasks), `ids/` (log, id) and the evidence, `attempts/` (the events or
     answers as they were read), as JSON rows below `path`."""
