@@ -5,7 +5,6 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-
 from lexitally.llm import packing, queries
 
 
