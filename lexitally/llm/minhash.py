@@ -29,6 +29,7 @@ SHARE = 75            # a link has a Jaccard similarity of at least this many hu
 BANDS, ROWS = 32, 4   # a pair at 0.75 misses all bands five times in a million
 UNIVERSE = 1 << 20    # places of the two permutations
 GONE = 512            # bits of the sketch of what a set lacks of its pivot
+LONG = 32             # bytes of a word that are hashed by place; what is longer goes on at once
 SEED = 20
 
 _SPACE = np.zeros(256, bool)
@@ -50,23 +51,48 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a buffer that ends in white space, and where they start."""
     inside = ~_SPACE[raw]
-    edge = np.diff(inside.view(np.int8), prepend=0)
-    starts = np.flatnonzero(edge == 1)
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    starts = edges[::2]
     if not len(starts):
         return np.zeros(0, np.uint64), starts
-    length = np.flatnonzero(edge == -1) - starts
-    first = np.cumsum(length) - length
-    place = np.arange(first[-1] + length[-1]) - np.repeat(first, length)
+    length = edges[1::2] - starts
     power = np.ones(int(length.max()), np.uint64)
     power[1:] = _BASE
     power = np.multiply.accumulate(power)
-    value = (raw[inside].astype(np.uint64) + np.uint64(1)) * power[place]
-    return mixed(np.add.reduceat(value, first)), starts
+    # Longest first: those that have a place j are at the front.
+    order = np.argsort(LONG - np.minimum(length, LONG).astype(np.uint8), kind="stable")
+    having = len(starts) - np.cumsum(np.bincount(np.minimum(length, LONG)))
+    at, sums = starts[order], np.zeros(len(starts), np.uint64)
+    for j, k in enumerate(having[:LONG].tolist()):
+        sums[:k] += (raw[at[:k] + j].astype(np.uint64) + np.uint64(1)) * power[min(j, len(power) - 1)]
+    value = np.empty_like(sums)
+    value[order] = sums
+    left = np.flatnonzero(length > LONG)
+    if len(left):
+        rest = length[left] - LONG
+        first = np.cumsum(rest) - rest
+        place = np.arange(LONG, LONG + first[-1] + rest[-1]) - np.repeat(first, rest)
+        more = (raw[np.repeat(starts[left], rest) + place].astype(np.uint64) + np.uint64(1)) * power[place]
+        value[left] += np.add.reduceat(more, first)
+    return mixed(value), starts
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted; some there must be."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """Sorted hashes of each text's distinct shingles. Fewer words than a shingle has make one
     shingle, none make none."""
+    return _counted_sets(texts)[0]
+
+
+def _counted_sets(texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The shingle sets of texts, and how many words each text has."""
     raws = [(t or "").encode().lower() + b"\n" for t in texts]
     raw = np.frombuffer(b"".join(raws), np.uint8)
     h, starts = _word_hashes(raw)
@@ -80,13 +106,13 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     out = []
     for a, b in zip(cut, cut[1:], strict=False):
         if b - a >= WORDS:
-            out.append(np.unique(s[a:b - WORDS + 1]))
+            out.append(_distinct(s[a:b - WORDS + 1]))
         elif b > a:
             whole = np.append(h[a:b], np.uint64(b - a)) * _FACTORS[:b - a + 1]
             out.append(mixed(whole.sum(keepdims=True, dtype=np.uint64)))
         else:
             out.append(np.zeros(0, np.uint64))
-    return out
+    return out, np.diff(cut)
 
 
 @lru_cache(1)
@@ -109,32 +135,46 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
-def bands(sign: np.ndarray) -> np.ndarray:
-    """A bucket key for each band."""
-    rows = sign.reshape(BANDS, ROWS).astype(np.uint64)
+def bands(signs: np.ndarray) -> np.ndarray:
+    """A bucket key for each band of each signature."""
+    rows = signs.reshape(*signs.shape[:-1], BANDS, ROWS).astype(np.uint64)
     key = np.arange(BANDS, dtype=np.uint64)
     for j in range(ROWS):
-        key = mixed(key * _BASE + rows[:, j])
+        key = mixed(key * _BASE + rows[..., j])
     return key.view(np.int64)
 
 
-def sketches(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _sums(x: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums, modulo 2^64, of so many values each in turn."""
+    out = np.zeros(len(size), np.uint64)
+    some = size > 0
+    if some.any():
+        out[some] = np.add.reduceat(x, (np.cumsum(size) - size)[some])
+    return out.view(np.int64)
+
+
+def sketches(df: DataFrame, key: str = "doc_id", text: str = "text", carried: str | None = None) -> DataFrame:
     """key, h (hash of the text), n (size of the set), f1, f2 (sums that tell sets apart), bands
-    (null for no set)."""
+    (null for no set), words (their number in the text), and the column `carried`, if any."""
     def step(batches):
         for batch in batches:
             for some in portions(batch, 2):
-                sets = shingle_sets(some.column(2).to_pylist())
-                f1 = [int(mixed(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-                f2 = [int(mixed(s ^ _BASE).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-                found = [bands(signature(s)) if len(s) else None for s in sets]
+                sets, words = _counted_sets(some.column(2).to_pylist())
+                size, every = np.array([len(s) for s in sets]), np.concatenate(sets)
+                signs = [signature(s) for s in sets if len(s)]
+                keys = bands(np.array(signs)).ravel() if signs else np.zeros(0, np.int64)
+                found = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(BANDS * (size > 0))), pa.int32()), pa.array(keys), mask=pa.array(size == 0))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1),
-                     pa.array(f2), pa.array(found, pa.list_(pa.int64()))], ["key", "h", "n", "f1", "f2", "bands"])
+                    [some.column(0), some.column(1), pa.array(size, pa.int64()), pa.array(_sums(mixed(every), size)),
+                     pa.array(_sums(mixed(every ^ _BASE), size)), found, pa.array(words, pa.int64()), *some.columns[3:]],
+                    ["key", "h", "n", "f1", "f2", "bands", "words", *some.schema.names[3:]])
 
+    more = [carried] if carried else []
+    rows = df.select(key, F.xxhash64(text), text, *more)
     kind = df.schema[key].dataType.simpleString()
-    return shared.arrow(df.select(key, F.xxhash64(text), text), step,
-                        f"key {kind}, h bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>")
+    last = f", {carried} {rows.schema[carried].dataType.simpleString()}" if carried else ""
+    return shared.arrow(rows, step, f"key {kind}, h bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>, words bigint{last}")
 
 
 def _bitmap(shingles: np.ndarray) -> np.ndarray:
@@ -194,8 +234,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     large groups are never spelled out as pairs. No rows, no result. A text is held as a whole with
     eight bytes for each of its words, however long. Other columns are not read.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    sets = shared.settle(sketches(rows, "key", "text"), "sketches")
+    component = F.when(F.col("key").isNotNull(), F.col("component_id"))
+    return labelled(df, key, text).select(
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"))
+
+
+def labelled(df: DataFrame, key: str, text: str, carried: str | None = None) -> DataFrame:
+    """key, n (size of the set), words, component_id as `near_duplicates` finds it, and the column
+    `carried`, if any, for every row."""
+    more = [F.col(carried).alias("carried")] if carried else []
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), *more)
+    sets = shared.settle(sketches(rows, "key", "text", "carried" if carried else None), "sketches")
     named, equal = sets.where("n > 0 and key is not null"), ["n", "f1", "f2"]
     first = shared.settle(named.groupBy(*equal).agg(
         F.min("key").alias("rep"), F.min(F.struct("key", "h")).alias("row"),
@@ -227,10 +277,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     labels = groups.join(lowest, "component").select("node", "component_id")
     named_sets = shared.settle(first.withColumn("node", sid).join(labels, "node", "left").select(
         *equal, F.coalesce("component_id", "rep").alias("component_id")), "labels")
-    result = sets.join(named_sets, equal, "left")
-    component = F.when(F.col("key").isNotNull(), F.coalesce("component_id", "key"))
-    return result.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                         F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"))
+    return sets.join(named_sets, equal, "left").select(
+        "key", "n", "words", F.coalesce("component_id", "key").alias("component_id"),
+        *([F.col("carried").alias(carried)] if carried else []))
 
 
 def _across(inside: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame:

@@ -45,13 +45,12 @@ def near_copies(df: DataFrame, key: str, text: str, *others: str) -> DataFrame:
     if {c.lower() for c in others} & {"size", "cluster"}:
         raise ValueError("size and cluster are names of the result")
     low = F.lower(F.col(text))
-    rows = df.select(F.col(key).alias("key"), n_words(F.col(text)).alias("size"), F.struct(*others).alias("others"),
-                     F.struct(F.col(key).alias("id"), F.xxhash64(low).alias("h")).alias("row"), low.alias("text"))
-    found = shared.settle(minhash.near_duplicates(rows, "row", "text").select(
-        "row", F.xxhash64("component_id").alias("cluster")).distinct(), "clusters")
-    sizes = shared.settle(rows.select("key", "others", "size", "row"), "sizes")
-    return shared.settle(sizes.join(found, "row", "left").select(
-        F.col("key").alias(key), *[F.col("others")[c].alias(c) for c in others], "size", "cluster"), "rows")
+    rows = df.select(F.struct(F.col(key).alias("id"), F.xxhash64(low).alias("h")).alias("row"), low.alias("text"),
+                     F.struct(*others).alias("others"))
+    found = minhash.labelled(rows, "row", "text", "others")
+    return shared.settle(found.select(
+        F.col("key.id").alias(key), *[F.col("others")[c].alias(c) for c in others],
+        (F.col("words") + 1).cast("int").alias("size"), F.xxhash64("component_id").alias("cluster")), "rows")
 
 
 class Packer:

@@ -26,6 +26,18 @@ def test_sets():
     assert not set(a.tolist()) & set(b.tolist())
 
 
+def test_words_of_any_length_have_their_own_hash():
+    for n in (1, 2, 31, 32, 33, 34, 64, 1000):
+        texts = ["q" * n, "q" * (n + 1), "q" * (n - 1) + "r", "r" + "q" * (n - 1), "x " + "q" * n]
+        raw = np.frombuffer("".join(f"{t}\n" for t in texts).encode(), np.uint8)
+        h, starts = minhash._word_hashes(raw)
+        assert len(set(h.tolist())) == 4 + (n > 1) and h[0] == h[-1] and len(starts) == 6  # one byte: "r" twice
+        alone, _ = minhash._word_hashes(np.frombuffer(f"{texts[1]}\n".encode(), np.uint8))
+        assert alone[0] == h[1]
+    sets, words = minhash._counted_sets(["a b c d e f", None, " ", "a", "a b c d e f a b c d e f"])
+    assert list(words) == [6, 0, 0, 1, 12] and [len(s) for s in sets] == [2, 0, 0, 1, 6]
+
+
 def test_signatures_estimate_similarity():
     r = np.random.default_rng(7)
     shared_, a, b = (r.integers(0, 1 << 63, n, np.uint64) for n in (6000, 1000, 1000))

@@ -100,6 +100,20 @@ def test_clusters_of_odd_rows(spark):
     assert exact[0] == exact[1] != exact[2] and exact[6] is exact[7] is None
 
 
+def test_near_copies_take_up_each_text_once(spark, monkeypatch):
+    """Sizes and clusters come from one pass over the texts, without a regular expression in each."""
+    def never(*_):
+        raise AssertionError("words counted apart")
+
+    monkeypatch.setattr(packing, "n_words", never)
+    df = spark.createDataFrame([(1, "a b\tc", "s"), (1, "a b\tc", "s"), (2, "\u0130stanbul\u00a0x y", None), (None, None, "s")],
+                               "doc_id BIGINT, text STRING, source STRING")
+    found = packing.near_copies(df, "doc_id", "text", "source")
+    assert sorted((r.doc_id or 0, r.source or "", r.size) for r in found.collect()) == [
+        (0, "s", 1), (1, "s", 4), (1, "s", 4), (2, "", 3)]
+    assert found.schema["size"].dataType.simpleString() == "int"
+
+
 def test_near_copies_of_odd_rows(spark):
     same = " ".join(f"w{i}" for i in range(30))
     rows = [(1, same, "a", 7), (1, same, "a", 7), (2, f"{same} more", "b", 7), (3, None, None, 7), (4, "", "a", 7), (4, "", "a", 7),
