@@ -10,6 +10,9 @@ with all that are earlier, so a large group of near copies is not spelled out as
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +22,10 @@ WORDS = 5            # words of a run; fewer words in a line are one run, no wor
 SHARE = 3, 4         # least similarity, as a fraction
 SLOTS = 1 << 16      # counts of runs by hash: a table of this size whatever the input
 WORDS_OF_BITS = 1 << 15
+BITS = 40            # of a run's hash in postings: runs that share them by chance stay few in 10^9
 
 _BLANK = r"[\x20\x09-\x0D]+"
+_RARE = "\t\x0b\f\r"  # white space in lines other than a blank; where there is none, no pattern is needed
 ORDER = ("doc", "h", "line")
 
 
@@ -35,17 +40,21 @@ def _worded(docs: DataFrame, wanted: Column | None = None) -> DataFrame:
     lines = docs.select("doc", "h", F.posexplode_outer(F.split("text", "\n")).alias("line", "value"))
     if wanted is not None:
         lines = lines.where(wanted)
-    return lines.select(*ORDER, F.array_remove(F.split(F.lower("value"), _BLANK), "").alias("w"))
+    low = lines.select(*ORDER, F.lower("value").alias("low"))
+    rare = reduce(or_, (F.contains(F.col("low"), F.lit(c)) for c in _RARE))
+    words = F.when(rare, F.split("low", _BLANK)).otherwise(F.split("low", " "))
+    return low.select(*ORDER, F.array_remove(words, "").alias("w"))
 
 
 def _runs(worded: DataFrame, *more: Column) -> DataFrame:
-    """doc, h, line, more, set: 64-bit hashes of the distinct runs of every line, none without words."""
+    """doc, h, line, more, set: 64-bit hashes of the distinct runs of every line, none without words.
+    A word is hashed once, a run is the hash of its words' hashes."""
     n = F.greatest(F.size("w") - (WORDS - 1), F.lit(0))
-    slices = F.arrays_zip(*[F.slice("w", i + 1, n).alias(f"w{i}") for i in range(WORDS)])
-    runs = worded.select(*ORDER, *more, "w", slices.alias("runs"))
+    runs = worded.select(*ORDER, *more, "w", F.transform("w", lambda x: F.xxhash64(x)).alias("words"))
     short = F.filter(F.array(F.when((F.size("w") > 0) & (F.size("w") < WORDS), F.xxhash64("w"))), lambda r: r.isNotNull())
-    long = F.array_distinct(F.transform("runs", lambda r: F.xxhash64(r)))
-    return runs.select(*ORDER, *[c for c in runs.columns if c not in (*ORDER, "w", "runs")],
+    long = F.array_distinct(F.transform(F.slice("words", 1, n), lambda x, i: F.xxhash64(
+        x, *[F.get(F.col("words"), i + j) for j in range(1, WORDS)])))
+    return runs.select(*ORDER, *[c for c in runs.columns if c not in (*ORDER, "w", "words")],
                        F.when(F.size("w") < WORDS, short).otherwise(long).alias("set"))
 
 
@@ -55,13 +64,13 @@ def _literal(values: list[int], kind: str) -> Column:
 
 
 def _low(x: Column) -> Column:
-    """The lower 32 bits as an int."""
-    return (F.shiftrightunsigned(F.shiftleft(x, 32), 32) - (1 << 31)).cast("int")
+    """The lower BITS bits."""
+    return x.bitwiseAND(F.lit((1 << BITS) - 1))
 
 
 def _lines(docs: DataFrame, own: shared.Intermediates) -> DataFrame:
-    """doc, h, line, s (128 bits that tell the line's words from others), runs (32 bits of each run's
-    hash, one for each distinct run) of the lines that have words."""
+    """doc, h, line, s (128 bits that tell the line's words from others), runs (BITS bits of each
+    run's hash, one for each distinct run) of the lines that have words."""
     name = F.struct(F.xxhash64("w").alias("a"), F.xxhash64(F.lit(1), "w").alias("b"))
     made = _runs(_worded(docs), name.alias("s")).select(*ORDER, "s", F.transform(F.sort_array("set"), _low).alias("runs"))
     return own.settle(made, "lines").where(F.size("runs") > 0)
@@ -80,8 +89,8 @@ def _rarity(lines: DataFrame) -> Column:
 def _prefixes(lines: DataFrame, rarity: Column) -> DataFrame:
     """doc, h, line, s, n (size of the set), prefix: its first runs, rare ones first."""
     # Class of rarity in the upper bits, the run in the lower ones.
-    ranked = F.sort_array(F.transform("runs", lambda x: F.shiftleft(F.get(rarity, F.pmod(x, F.lit(SLOTS))), 32)
-                                      .bitwiseOR(x.cast("bigint") + (1 << 31))))
+    ranked = F.sort_array(F.transform("runs", lambda x: F.shiftleft(
+        F.get(rarity, F.pmod(x, F.lit(SLOTS)).cast("int")), BITS).bitwiseOR(x)))
     n = F.size("runs")
     length = n - F.ceil(n * SHARE[0] / SHARE[1]).cast("int") + 1
     return lines.select(*ORDER, "s", n.alias("n"), F.transform(F.slice(ranked, F.lit(1), length), _low).alias("prefix"))

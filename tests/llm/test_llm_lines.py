@@ -2,6 +2,7 @@ import random
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from lexitally.llm import linededup
 
@@ -35,6 +36,20 @@ def corpus():
     return docs
 
 
+def test_different_runs_are_told_apart(spark):
+    """Of 300,000 runs about ten pairs have 32 bits in common, which joined their lines as if alike."""
+    runs = spark.range(300_000, numPartitions=4).select(linededup._low(F.xxhash64("id")).alias("r"))
+    assert runs.distinct().count() == 300_000
+
+
+def test_words_are_cut_at_any_white_space(spark):
+    values = ["A b\tC", " a  b ", "a\x0bb\x0cc\rd", "a\u00a0b c", "", " \t", "\x1fa", None]
+    docs = spark.createDataFrame([(i, i, v) for i, v in enumerate(values)], "doc INT, h BIGINT, text STRING")
+    found = {r.doc: r.w for r in linededup._worded(docs).collect()}
+    assert found == {
+        0: ["a", "b", "c"], 1: ["a", "b"], 2: ["a", "b", "c", "d"], 3: ["a\u00a0b", "c"], 4: [], 5: [], 6: ["\x1fa"], 7: None}
+
+
 def test_like_brute_force(spark, corpus):
     assert removed(table(spark, corpus)) == brute.repeated_lines(corpus)
 
