@@ -27,6 +27,7 @@ BITS = 40            # of a run's hash in postings: runs that share them by chan
 _BLANK = r"[\x20\x09-\x0D]+"
 _RARE = "\t\x0b\f\r"  # white space in lines other than a blank; where there is none, no pattern is needed
 ORDER = ("doc", "h", "line")
+NAME = ("a", "b")    # of equal lines; two columns, since a pair is compared field by field when sorted
 
 
 def _documents(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -69,10 +70,10 @@ def _low(x: Column) -> Column:
 
 
 def _lines(docs: DataFrame, own: shared.Intermediates) -> DataFrame:
-    """doc, h, line, s (128 bits that tell the line's words from others), runs (BITS bits of each
+    """doc, h, line, NAME (128 bits that tell the line's words from others), runs (BITS bits of each
     run's hash, one for each distinct run) of the lines that have words."""
-    name = F.struct(F.xxhash64("w").alias("a"), F.xxhash64(F.lit(1), "w").alias("b"))
-    made = _runs(_worded(docs), name.alias("s")).select(*ORDER, "s", F.transform(F.sort_array("set"), _low).alias("runs"))
+    name = F.xxhash64("w").alias("a"), F.xxhash64(F.lit(1), "w").alias("b")
+    made = _runs(_worded(docs), *name).select(*ORDER, *NAME, F.transform(F.sort_array("set"), _low).alias("runs"))
     return own.settle(made, "lines").where(F.size("runs") > 0)
 
 
@@ -87,13 +88,13 @@ def _rarity(lines: DataFrame) -> Column:
 
 
 def _prefixes(lines: DataFrame, rarity: Column) -> DataFrame:
-    """doc, h, line, s, n (size of the set), prefix: its first runs, rare ones first."""
-    # Class of rarity in the upper bits, the run in the lower ones.
+    """doc, h, line, NAME, n (size of the set), prefix: its first runs, rare ones first, each with
+    its class of rarity in the bits above BITS. That follows from the run, so they are equal if the runs are."""
     ranked = F.sort_array(F.transform("runs", lambda x: F.shiftleft(
         F.get(rarity, F.pmod(x, F.lit(SLOTS)).cast("int")), BITS).bitwiseOR(x)))
     n = F.size("runs")
     length = n - F.ceil(n * SHARE[0] / SHARE[1]).cast("int") + 1
-    return lines.select(*ORDER, "s", n.alias("n"), F.transform(F.slice(ranked, F.lit(1), length), _low).alias("prefix"))
+    return lines.select(*ORDER, *NAME, n.alias("n"), F.slice(ranked, F.lit(1), length).alias("prefix"))
 
 
 def _possible(xn: Column, xi: Column, yn: Column, yi: Column) -> Column:
@@ -151,11 +152,13 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     docs = _documents(df, key, text)
     lines = _lines(docs, own)
     place = F.struct(*ORDER)
-    sets = own.settle(_prefixes(lines, _rarity(lines)).groupBy("s").agg(
+    # Different lines are numbered while they are written: a number is half as long as a name, and
+    # numbers stay as they are once they are settled.
+    sets = own.settle(_prefixes(lines, _rarity(lines)).groupBy(*NAME).agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
-        F.any_value("prefix").alias("prefix")), "sets")
+        F.any_value("prefix").alias("prefix")).withColumn("s", F.monotonically_increasing_id()), "sets")
     # From here on a line is its name; the runs of all lines make room.
-    named = own.settle(lines.select(*ORDER, "s"), "names")
+    named = own.settle(lines.select(*ORDER, *NAME), "names")
     own.done("lines")
 
     posted = sets.select("s", "n", F.posexplode_outer("prefix").alias("i", "run"))
@@ -186,36 +189,39 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     if not rest.isEmpty():
         found = matched.unionByName(_similar(rest, _full(docs, rest, sets, own))).distinct()
 
-    decided = own.settle(sets.select("s", "first").join(found.withColumn("near", F.lit(True)), "s", "left"), "decided")
-    gone = named.join(decided, "s").where(F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first")))
+    decided = own.settle(sets.select("s", *NAME, "first").join(
+        found.withColumn("near", F.lit(True)), "s", "left").drop("s"), "decided")
+    gone = named.join(decided, list(NAME)).where(F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first")))
     removed = shared.settle(gone.groupBy("doc", "h").agg(F.sort_array(F.collect_set("line")).alias("removed")), "removed")
     own.done()
     return removed
 
 
-def _beside(df: DataFrame, removed: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
-    """`df` with a column for the numbers of lines to remove, and that column's name."""
-    name, h = shared.fresh(df, "_removed"), shared.fresh(df, "_h")
+def _beside(df: DataFrame, h: str, removed: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """`df`, with the texts' hashes in the column `h`, beside the numbers of lines to remove, and the name
+    of the column that holds those."""
+    name = shared.fresh(df, "_removed")
     gone = removed.select(
         F.col("doc").alias("doc"), F.col("h").alias("g_h"), F.col("removed").alias("g_removed")).alias("g")
-    rows = df.withColumn(h, F.xxhash64(text)).alias("d")
     same = F.col(f"d.`{key}`").eqNullSafe(F.col("g.doc")) & (F.col(f"d.`{h}`") == F.col("g.g_h"))
-    found = rows.join(gone, same, "left")
-    return found.select(*[F.col(f"d.`{c}`") for c in df.columns], F.col("g.g_removed").alias(name)), name
+    found = df.alias("d").join(gone, same, "left")
+    return found.select(*[F.col(f"d.`{c}`") for c in df.columns if c != h], F.col("g.g_removed").alias(name)), name
 
 
 def line_report(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_lines, removed: for every row how many lines it has and which of them go."""
-    rows = df.select(key, text)
-    found, name = _beside(rows, repeated_lines(rows, key, text), key, text)
-    return found.select(key, F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).alias("n_lines"),
-                        F.coalesce(name, F.array().cast("array<int>")).alias("removed"))
+    h, n = shared.fresh(df, "_h"), shared.fresh(df, "_n")
+    # Texts are not moved for a number.
+    rows = df.select(key, F.xxhash64(text).alias(h), F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).alias(n))
+    found, name = _beside(rows, h, repeated_lines(df.select(key, text), key, text), key)
+    return found.select(key, F.col(n).alias("n_lines"), F.coalesce(name, F.array().cast("array<int>")).alias("removed"))
 
 
 def without_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `df` without repeated lines, all columns kept. Rows of which only white space is
     left go; rows that lose nothing stay as they are, null and empty texts included."""
-    found, name = _beside(df, repeated_lines(df, key, text), key, text)
+    h = shared.fresh(df, "_h")
+    found, name = _beside(df.withColumn(h, F.xxhash64(text)), h, repeated_lines(df, key, text), key)
     new = shared.fresh(found, "_new")
     lines = F.split(text, "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(name))

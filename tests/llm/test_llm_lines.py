@@ -1,4 +1,5 @@
 import random
+import re
 
 import brute
 import pytest
@@ -81,6 +82,35 @@ def test_odd_rows(spark):
     assert linededup.without_repeated_lines(df.where("doc_id = 7")).count() == 1
 
 
+def test_report_moves_no_texts(spark, corpus, capsys):
+    """Texts were shuffled and sorted to count their lines beside the removed ones."""
+    report, key = linededup.line_report(table(spark, corpus)), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        report.explain("formatted")
+    finally:
+        spark.conf.set(key, before)
+    moved = re.findall(r"\) Exchange\nInput.*", capsys.readouterr().out)
+    assert moved and not any("text#" in m for m in moved)
+
+
+def test_postings_hold_numbers(spark, corpus, monkeypatch):
+    """Different lines have different numbers, and no posting holds a name of 128 bits."""
+    kinds, settle = {}, linededup.shared.Intermediates.settle
+
+    def seen(own, df, name):
+        found = settle(own, df, name)
+        kinds[name] = dict(found.dtypes)
+        if name == "sets":
+            assert found.select("s").distinct().count() == found.select("a", "b").distinct().count() == found.count()
+        return found
+
+    monkeypatch.setattr(linededup.shared.Intermediates, "settle", seen)
+    assert removed(table(spark, corpus)) == brute.repeated_lines(corpus)
+    assert {kinds[k]["s"] for k in ("listed", "postings")} == {"bigint"} == set(kinds["pairs"].values())
+
+
 def test_no_python_in_the_plan(spark, sf, capsys):
     linededup.line_report(spark.read.parquet(f"{sf}/documents.parquet")).explain("extended")
     plan = capsys.readouterr().out
