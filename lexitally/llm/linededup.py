@@ -10,6 +10,7 @@ with all that are earlier, so a large group of near copies is not spelled out as
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -28,6 +29,7 @@ _BLANK = r"[\x20\x09-\x0D]+"
 _RARE = "\t\x0b\f\r"  # white space in lines other than a blank; where there is none, no pattern is needed
 ORDER = ("doc", "h", "line")
 NAME = ("a", "b")    # of equal lines; two columns, since a pair is compared field by field when sorted
+PARITY = ("p", "q")  # of a set's runs: the first of all, the second of those whose seventh bit is set
 
 
 def _documents(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -78,23 +80,38 @@ def _lines(docs: DataFrame, own: shared.Intermediates) -> DataFrame:
 
 
 def _rarity(lines: DataFrame) -> Column:
-    """Number of bits of the count of all runs with the same slot, by slot."""
+    """By slot, how far the runs with the same slot count above the usual slot, as the number of bits of its
+    multiple of the usual distance. The usual count grows with the input, and would hide frequent runs if it
+    were not taken off."""
     slot = F.pmod("r", F.lit(SLOTS)).alias("slot")
     counts = lines.select(F.explode_outer("runs").alias("r")).groupBy(slot).count().collect()
-    bits = [0] * SLOTS
+    count = [0] * SLOTS
     for r in counts:
-        bits[r.slot] = r["count"].bit_length()
-    return _literal(bits, "bigint")
+        count[r.slot] = r["count"]
+    ranked = sorted(count)
+    usual, high = ranked[SLOTS // 2], ranked[SLOTS * 3 // 4]
+    return _literal([(max(c - usual, 0) // max(high - usual, 1)).bit_length() for c in count], "bigint")
+
+
+def _parities(runs: Column) -> list[Column]:
+    """128 bits in two words, of which every run turns one."""
+    def turned(start: Callable[[Column], Column]) -> Column:
+        turn = lambda x: F.call_function("shiftleft", start(x), x.bitwiseAND(F.lit(63)).cast("int"))
+        return F.aggregate(runs, F.lit(0).cast("bigint"), lambda bits, x: bits.bitwiseXOR(turn(x)))
+
+    both = turned(lambda x: F.lit(1).cast("bigint"))
+    second = turned(lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(1).cast("bigint")))
+    return [both.alias(PARITY[0]), second.alias(PARITY[1])]
 
 
 def _prefixes(lines: DataFrame, rarity: Column) -> DataFrame:
-    """doc, h, line, NAME, n (size of the set), prefix: its first runs, rare ones first, each with
+    """doc, h, line, NAME, n (size of the set), PARITY, prefix: its first runs, rare ones first, each with
     its class of rarity in the bits above BITS. That follows from the run, so they are equal if the runs are."""
     ranked = F.sort_array(F.transform("runs", lambda x: F.shiftleft(
         F.get(rarity, F.pmod(x, F.lit(SLOTS)).cast("int")), BITS).bitwiseOR(x)))
     n = F.size("runs")
     length = n - F.ceil(n * SHARE[0] / SHARE[1]).cast("int") + 1
-    return lines.select(*ORDER, *NAME, n.alias("n"), F.slice(ranked, F.lit(1), length).alias("prefix"))
+    return lines.select(*ORDER, *NAME, n.alias("n"), *_parities(F.col("runs")), F.slice(ranked, F.lit(1), length).alias("prefix"))
 
 
 def _possible(xn: Column, xi: Column, yn: Column, yi: Column) -> Column:
@@ -105,6 +122,15 @@ def _possible(xn: Column, xi: Column, yn: Column, yi: Column) -> Column:
     return (b * F.least(xn, yn) >= a * F.greatest(xn, yn)) & ((a + b) * reach >= a * (xn + yn))
 
 
+def _alike(xn: Column, x: list[Column], yn: Column, y: list[Column]) -> Column:
+    """Whether the parities allow the similarity. What two sets share turns the same bits in both, so no
+    more bits differ than there are runs in one of them alone, and a similarity a/b leaves
+    (b - a) / (a + b) of both sizes for those. Without this, pairs to compare grow with the square of the input."""
+    a, b = SHARE
+    both, second = (p.bitwiseXOR(q) for p, q in zip(x, y, strict=True))
+    return (a + b) * (F.bit_count(both.bitwiseXOR(second)) + F.bit_count(second)) <= (b - a) * (xn + yn)
+
+
 def _some_lines(wanted: DataFrame) -> Column:
     """Holds for the wanted (doc, h, line) and a few more: a filter of fixed size, so that few
     lines besides are taken up before the exact join."""
@@ -156,33 +182,37 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     # numbers stay as they are once they are settled.
     sets = own.settle(_prefixes(lines, _rarity(lines)).groupBy(*NAME).agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
-        F.any_value("prefix").alias("prefix")).withColumn("s", F.monotonically_increasing_id()), "sets")
+        *[F.any_value(c).alias(c) for c in (*PARITY, "prefix")]).withColumn("s", F.monotonically_increasing_id()), "sets")
     # From here on a line is its name; the runs of all lines make room.
     named = own.settle(lines.select(*ORDER, *NAME), "names")
     own.done("lines")
 
-    posted = sets.select("s", "n", F.posexplode_outer("prefix").alias("i", "run"))
+    posted = sets.select("s", F.posexplode_outer("prefix").alias("i", "run"))
     # A run of one set alone leads nowhere. Counted by partial aggregates, whatever its number.
     again = own.settle(posted.groupBy("run").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("run"), "again")
     listed = own.settle(posted.join(again, "run", "left_semi"), "listed")
-    inside = own.settle(listed.join(sets.select("s", "first", "copies"), "s"), "postings")
+    inside = own.settle(listed.join(sets.select("s", "n", "first", "copies", *PARITY), "s"), "postings")
     own.done("again", "listed")
-    row = F.struct("first", "s", "n", "i")
+    row = F.struct("first", "s", "n", "i", *PARITY)
+    parity, of_pivot = [F.col(p) for p in PARITY], [F.col(f"pivot.{p}") for p in PARITY]
     pivots = own.settle(inside.groupBy("run").agg(
         F.min(row).alias("earliest"), F.max(F.struct("copies", row.alias("row")))["row"].alias("commonest")), "pivots")
-    beside = inside.join(pivots, "run").withColumn("p", F.explode(F.array("earliest", "commonest"))).where(
-        (F.col("s") != F.col("p.s")) & _possible(F.col("n"), F.col("i"), F.col("p.n"), F.col("p.i")))
-    before = F.col("first") < F.col("p.first")
+    beside = inside.join(pivots, "run").withColumn("pivot", F.explode(F.array("earliest", "commonest"))).where(
+        (F.col("s") != F.col("pivot.s")) & _possible(F.col("n"), F.col("i"), F.col("pivot.n"), F.col("pivot.i"))
+        & _alike(F.col("n"), parity, F.col("pivot.n"), of_pivot))
+    before = F.col("first") < F.col("pivot.first")
     star = own.settle(beside.select(
-        F.when(before, F.col("s")).otherwise(F.col("p.s")).alias("early"),
-        F.when(before, F.col("p.s")).otherwise(F.col("s")).alias("late")).distinct(), "pairs")
+        F.when(before, F.col("s")).otherwise(F.col("pivot.s")).alias("early"),
+        F.when(before, F.col("pivot.s")).otherwise(F.col("s")).alias("late")).distinct(), "pairs")
     matched = own.settle(_similar(star, _full(docs, star, sets, own)), "matched")
     own.done("pivots", "wanted", "full-sets")
 
     left = inside.join(matched, "s", "left_anti").select(
-        "run", F.col("s").alias("late"), F.col("first").alias("late_first"), F.col("n").alias("xn"), F.col("i").alias("xi"))
+        "run", F.col("s").alias("late"), F.col("first").alias("late_first"), F.col("n").alias("xn"), F.col("i").alias("xi"),
+        *[F.col(p).alias(f"x{p}") for p in PARITY])
     rest = own.settle(left.join(inside, "run").where(
-        (F.col("first") < F.col("late_first")) & _possible(F.col("xn"), F.col("xi"), F.col("n"), F.col("i"))).select(
+        (F.col("first") < F.col("late_first")) & _possible(F.col("xn"), F.col("xi"), F.col("n"), F.col("i"))
+        & _alike(F.col("xn"), [F.col(f"x{p}") for p in PARITY], F.col("n"), parity)).select(
         F.col("s").alias("early"), "late").distinct().join(star, ["early", "late"], "left_anti"), "rest")
     own.done("postings", "pairs")
     found = matched

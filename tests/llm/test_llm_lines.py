@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import brute
 import pytest
@@ -111,6 +112,62 @@ def test_postings_hold_numbers(spark, corpus, monkeypatch):
     assert {kinds[k]["s"] for k in ("listed", "postings")} == {"bigint"} == set(kinds["pairs"].values())
 
 
+def test_lines_that_share_half_are_no_pairs(spark, monkeypatch):
+    """Each line shares half of its words with the next one, and their first runs. They were compared run by
+    run, and such pairs grow with the square of the input."""
+    sizes, settle = {}, linededup.shared.Intermediates.settle
+
+    def seen(own, df, name):
+        found = settle(own, df, name)
+        sizes[name] = found.count()
+        return found
+
+    monkeypatch.setattr(linededup.shared.Intermediates, "settle", seen)
+    half = lambda d: " ".join(f"w{d % 40}x{j}" for j in range(52))
+    assert removed(table(spark, [(d, f"{half(d)} {half(d + 1)}") for d in range(40)])) == {}
+    assert sizes["postings"] > 0 == sizes["pairs"] == sizes["rest"]
+
+
+def test_long_lines_near_the_least_similarity(spark):
+    """Parities rule out no pair that is similar, whatever the length."""
+    r, docs = random.Random(12), []
+    for b in range(60):
+        words = [f"w{r.randrange(10 ** 6)}" for _ in range(r.randrange(20, 600))]
+        docs.append((len(docs), " ".join(words)))
+        for share in (0.72, 0.75, 0.78):  # of the runs both have, by words replaced at the end
+            kept = round((len(words) - 4) * 2 * share / (1 + share)) + 4
+            docs.append((len(docs), " ".join(words[:kept] + [f"y{b}x{len(docs)}x{j}" for j in range(len(words) - kept)])))
+    found = removed(table(spark, docs))
+    assert found == brute.repeated_lines(docs)
+    assert 60 <= len(found) < 180
+
+
+def test_frequent_runs_are_told_apart_in_full_slots(spark, monkeypatch):
+    """Counts of a full slot and of one with a frequent run besides had the same number of bits."""
+    monkeypatch.setattr(linededup, "SLOTS", 32)
+    runs = [hash_ * 32 + slot for slot in range(32) for hash_ in range(1100)] + [7] * 600
+    lines = spark.createDataFrame([(runs[i:i + 50],) for i in range(0, len(runs), 50)], "runs ARRAY<BIGINT>")
+    found = spark.range(32).select("id", F.get(linededup._rarity(lines), F.col("id").cast("int")).alias("bits")).collect()
+    assert max(found, key=lambda x: x.bits).id == 7 and sorted(x.bits for x in found)[-2] < found[7].bits
+
+
+def test_shuffles_go_when_a_result_is_settled(spark):
+    """They stayed until the driver happened to collect its garbage, and those of all steps added up."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    key, own = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", linededup.shared.Intermediates(spark)
+    shuffles = lambda: {x for x in map(str, disk.getAllFiles().mkString("|").split("|")) if "/shuffle_" in x}
+    before, setting = shuffles(), spark.conf.get(key, None)
+    rows = spark.range(20_000, numPartitions=4).groupBy((F.col("id") % 5000).alias("k")).count()
+    found = own.settle(rows, "a"), linededup.shared.settle(rows, "b")
+    for _ in range(100):
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key, None) == setting
+    assert [x.count() for x in found] == [5000, 5000]
+    own.done()
+
+
 def test_no_python_in_the_plan(spark, sf, capsys):
     linededup.line_report(spark.read.parquet(f"{sf}/documents.parquet")).explain("extended")
     plan = capsys.readouterr().out
