@@ -90,5 +90,28 @@ def test_what_no_segment_can_decide():
         (0, 0, 0), (0, 1, 0), (0, 2, 0), (1, 0, 15), (1, 1, -6), (1, 2, 21)]
 
 
+def test_blocks_are_not_broadcast(spark, odd, capsys):
+    """Copies of the query blocks for all stripes met in the driver, as their files are small."""
+    candidates, queries = impact.index(table(spark, odd)), impact.index(table(spark, odd), where=F.col("id") % 4 == 0)
+    pairs = tiles.grid(queries, candidates)
+    pairs.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert pairs.count() == sum(r["count"] ** 2 for r in candidates.groupBy("dim").count().where("dim in (0, 2, 6)").collect())
+
+
+def test_blocks_are_compressed_whole():
+    """A block goes to many tiles, with what is known of its components twice."""
+    v = impact.np.random.default_rng(5).integers(-20, 21, (500, 64)).astype(float)
+    ids = rankless(range(500))
+    made = impact._packed(ids, v)
+    assert sum(map(len, made.values())) < v.nbytes
+    whole = impact._prepared({"x_dim": 64, **{f"x_{k}": x for k, x in made.items()}}, "x_")
+    assert (whole["original"] == v).all() and (whole["ids"] == ids).all()
+    again = impact.np.zeros_like(v)
+    again[whole["rows"], whole["dims"]] = whole["impacts"]
+    assert (again == v).all()
+
+
 def rankless(ids):
     return impact.np.array(list(ids), impact.np.int64)
